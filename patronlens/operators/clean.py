@@ -55,12 +55,12 @@ def _invoice() -> Column:
 
 
 def keep_line(df: DataFrame) -> Column:
-    """True for lines that survive cleaning; never null."""
-    return F.coalesce(
-        F.col(S.CUSTOMER).isNotNull()
-        & ~_invoice().startswith("C")
-        & (_number(df, S.QUANTITY) > 0)
-        & (_number(df, S.PRICE) > 0), F.lit(False))
+    """True for lines that survive cleaning, false or null for others. A plain conjunction,
+    so each part is pushed to the scan it belongs to."""
+    return (F.col(S.CUSTOMER).isNotNull()
+            & ~_invoice().startswith("C")
+            & (_number(df, S.QUANTITY) > 0)
+            & (_number(df, S.PRICE) > 0))
 
 
 def clean_sales(raw: DataFrame, on_bad: str = "raise") -> DataFrame:
@@ -69,17 +69,14 @@ def clean_sales(raw: DataFrame, on_bad: str = "raise") -> DataFrame:
     Adds `amount_cents` (bigint) and `total_amount` (its decimal form). An unreadable
     date or customer id raises; with on_bad="null" the date becomes null and the
     line with the bad customer id is dropped."""
-    named = raw.filter(F.col(S.CUSTOMER).isNotNull())
-    typed = (named
-             .withColumn("_keep", keep_line(named))
-             .withColumn(S.CUSTOMER, _customer(named, on_bad))
-             .withColumn(S.DATE, _moment(named, on_bad))
-             .withColumn(S.QUANTITY, _number(named, S.QUANTITY))
-             .withColumn(S.PRICE, _number(named, S.PRICE))
-             .withColumn(S.INVOICE, _invoice()))
+    kept = raw.filter(keep_line(raw)).withColumns({
+        S.CUSTOMER: _customer(raw, on_bad),
+        S.DATE: _moment(raw, on_bad),
+        S.QUANTITY: _number(raw, S.QUANTITY),
+        S.PRICE: _number(raw, S.PRICE),
+        S.INVOICE: _invoice()})
     if on_bad == "null":
-        typed = typed.filter(F.col(S.CUSTOMER).isNotNull())
-    kept = typed.filter("_keep").drop("_keep")
+        kept = kept.filter(F.col(S.CUSTOMER).isNotNull())
     kept = kept.withColumn("amount_cents",
                            numbers.line_cents(F.col(S.QUANTITY), F.col(S.PRICE)))
     kept = kept.withColumn("total_amount", numbers.to_money(F.col("amount_cents")))

@@ -28,14 +28,17 @@ def dim_customer(lines: DataFrame) -> DataFrame:
 
 
 def dim_product(lines: DataFrame) -> DataFrame:
-    """One row per stock code with the description of its first line in order of
-    (time, invoice, description)."""
-    described = "description" in lines.columns
-    if not described:
-        return lines.select("stock_code").filter(F.col("stock_code").isNotNull()).distinct()
-    return (lines.filter(F.col("stock_code").isNotNull()).groupBy("stock_code").agg(
-        F.min(F.struct("invoice_date", "invoice_no", "description")).alias("first_line"))
-        .select("stock_code", F.col("first_line.description").alias("description")))
+    """One row per stock code with its earliest description (same time: the smaller text).
+
+    Lines are first folded to (code, description) with a fixed-width minimum, which hashes
+    and combines before the shuffle; only these few rows are compared as structs."""
+    coded = lines.filter(F.col("stock_code").isNotNull())
+    if "description" not in lines.columns:
+        return coded.select("stock_code").distinct()
+    first_use = coded.groupBy("stock_code", "description").agg(
+        F.min("invoice_date").alias("first_use"))
+    return first_use.groupBy("stock_code").agg(
+        F.min_by("description", F.struct("first_use", "description")).alias("description"))
 
 
 def dim_date(lines: DataFrame) -> DataFrame:

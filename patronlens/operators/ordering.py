@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from patronlens.staging import stage
 
 SLICE = "_slice"
+ONE_SLICE_ROWS = 2_000_000
 
 
 def in_slices(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
@@ -43,48 +44,24 @@ def number_rows(df: DataFrame, key: str, name: str, after: int = 0) -> DataFrame
 
 
 def order_statistics(df: DataFrame, groups: Sequence[str], value: str,
-                     fractions: Sequence[tuple[int, int]]) -> DataFrame:
+                     fractions: Sequence[tuple[int, int]], rows: int | None = None) -> DataFrame:
     """Exact neighbours for linear-interpolation quantiles of an integer column.
 
     One row per group: n, v_min, v_max and, for the i-th fraction (k, d), the columns
     lo_i, hi_i, rem_i: the k/d quantile is (lo*(d-rem) + hi*rem) / d. `groups` must have
     few distinct values (periods, metrics, segments).
 
-    Equal values are first counted together, so a heavy value is one row. Only the slices
-    that hold a wanted rank are ordered in the end; the size of a slice is bounded by the
-    partitioning, not by the data."""
+    Equal values are first counted together, so a heavy value is one row. Pass `rows`, an
+    upper bound on the rows of any group, where it is known: up to ONE_SLICE_ROWS a group
+    is ordered in one task, beyond that (or unknown) by slices of a global order."""
     counted = (df.filter(F.col(value).isNotNull())
                .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("weight")))
-    sliced = in_slices(counted, [*groups, value], "ordered")
-    starts = slice_starts(sliced, F.col("weight"), groups,
-                          (F.min(value).alias("low"), F.max(value).alias("high")))
-    whole = Window.partitionBy(*groups)
-    starts = (starts.withColumn("n", F.sum("slice_weight").over(whole))
-              .withColumn("v_min", F.min("low").over(whole))
-              .withColumn("v_max", F.max("high").over(whole)))
-
-    def low_rank(k: int, d: int) -> Column:
-        return F.expr(f"((n - 1) * {k}) div {d}")
-
-    def remainder(k: int, d: int) -> Column:
-        return F.expr(f"((n - 1) * {k}) % {d}")
-
-    ranks = F.array_distinct(F.flatten(F.array(*[
-        F.array(low_rank(k, d), low_rank(k, d) + (remainder(k, d) > 0).cast("bigint"))
-        for k, d in fractions])))
-    end = F.col("start") + F.col("slice_weight")
-    wanted = (starts.withColumn("wanted", F.filter(
-                  ranks, lambda r: (r >= F.col("start")) & (r < end)))
-              .filter(F.size("wanted") > 0)
-              .select(*groups, SLICE, "start", "n", "v_min", "v_max", "wanted"))
-
-    before = (Window.partitionBy(*groups, SLICE).orderBy(value)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    placed = (sliced.join(F.broadcast(wanted), [*groups, SLICE])  # at most 2 slices a fraction
-              .withColumn("first", F.col("start")
-                          + F.coalesce(F.sum("weight").over(before), F.lit(0)))
-              .withColumn("hit", F.filter("wanted", lambda r: (r >= F.col("first")) & (
-                  r < F.col("first") + F.col("weight"))))
+    if rows is not None and rows <= ONE_SLICE_ROWS:
+        placed = _place_whole(counted, groups, value)
+    else:
+        placed = _place_sliced(counted, groups, value, fractions)
+    placed = (placed.withColumn("hit", F.filter(_ranks(fractions), lambda r: (
+                  r >= F.col("first")) & (r < F.col("first") + F.col("weight"))))
               .filter(F.size("hit") > 0)
               .select(*groups, "n", "v_min", "v_max", value, F.explode("hit").alias("rank")))
 
@@ -93,14 +70,61 @@ def order_statistics(df: DataFrame, groups: Sequence[str], value: str,
 
     picks = []
     for i, (k, d) in enumerate(fractions):
-        picks += [at(low_rank(k, d)).alias(f"lo_{i}"),
-                  at(low_rank(k, d) + (remainder(k, d) > 0).cast("bigint")).alias(f"hi_{i}"),
-                  F.max(remainder(k, d)).alias(f"rem_{i}")]
+        low, rest = _low_rank(k, d), _remainder(k, d)
+        picks += [at(low).alias(f"lo_{i}"),
+                  at(low + (rest > 0).cast("bigint")).alias(f"hi_{i}"),
+                  F.max(rest).alias(f"rem_{i}")]
     return placed.groupBy(*groups).agg(
         F.max("n").alias("n"), F.max("v_min").alias("v_min"), F.max("v_max").alias("v_max"),
         *picks)
 
 
+def _low_rank(k: int, d: int) -> Column:
+    return F.expr(f"((n - 1) * {k}) div {d}")
+
+
+def _remainder(k: int, d: int) -> Column:
+    return F.expr(f"((n - 1) * {k}) % {d}")
+
+
+def _ranks(fractions: Sequence[tuple[int, int]]) -> Column:
+    """The wanted positions among n ordered values, counted from 0."""
+    low = [_low_rank(k, d) for k, d in fractions]
+    high = [_low_rank(k, d) + (_remainder(k, d) > 0).cast("bigint") for k, d in fractions]
+    return F.array_distinct(F.array(*low, *high))
+
+
+def _place_whole(counted: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return counted.select(
+        *groups, value, "weight", F.sum("weight").over(whole).alias("n"),
+        F.min(value).over(whole).alias("v_min"), F.max(value).over(whole).alias("v_max"),
+        F.coalesce(F.sum("weight").over(before), F.lit(0)).alias("first"))
+
+
+def _place_sliced(counted: DataFrame, groups: Sequence[str], value: str,
+                  fractions: Sequence[tuple[int, int]]) -> DataFrame:
+    """Only the slices that hold a wanted rank are ordered; the size of a slice is bounded
+    by the partitioning, not by the data."""
+    sliced = in_slices(counted, [*groups, value], "ordered")
+    starts = slice_starts(sliced, F.col("weight"), groups,
+                          (F.min(value).alias("low"), F.max(value).alias("high")))
+    whole = Window.partitionBy(*groups)
+    starts = (starts.withColumn("n", F.sum("slice_weight").over(whole))
+              .withColumn("v_min", F.min("low").over(whole))
+              .withColumn("v_max", F.max("high").over(whole)))
+    end = F.col("start") + F.col("slice_weight")
+    wanted = (starts.filter(F.exists(_ranks(fractions), lambda r: (
+                  r >= F.col("start")) & (r < end)))
+              .select(*groups, SLICE, "start", "n", "v_min", "v_max"))
+    before = (Window.partitionBy(*groups, SLICE).orderBy(value)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return (sliced.join(F.broadcast(wanted), [*groups, SLICE])  # at most 2 slices a fraction
+            .withColumn("first", F.col("start")
+                        + F.coalesce(F.sum("weight").over(before), F.lit(0))))
+
+
 def scaled_quantile(i: int, d: int) -> Column:
     """The i-th quantile of `order_statistics` times d, an exact integer."""
     return F.col(f"lo_{i}") * (F.lit(d) - F.col(f"rem_{i}")) + F.col(f"hi_{i}") * F.col(f"rem_{i}")

@@ -38,7 +38,8 @@ def recommend(lines: DataFrame, segmented: DataFrame, periods: Sequence[str],
     # the segment's latest sale is the latest of its customers' latest sales;
     # one row per period and segment
     latest = wanted.groupBy("period", "segment").agg(F.max("last_purchase").alias("latest"))
-    members = wanted.select("customer_id", "period", "segment")
+    members = wanted.select("customer_id", "period", "segment",
+                            _metric(F.col("segment")).alias("metric"))
     members = members.join(F.broadcast(latest), ["period", "segment"])
     # known limit per period as literals: sales after it do not count for that period
     limit = None
@@ -51,17 +52,16 @@ def recommend(lines: DataFrame, segmented: DataFrame, periods: Sequence[str],
     sold = lines.filter((F.col("amount_cents") > 0) & (F.col("invoice_date") <= last_limit)).select(
         "customer_id", "stock_code", "invoice_date", "amount_cents",
         F.col("quantity").cast("bigint").alias("quantity"))
-    sales = (sold.join(members, "customer_id").filter(F.col("invoice_date") <= limit)
-             .withColumn("weight", F.lit(1.0) / (F.lit(1) + dates.whole_days_between(
-                 F.col("latest"), F.col("invoice_date")))))
-    metric = _metric(F.col("segment"))
-    totals = (sales.groupBy("period", "segment", "stock_code").agg(
-                  F.sum("amount_cents").alias("cents"), F.sum("quantity").alias("units"),
-                  F.sum("weight").alias("weight"))
-              .withColumn("metric", metric))
+    metric = F.col("metric")
+    age = dates.whole_days_between(F.col("latest"), F.col("invoice_date"))
+    totals = (sold.join(members, "customer_id").filter(F.col("invoice_date") <= limit)
+              .groupBy("period", "segment", "metric", "stock_code")
+              .agg(F.sum(F.when(metric == "revenue", F.col("amount_cents"))
+                         .when(metric == "frequency", F.col("quantity"))).alias("total"),
+                   F.sum(F.when(metric == "recency_weighted", F.lit(1.0) / (1 + age)))
+                   .alias("weight")))
     best = totals.groupBy("period", "segment").agg(
-        F.max("cents").alias("best_cents"), F.max("units").alias("best_units"),
-        F.max("weight").alias("best_weight"))
+        F.max("total").alias("best_total"), F.max("weight").alias("best_weight"))
     scaled = totals.join(F.broadcast(best), ["period", "segment"])  # one row per period, segment
 
     def share(value: str) -> Column:
@@ -69,11 +69,11 @@ def recommend(lines: DataFrame, segmented: DataFrame, periods: Sequence[str],
             F.col(value) / F.col(f"best_{value}").cast("double") * F.lit(100.0), 2)).otherwise(
             F.col(value).cast("double"))
 
-    revenue = F.round(F.col("cents").cast("decimal(22,0)") * F.lit(100).cast("decimal(3,0)")
-                      / F.col("best_cents").cast("decimal(20,0)"), 2).cast("double")
-    score = (F.when(F.col("metric") == "revenue", revenue)
-             .when(F.col("metric") == "recency_weighted", share("weight"))
-             .otherwise(share("units")))
+    revenue = F.round(F.col("total").cast("decimal(22,0)") * F.lit(100).cast("decimal(3,0)")
+                      / F.col("best_total").cast("decimal(20,0)"), 2).cast("double")
+    score = (F.when(metric == "revenue", revenue)
+             .when(metric == "recency_weighted", share("weight"))
+             .otherwise(share("total")))
     place = F.row_number().over(Window.partitionBy("period", "segment").orderBy(
         F.col("score").desc(), F.col("stock_code")))
     return (scaled.withColumn("score", score).withColumn("rank", place)

@@ -19,8 +19,10 @@ METRICS = {
 }
 
 
-def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
-    """Bin edges per period and metric: one row each.
+def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS,
+                   rows: int | None = None) -> DataFrame:
+    """Bin edges per period and metric: one row each. `rows`, where known, bounds the
+    number of customers of a period.
 
     method "quantile": equal-count bins on interpolated quantiles, kept as exact integers
     (`quantile_edges` = quantile x bins). As soon as two quantiles coincide the metric
@@ -28,7 +30,8 @@ def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
     long = rfm.select("period", F.inline(F.array(*[
         F.struct(F.lit(metric).alias("metric"), F.col(column).cast("bigint").alias("v"))
         for metric, (column, _, _) in METRICS.items()])))
-    found = order_statistics(long, ["period", "metric"], "v", [(k, bins) for k in range(bins + 1)])
+    found = order_statistics(long, ["period", "metric"], "v",
+                             [(k, bins) for k in range(bins + 1)], rows)
     quantiles = F.array(*[scaled_quantile(k, bins) for k in range(bins + 1)])
     unit = F.lit(1.0)
     for metric, (_, units, _) in METRICS.items():
@@ -91,9 +94,10 @@ def assign_segment(scored: DataFrame) -> DataFrame:
 
 def score_and_segment(rfm: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
     """Scored and segmented customers of every period in `rfm`. The input is used for the
-    thresholds and again for the scores, so it is written once first."""
+    thresholds and again for the scores, so it is written once first; its row count, read
+    from the files' footers, decides how the thresholds are found."""
     base = stage(rfm, "rfm")
-    return assign_segment(score_rfm(base, stage(rfm_thresholds(base, bins), "thresholds"), bins))
+    return assign_segment(score_rfm(base, rfm_thresholds(base, bins, base.count()), bins))
 
 
 def as_snapshot(segmented: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ _PRODUCTS = """
 products AS (
   SELECT stock_code, description FROM (
     SELECT stock_code, description, row_number() OVER (
-      PARTITION BY stock_code ORDER BY invoice_date, invoice_no, description) AS nr FROM sales)
+      PARTITION BY stock_code ORDER BY invoice_date, description) AS nr FROM sales)
   WHERE nr = 1)"""
 
 _CUSTOMERS = """

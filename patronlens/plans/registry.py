@@ -1,7 +1,8 @@
 """Every query by name, over the driver's tables.
 
-History and latest scores are built once per application and folder as staged tables, the
-way reports share a stored history; everything else is computed from the given tables."""
+Customer and product tables, latest scores and history are built once per application and
+folder as staged tables, the way reports share stored tables; everything else is computed
+from the given tables."""
 
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from patronlens.functions import dates
 from patronlens.operators import (clean, dims, facts, ordering, quality, recommend, rfm, scoring)
 from patronlens.plans import business, history, segments
+from patronlens.schemas import DETAIL_ROWS
 from patronlens.sources import testtables
 from patronlens.staging import stage_once
 
@@ -65,49 +67,40 @@ def _purchases(spark, sf_dir):
     return clean.transactions(clean.clean_sales(testtables.purchase_lines(spark, sf_dir)))
 
 
-def _period_rfm(spark, sf_dir):
-    return stage_once(spark, ("period", sf_dir), "period",
-                      lambda: rfm.period_rfm(_sales(spark, sf_dir), PERIOD))
-
-
-def _backfill_rfm(spark, sf_dir):
-    return stage_once(spark, ("backfill", sf_dir), "backfill",
-                      lambda: rfm.backfill_rfm(_sales(spark, sf_dir), PERIODS))
-
+def _segment_period(spark, sf_dir):
+    return scoring.score_and_segment(rfm.period_rfm(_sales(spark, sf_dir), PERIOD))
 
-def _period_thresholds(spark, sf_dir):
-    return stage_once(spark, ("period-thresholds", sf_dir), "thresholds",
-                      lambda: scoring.rfm_thresholds(_period_rfm(spark, sf_dir)))
 
+def _segment_periods(spark, sf_dir):
+    return scoring.score_and_segment(rfm.backfill_rfm(_sales(spark, sf_dir), PERIODS))
 
-def _backfill_thresholds(spark, sf_dir):
-    return stage_once(spark, ("backfill-thresholds", sf_dir), "thresholds",
-                      lambda: scoring.rfm_thresholds(_backfill_rfm(spark, sf_dir)))
 
-
-def _scored(spark, sf_dir):
-    return scoring.score_rfm(_period_rfm(spark, sf_dir), _period_thresholds(spark, sf_dir))
+def _segmented(spark, sf_dir):
+    return stage_once(spark, ("period", sf_dir), "period",
+                      lambda: _segment_period(spark, sf_dir))
 
 
-def _segmented(spark, sf_dir):
-    return scoring.assign_segment(_scored(spark, sf_dir))
+def _segmented_periods(spark, sf_dir):
+    return stage_once(spark, ("periods", sf_dir), "periods",
+                      lambda: _segment_periods(spark, sf_dir))
 
 
 def _latest(spark, sf_dir):
     return scoring.as_latest(_segmented(spark, sf_dir)).drop("calculated_at")
 
 
-def _segmented_periods(spark, sf_dir):
-    return scoring.assign_segment(scoring.score_rfm(
-        _backfill_rfm(spark, sf_dir), _backfill_thresholds(spark, sf_dir)))
-
-
 def _snapshots(spark, sf_dir):
     return scoring.as_snapshot(_segmented_periods(spark, sf_dir))
 
 
 def _products(spark, sf_dir):
-    return dims.dim_product(_sales(spark, sf_dir))
+    return stage_once(spark, ("products", sf_dir), "products",
+                      lambda: dims.dim_product(_sales(spark, sf_dir)))
+
+
+def _customers(spark, sf_dir):
+    return stage_once(spark, ("customers", sf_dir), "customers",
+                      lambda: dims.dim_customer(_sales(spark, sf_dir, country=True)))
 
 
 def _recommended(spark, sf_dir):
@@ -139,7 +132,7 @@ def dim_customer(spark, sf_dir):
 
 @_query
 def dim_product(spark, sf_dir):
-    return _products(spark, sf_dir)
+    return dims.dim_product(_sales(spark, sf_dir))
 
 
 @_query
@@ -214,7 +207,8 @@ def rfm_base_open(spark, sf_dir):
 
 @_query
 def rfm_thresholds(spark, sf_dir):
-    return (_backfill_thresholds(spark, sf_dir)
+    states = _segmented_periods(spark, sf_dir)
+    return (scoring.rfm_thresholds(states)
             .select("period", "metric", "n", "method",
                     F.posexplode(F.arrays_zip("quantile_edges", "width_edges")).alias("i", "e"))
             .select("period", "metric", "n", "method", (F.col("i") + 1).alias("edge"),
@@ -224,12 +218,12 @@ def rfm_thresholds(spark, sf_dir):
 
 @_query
 def rfm_scored(spark, sf_dir):
-    return _scored(spark, sf_dir)
+    return _segmented(spark, sf_dir).drop("segment")
 
 
 @_query
 def rfm_segments(spark, sf_dir):
-    return _segmented(spark, sf_dir)
+    return _segment_period(spark, sf_dir)
 
 
 @_query
@@ -244,7 +238,7 @@ def rfm_snapshot(spark, sf_dir):
 
 @_query
 def rfm_backfill(spark, sf_dir):
-    return _snapshots(spark, sf_dir)
+    return scoring.as_snapshot(_segment_periods(spark, sf_dir))
 
 
 # --- business reports -------------------------------------------------------------------
@@ -253,7 +247,7 @@ def rfm_backfill(spark, sf_dir):
 def kpi_summary(spark, sf_dir):
     sales = _sales(spark, sf_dir)
     return business.kpi_summary(
-        sales.select("customer_id").distinct(), sales.select("stock_code").distinct(), sales,
+        _customers(spark, sf_dir), _products(spark, sf_dir), sales,
         _latest(spark, sf_dir), _snapshots(spark, sf_dir))
 
 
@@ -294,7 +288,7 @@ def by_weekday(spark, sf_dir):
 
 @_query
 def cohort_new_customers(spark, sf_dir):
-    return business.cohort_new_customers(dims.dim_customer(_sales(spark, sf_dir)))
+    return business.cohort_new_customers(_customers(spark, sf_dir))
 
 
 # --- segment reports --------------------------------------------------------------------
@@ -322,14 +316,13 @@ def segment_scores_long(spark, sf_dir):
 @_query
 def segment_detail(spark, sf_dir):
     return segments.segment_detail(
-        _latest(spark, sf_dir), dims.dim_customer(_sales(spark, sf_dir, country=True)), SEGMENT)
+        _latest(spark, sf_dir), _customers(spark, sf_dir), SEGMENT)
 
 
 @_query
 def segment_detail_top(spark, sf_dir):
     return segments.segment_detail(
-        _latest(spark, sf_dir), dims.dim_customer(_sales(spark, sf_dir, country=True)),
-        SEGMENT, limit=50)
+        _latest(spark, sf_dir), _customers(spark, sf_dir), SEGMENT, limit=DETAIL_ROWS)
 
 
 @_query
@@ -344,17 +337,20 @@ def segment_names(spark, sf_dir):
 
 @_query
 def monetary_outliers(spark, sf_dir):
-    return segments.monetary_outliers(_latest(spark, sf_dir))
+    customers = _latest(spark, sf_dir)
+    return segments.monetary_outliers(customers, rows=customers.count())
 
 
 @_query
 def monetary_histogram(spark, sf_dir):
-    return segments.monetary_histogram(_latest(spark, sf_dir))
+    customers = _latest(spark, sf_dir)
+    return segments.monetary_histogram(customers, rows=customers.count())
 
 
 @_query
 def monetary_boxplot(spark, sf_dir):
-    return segments.monetary_boxplot(_latest(spark, sf_dir))
+    customers = _latest(spark, sf_dir)
+    return segments.monetary_boxplot(customers, rows=customers.count())
 
 
 # --- history ----------------------------------------------------------------------------

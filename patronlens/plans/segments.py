@@ -101,18 +101,18 @@ def _spend(customers: DataFrame) -> DataFrame:
     return customers.select("customer_id", "segment", _cents().alias("cents"))
 
 
-def _p95(spend: DataFrame) -> DataFrame:
+def _p95(spend: DataFrame, rows: int | None) -> DataFrame:
     """95th percentile of spend per segment, linear between neighbours: one row a segment."""
-    found = order_statistics(spend, ["segment"], "cents", [(19, 20)])
+    found = order_statistics(spend, ["segment"], "cents", [(19, 20)], rows)
     return found.select("segment", F.col("v_max").alias("top"),
                         scaled_quantile(0, 20).alias("p95_x20"))
 
 
-def monetary_outliers(customers: DataFrame) -> DataFrame:
+def monetary_outliers(customers: DataFrame, rows: int | None = None) -> DataFrame:
     """Per segment: p95 of spend, the largest spend, whether it exceeds 1.5 x p95, and the
-    number of customers above p95."""
+    number of customers above p95. `rows`, where known, bounds the number of customers."""
     spend = _spend(customers)
-    limits = F.broadcast(_p95(spend))  # one row per segment
+    limits = F.broadcast(_p95(spend, rows))  # one row per segment
     return (spend.join(limits, "segment").groupBy("segment")
             .agg(F.max("p95_x20").alias("p95_x20"), F.max("top").alias("top"),
                  F.count_if(F.col("cents") * 20 > F.col("p95_x20")).alias("above"))
@@ -122,11 +122,12 @@ def monetary_outliers(customers: DataFrame) -> DataFrame:
                     F.col("above").alias("customers_above_p95")))
 
 
-def monetary_histogram(customers: DataFrame, bins: int = S.HISTOGRAM_BINS) -> DataFrame:
+def monetary_histogram(customers: DataFrame, bins: int = S.HISTOGRAM_BINS,
+                       rows: int | None = None) -> DataFrame:
     """Spend per segment in equal bins on [0, 1.1 x p95]; bin bins+1 holds what lies beyond
     the shown range, so the counts add up to all customers."""
     spend = _spend(customers)
-    limits = F.broadcast(_p95(spend))  # one row per segment
+    limits = F.broadcast(_p95(spend, rows))  # one row per segment
     # bin = floor(cents / (1.1 * p95 / bins)) in whole numbers; p95 is kept times 20
     place = F.least(F.expr(f"(cents * {200 * bins}) div (p95_x20 * 11)"), F.lit(bins))
     return (spend.join(limits, "segment")
@@ -134,11 +135,11 @@ def monetary_histogram(customers: DataFrame, bins: int = S.HISTOGRAM_BINS) -> Da
             .agg(F.count(F.lit(1)).alias("customers")))
 
 
-def monetary_boxplot(customers: DataFrame) -> DataFrame:
+def monetary_boxplot(customers: DataFrame, rows: int | None = None) -> DataFrame:
     """Five-number summary of spend per segment, and the outermost values within 1.5
     interquartile ranges of the box."""
     spend = _spend(customers)
-    found = order_statistics(spend, ["segment"], "cents", [(1, 4), (2, 4), (3, 4)])
+    found = order_statistics(spend, ["segment"], "cents", [(1, 4), (2, 4), (3, 4)], rows)
     box = found.select("segment", F.col("n").alias("customers"), "v_min", "v_max",
                        *[scaled_quantile(i, 4).alias(f"q{i + 1}_x4") for i in range(3)])
     box = F.broadcast(box)  # one row per segment
