@@ -60,13 +60,10 @@ def order_statistics(df: DataFrame, groups: Sequence[str], value: str,
         placed = _place_whole(counted, groups, value)
     else:
         placed = _place_sliced(counted, groups, value, fractions)
-    placed = (placed.withColumn("hit", F.filter(_ranks(fractions), lambda r: (
-                  r >= F.col("first")) & (r < F.col("first") + F.col("weight"))))
-              .filter(F.size("hit") > 0)
-              .select(*groups, "n", "v_min", "v_max", value, F.explode("hit").alias("rank")))
+    end = F.col("first") + F.col("weight")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when(F.col("rank") == rank, F.col(value)))
+        return F.max(F.when((rank >= F.col("first")) & (rank < end), F.col(value)))
 
     picks = []
     for i, (k, d) in enumerate(fractions):

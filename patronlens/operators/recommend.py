@@ -36,17 +36,16 @@ def recommend(lines: DataFrame, segmented: DataFrame, periods: Sequence[str],
     product), so neither a heavy product nor a large segment lands in one task whole."""
     wanted = segmented.filter(F.col("period").isin(list(periods)))
     # the segment's latest sale is the latest of its customers' latest sales;
-    # one row per period and segment
-    latest = wanted.groupBy("period", "segment").agg(F.max("last_purchase").alias("latest"))
-    members = wanted.select("customer_id", "period", "segment",
-                            _metric(F.col("segment")).alias("metric"))
-    members = members.join(F.broadcast(latest), ["period", "segment"])
-    # known limit per period as literals: sales after it do not count for that period
+    # one row per period and segment, which also carries the period's cutoff
     limit = None
     for p in sorted(set(periods)):
         moment = dates.timestamp_literal(dates.cutoff(p, inclusive_end))
         limit = (F.when(F.col("period") == p, moment) if limit is None
                  else limit.when(F.col("period") == p, moment))
+    latest = (wanted.groupBy("period", "segment").agg(F.max("last_purchase").alias("latest"))
+              .withColumn("limit", limit).withColumn("metric", _metric(F.col("segment"))))
+    members = wanted.select("customer_id", "period", "segment")
+    members = members.join(F.broadcast(latest), ["period", "segment"])
     last_limit = dates.timestamp_literal(dates.cutoff(max(periods), inclusive_end))
 
     sold = lines.filter((F.col("amount_cents") > 0) & (F.col("invoice_date") <= last_limit)).select(
@@ -54,12 +53,13 @@ def recommend(lines: DataFrame, segmented: DataFrame, periods: Sequence[str],
         F.col("quantity").cast("bigint").alias("quantity"))
     metric = F.col("metric")
     age = dates.whole_days_between(F.col("latest"), F.col("invoice_date"))
-    totals = (sold.join(members, "customer_id").filter(F.col("invoice_date") <= limit)
-              .groupBy("period", "segment", "metric", "stock_code")
+    totals = (sold.join(members, "customer_id").filter(F.col("invoice_date") <= F.col("limit"))
+              .groupBy("period", "segment", "stock_code")
               .agg(F.sum(F.when(metric == "revenue", F.col("amount_cents"))
                          .when(metric == "frequency", F.col("quantity"))).alias("total"),
                    F.sum(F.when(metric == "recency_weighted", F.lit(1.0) / (1 + age)))
-                   .alias("weight")))
+                   .alias("weight"))
+              .withColumn("metric", _metric(F.col("segment"))))
     best = totals.groupBy("period", "segment").agg(
         F.max("total").alias("best_total"), F.max("weight").alias("best_weight"))
     scaled = totals.join(F.broadcast(best), ["period", "segment"])  # one row per period, segment

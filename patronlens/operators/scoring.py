@@ -26,7 +26,8 @@ def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS,
 
     method "quantile": equal-count bins on interpolated quantiles, kept as exact integers
     (`quantile_edges` = quantile x bins). As soon as two quantiles coincide the metric
-    switches to "width": equally wide bins between the extremes (`width_edges`, in units)."""
+    switches to "width": equally wide bins between the extremes (`width_edges`, in units).
+    `edges` are the edges in force as integers: x lies above an edge when x > edges[i]."""
     long = rfm.select("period", F.inline(F.array(*[
         F.struct(F.lit(metric).alias("metric"), F.col(column).cast("bigint").alias("v"))
         for metric, (column, _, _) in METRICS.items()])))
@@ -42,40 +43,59 @@ def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS,
         F.lit(0.001) * F.abs(low))).otherwise(F.lit(0.0))
     low, high = low - slack, high + slack
     step = (high - low) / F.lit(float(bins))
-    return found.select(
-        "period", "metric", "n",
+    edges = found.select(
+        "period", "metric", "n", unit.alias("unit"),
         F.when(F.size(F.array_distinct(quantiles)) == bins + 1, F.lit("quantile"))
         .otherwise(F.lit("width")).alias("method"),
         F.slice(quantiles, 2, bins - 1).alias("quantile_edges"),
         F.array(*[F.lit(float(k)) * step + low for k in range(1, bins)]).alias("width_edges"))
 
+    def below_quantile(edge: Column) -> Column:
+        return F.floor((edge - F.pmod(edge, F.lit(bins))) / F.lit(bins).cast("decimal(3,0)"))
+
+    def below_width(edge: Column) -> Column:
+        """The largest integer whose value in units does not exceed the edge."""
+        near, unit = F.floor(edge * F.col("unit")), F.col("unit")
+        return (F.when((near + 1) / unit <= edge, near + 1)
+                .when(near / unit > edge, near - 1).otherwise(near))
+
+    return edges.select(
+        "period", "metric", "n", "method", "quantile_edges", "width_edges",
+        F.when(F.col("method") == "quantile", F.transform("quantile_edges", lambda e: (
+            below_quantile(e).cast("bigint")))).otherwise(F.transform(
+                "width_edges", lambda e: below_width(e).cast("bigint"))).alias("edges"))
+
 
 def _score(metric: str, bins: int) -> Column:
-    column, units, small_is_best = METRICS[metric]
-    edges = F.col(f"{metric}_edges")
-    exact = F.col(column).cast("bigint") * F.lit(bins)
-    plain = F.col(column) / F.lit(float(units))
+    column, _, small_is_best = METRICS[metric]
+    value = F.col(column).cast("bigint")
     score = F.lit(1)
     for i in range(bins - 1):
-        above = F.when(edges["method"] == "quantile", exact > edges["quantile_edges"][i]).otherwise(
-            plain > edges["width_edges"][i])
-        score = score + above.cast("int")
+        score = score + (value > F.col(f"{metric}_edges")[i]).cast("int")
     return (F.lit(bins + 1) - score if small_is_best else score).cast("int")
 
 
-def segment_of(r: Column, f: Column, m: Column) -> Column:
-    """First matching rule, else the default segment, as one CASE expression."""
-    case = None
-    for name, r_from, r_to, f_from, f_to, m_from, m_to in S.SEGMENT_RULES:
-        match = r.between(r_from, r_to) & f.between(f_from, f_to) & m.between(m_from, m_to)
-        case = F.when(match, F.lit(name)) if case is None else case.when(match, F.lit(name))
-    return case.otherwise(F.lit(S.DEFAULT_SEGMENT))
+def segment_name(r: int, f: int, m: int) -> str:
+    """The first rule whose three ranges hold the scores, else the default segment."""
+    for name, *ranges in S.SEGMENT_RULES:
+        lows, highs = ranges[0::2], ranges[1::2]
+        if all(low <= s <= high for low, s, high in zip(lows, (r, f, m), highs)):
+            return name
+    return S.DEFAULT_SEGMENT
+
+
+def segment_of(r: Column, f: Column, m: Column, bins: int = S.SCORE_BINS) -> Column:
+    """Segment of a score triple. The rules are settled per triple when the plan is built,
+    so a row costs one lookup in a constant array instead of a chain of range checks."""
+    marks = range(1, bins + 1)
+    names = [segment_name(i, j, k) for i in marks for j in marks for k in marks]
+    return F.get(F.lit(names), ((r - 1) * bins + (f - 1)) * bins + (m - 1))
 
 
 def score_rfm(rfm: DataFrame, thresholds: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
     """r/f/m scores, their concatenation and their sum."""
     edges = thresholds.groupBy("period").pivot("metric", list(METRICS)).agg(
-        F.first(F.struct("method", "quantile_edges", "width_edges")))
+        F.first("edges"))
     edges = edges.select("period", *[F.col(m).alias(f"{m}_edges") for m in METRICS])
     scored = (rfm.join(F.broadcast(edges), "period")  # one row per period
               .withColumn("r_score", _score("recency", bins))
@@ -87,9 +107,9 @@ def score_rfm(rfm: DataFrame, thresholds: DataFrame, bins: int = S.SCORE_BINS) -
             .withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score")))
 
 
-def assign_segment(scored: DataFrame) -> DataFrame:
+def assign_segment(scored: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
     return scored.withColumn("segment", segment_of(
-        F.col("r_score"), F.col("f_score"), F.col("m_score")))
+        F.col("r_score"), F.col("f_score"), F.col("m_score"), bins))
 
 
 def score_and_segment(rfm: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
@@ -97,7 +117,8 @@ def score_and_segment(rfm: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
     thresholds and again for the scores, so it is written once first; its row count, read
     from the files' footers, decides how the thresholds are found."""
     base = stage(rfm, "rfm")
-    return assign_segment(score_rfm(base, rfm_thresholds(base, bins, base.count()), bins))
+    edges = rfm_thresholds(base, bins, base.count())
+    return assign_segment(score_rfm(base, edges, bins), bins)
 
 
 def as_snapshot(segmented: DataFrame) -> DataFrame:
