@@ -44,12 +44,12 @@ def number_rows(df: DataFrame, key: str, name: str, after: int = 0) -> DataFrame
 
 
 def order_statistics(df: DataFrame, groups: Sequence[str], value: str,
-                     fractions: Sequence[tuple[int, int]], rows: int | None = None) -> DataFrame:
-    """Exact neighbours for linear-interpolation quantiles of an integer column.
+                     ranks: Sequence[Column], rows: int | None = None) -> DataFrame:
+    """The values at given positions (from 0) of each group's ascending order, exactly.
 
-    One row per group: n, v_min, v_max and, for the i-th fraction (k, d), the columns
-    lo_i, hi_i, rem_i: the k/d quantile is (lo*(d-rem) + hi*rem) / d. `groups` must have
-    few distinct values (periods, metrics, segments).
+    `ranks` are bigint expressions of `n`, the group's number of values. One row per group:
+    n, v_min, v_max and at_0, at_1, ... for the ranks. `groups` must have few distinct
+    values (periods, metrics, segments).
 
     Equal values are first counted together, so a heavy value is one row. Pass `rows`, an
     upper bound on the rows of any group, where it is known: up to ONE_SLICE_ROWS a group
@@ -59,36 +59,29 @@ def order_statistics(df: DataFrame, groups: Sequence[str], value: str,
     if rows is not None and rows <= ONE_SLICE_ROWS:
         placed = _place_whole(counted, groups, value)
     else:
-        placed = _place_sliced(counted, groups, value, fractions)
+        placed = _place_sliced(counted, groups, value, ranks)
     end = F.col("first") + F.col("weight")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("first")) & (rank < end), F.col(value)))
-
-    picks = []
-    for i, (k, d) in enumerate(fractions):
-        low, rest = _low_rank(k, d), _remainder(k, d)
-        picks += [at(low).alias(f"lo_{i}"),
-                  at(low + (rest > 0).cast("bigint")).alias(f"hi_{i}"),
-                  F.max(rest).alias(f"rem_{i}")]
+    picks = [F.max(F.when((rank >= F.col("first")) & (rank < end), F.col(value))).alias(f"at_{i}")
+             for i, rank in enumerate(ranks)]
     return placed.groupBy(*groups).agg(
         F.max("n").alias("n"), F.max("v_min").alias("v_min"), F.max("v_max").alias("v_max"),
         *picks)
 
 
-def _low_rank(k: int, d: int) -> Column:
-    return F.expr(f"((n - 1) * {k}) div {d}")
-
+def quantile_ranks(fractions: Sequence[tuple[int, int]]) -> list[Column]:
+    """Ranks of the two neighbours of each k/d quantile, for `scaled_quantile`."""
+    ranks = []
+    for k, d in fractions:
+        low = F.expr(f"((n - 1) * {k}) div {d}")
+        ranks += [low, low + F.expr(f"cast(((n - 1) * {k}) % {d} > 0 as bigint)")]
+    return ranks
 
-def _remainder(k: int, d: int) -> Column:
-    return F.expr(f"((n - 1) * {k}) % {d}")
 
-
-def _ranks(fractions: Sequence[tuple[int, int]]) -> Column:
-    """The wanted positions among n ordered values, counted from 0."""
-    low = [_low_rank(k, d) for k, d in fractions]
-    high = [_low_rank(k, d) + (_remainder(k, d) > 0).cast("bigint") for k, d in fractions]
-    return F.array_distinct(F.array(*low, *high))
+def scaled_quantile(i: int, k: int, d: int) -> Column:
+    """d times the linearly interpolated k/d quantile, an exact integer; the i-th of the
+    fractions given to `quantile_ranks`."""
+    rest = F.expr(f"((n - 1) * {k}) % {d}")
+    return F.col(f"at_{2 * i}") * (F.lit(d) - rest) + F.col(f"at_{2 * i + 1}") * rest
 
 
 def _place_whole(counted: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
@@ -101,7 +94,7 @@ def _place_whole(counted: DataFrame, groups: Sequence[str], value: str) -> DataF
 
 
 def _place_sliced(counted: DataFrame, groups: Sequence[str], value: str,
-                  fractions: Sequence[tuple[int, int]]) -> DataFrame:
+                  ranks: Sequence[Column]) -> DataFrame:
     """Only the slices that hold a wanted rank are ordered; the size of a slice is bounded
     by the partitioning, not by the data."""
     sliced = in_slices(counted, [*groups, value], "ordered")
@@ -112,16 +105,11 @@ def _place_sliced(counted: DataFrame, groups: Sequence[str], value: str,
               .withColumn("v_min", F.min("low").over(whole))
               .withColumn("v_max", F.max("high").over(whole)))
     end = F.col("start") + F.col("slice_weight")
-    wanted = (starts.filter(F.exists(_ranks(fractions), lambda r: (
+    wanted = (starts.filter(F.exists(F.array(*ranks), lambda r: (
                   r >= F.col("start")) & (r < end)))
               .select(*groups, SLICE, "start", "n", "v_min", "v_max"))
     before = (Window.partitionBy(*groups, SLICE).orderBy(value)
               .rowsBetween(Window.unboundedPreceding, -1))
-    return (sliced.join(F.broadcast(wanted), [*groups, SLICE])  # at most 2 slices a fraction
+    return (sliced.join(F.broadcast(wanted), [*groups, SLICE])  # at most one slice a rank
             .withColumn("first", F.col("start")
                         + F.coalesce(F.sum("weight").over(before), F.lit(0))))
-
-
-def scaled_quantile(i: int, d: int) -> Column:
-    """The i-th quantile of `order_statistics` times d, an exact integer."""
-    return F.col(f"lo_{i}") * (F.lit(d) - F.col(f"rem_{i}")) + F.col(f"hi_{i}") * F.col(f"rem_{i}")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from patronlens import schemas as S
 from patronlens.functions import dates, numbers
-from patronlens.operators.ordering import order_statistics, scaled_quantile
+from patronlens.operators.ordering import order_statistics
 from patronlens.staging import stage
 
 # metric -> (integer column, units per whole, small values are best)
@@ -19,24 +19,42 @@ METRICS = {
 }
 
 
+def _bin_fractions(bins: int) -> list[float]:
+    """0, 1/bins, ..., 1 as evenly spaced floats: multiples of the float 1/bins, so with five
+    bins the fourth is 0.6000000000000001. The binning this follows uses these very floats;
+    their noise decides whether two quantiles coincide."""
+    return [k * (1.0 / bins) for k in range(bins)] + [1.0]
+
+
 def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS,
                    rows: int | None = None) -> DataFrame:
     """Bin edges per period and metric: one row each. `rows`, where known, bounds the
     number of customers of a period.
 
-    method "quantile": equal-count bins on interpolated quantiles, kept as exact integers
-    (`quantile_edges` = quantile x bins). As soon as two quantiles coincide the metric
-    switches to "width": equally wide bins between the extremes (`width_edges`, in units).
+    method "quantile": equal-count bins on linearly interpolated quantiles
+    (`quantile_edges`). As soon as two quantiles coincide the metric switches to "width":
+    equally wide bins between the extremes (`width_edges`). Both are in units of the metric.
     `edges` are the edges in force as integers: x lies above an edge when x > edges[i]."""
     long = rfm.select("period", F.inline(F.array(*[
         F.struct(F.lit(metric).alias("metric"), F.col(column).cast("bigint").alias("v"))
         for metric, (column, _, _) in METRICS.items()])))
-    found = order_statistics(long, ["period", "metric"], "v",
-                             [(k, bins) for k in range(bins + 1)], rows)
-    quantiles = F.array(*[scaled_quantile(k, bins) for k in range(bins + 1)])
+    last = F.col("n") - 1
+    places = [last.cast("double") * F.lit(q) for q in _bin_fractions(bins)]
+    lows = [F.floor(place).cast("bigint") for place in places]
+    highs = [F.least(low + 1, last) for low in lows]
+    found = order_statistics(long, ["period", "metric"], "v", [*lows, *highs], rows)
+
     unit = F.lit(1.0)
     for metric, (_, units, _) in METRICS.items():
         unit = F.when(F.col("metric") == metric, F.lit(float(units))).otherwise(unit)
+
+    def quantile(k: int) -> Column:
+        low, high = F.col(f"at_{k}") / unit, F.col(f"at_{bins + 1 + k}") / unit
+        part = places[k] - lows[k]
+        return F.when(part < 0.5, low + (high - low) * part).otherwise(
+            high - (high - low) * (F.lit(1.0) - part))
+
+    quantiles = F.array(*[quantile(k) for k in range(bins + 1)])
     low, high = F.col("v_min") / unit, F.col("v_max") / unit
     # a constant column is widened by a thousandth on both sides
     slack = F.when(low == high, F.when(low == 0, F.lit(0.001)).otherwise(
@@ -50,20 +68,16 @@ def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS,
         F.slice(quantiles, 2, bins - 1).alias("quantile_edges"),
         F.array(*[F.lit(float(k)) * step + low for k in range(1, bins)]).alias("width_edges"))
 
-    def below_quantile(edge: Column) -> Column:
-        return F.floor((edge - F.pmod(edge, F.lit(bins))) / F.lit(bins).cast("decimal(3,0)"))
-
-    def below_width(edge: Column) -> Column:
+    def whole(edge: Column) -> Column:
         """The largest integer whose value in units does not exceed the edge."""
         near, unit = F.floor(edge * F.col("unit")), F.col("unit")
         return (F.when((near + 1) / unit <= edge, near + 1)
-                .when(near / unit > edge, near - 1).otherwise(near))
+                .when(near / unit > edge, near - 1).otherwise(near)).cast("bigint")
 
-    return edges.select(
-        "period", "metric", "n", "method", "quantile_edges", "width_edges",
-        F.when(F.col("method") == "quantile", F.transform("quantile_edges", lambda e: (
-            below_quantile(e).cast("bigint")))).otherwise(F.transform(
-                "width_edges", lambda e: below_width(e).cast("bigint"))).alias("edges"))
+    in_force = F.when(F.col("method") == "quantile", F.col("quantile_edges")).otherwise(
+        F.col("width_edges"))
+    return edges.select("period", "metric", "n", "method", "quantile_edges", "width_edges",
+                        F.transform(in_force, whole).alias("edges"))
 
 
 def _score(metric: str, bins: int) -> Column:

@@ -43,14 +43,24 @@ customers AS (
          max(invoice_date) AS last_order, count(DISTINCT invoice_no) AS total_orders
   FROM sales s JOIN countries c USING (customer_id) GROUP BY s.customer_id)"""
 
-_FIVE = "".join(f"+ CASE WHEN CASE WHEN method = 'quantile' THEN v * 5 > q{k} "
-                f"ELSE v / unit > w{k} END THEN 1 ELSE 0 END " for k in range(1, 5))
+_FIVE = "".join(f"+ CASE WHEN v / unit > CASE WHEN method = 'quantile' THEN q{k} ELSE w{k} END "
+                f"THEN 1 ELSE 0 END " for k in range(1, 5))
+
+# Five equal steps from 0 to 1 as the binning's floats have them.
+_FIFTHS = ("0.0e0", "0.2e0", "0.4e0", "0.6000000000000001e0", "0.8e0", "1.0e0")
+
+
+def _neighbours(k: int) -> str:
+    """The two ordered values around the k-th fifth and the position between them."""
+    place = f"((n - 1)::DOUBLE * {_FIFTHS[k]})"
+    return (f"max(v / unit::DOUBLE) FILTER (WHERE rk = floor({place})) AS a{k}, "
+            f"max(v / unit::DOUBLE) FILTER (WHERE rk = least(floor({place}) + 1, n - 1)) AS b{k}, "
+            f"any_value({place} - floor({place})) AS t{k}")
 
 
 def _q(k: int) -> str:
-    """The k/5 quantile times 5, from the two neighbouring order statistics."""
-    return (f"max(CASE WHEN rk = ((n - 1) * {k}) // 5 THEN v END) * (5 - ((any_value(n) - 1) * {k}) % 5)"
-            f" + max(CASE WHEN rk = ((n - 1) * {k} + 4) // 5 THEN v END) * (((any_value(n) - 1) * {k}) % 5)")
+    return (f"CASE WHEN t{k} < 0.5e0 THEN a{k} + (b{k} - a{k}) * t{k} "
+            f"ELSE b{k} - (b{k} - a{k}) * (1.0e0 - t{k}) END")
 
 
 def _case_rules() -> str:
@@ -85,11 +95,12 @@ long AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY period, metric ORDER BY v) - 1 AS rk,
          count(*) OVER (PARTITION BY period, metric) AS n FROM long),
-spread AS (
+around AS (
   SELECT period, metric, any_value(n) AS n, min(v) / any_value(unit)::DOUBLE AS low,
-         max(v) / any_value(unit)::DOUBLE AS high,
-         {", ".join(f"CAST({_q(k)} AS BIGINT) AS q{k}" for k in range(6))}
+         max(v) / any_value(unit)::DOUBLE AS high, {", ".join(_neighbours(k) for k in range(6))}
   FROM ranked GROUP BY period, metric),
+spread AS (
+  SELECT period, metric, n, low, high, {", ".join(f"{_q(k)} AS q{k}" for k in range(6))} FROM around),
 widened AS (
   SELECT *, CASE WHEN low < high THEN 0.0::DOUBLE WHEN low = 0 THEN 0.001::DOUBLE
                  ELSE 0.001::DOUBLE * abs(low) END AS slack FROM spread),
@@ -297,7 +308,7 @@ def oracle_sql() -> dict[str, str]:
                CAST(sum(cents) AS BIGINT) AS monetary_cents, max(invoice_date) AS last_purchase
         FROM purchases WHERE cents > 0 GROUP BY customer_id""")
     sql["rfm_thresholds"] = _with(_MANY, "\nUNION ALL ".join(
-        f"SELECT period, metric, n, method, {k} AS edge, q{k} / 5.0::DOUBLE AS quantile_edge, "
+        f"SELECT period, metric, n, method, {k} AS edge, round(q{k}, 6) AS quantile_edge, "
         f"round(w{k}, 6) AS width_edge FROM thresholds" for k in range(1, 5)))
     sql["rfm_scored"] = _with(_ONE, f"SELECT {_SEG_COLUMNS} FROM scored")
     sql["rfm_segments"] = _with(_ONE, f"SELECT {_SEG_COLUMNS}, segment FROM seg")

@@ -212,7 +212,7 @@ def rfm_thresholds(spark, sf_dir):
             .select("period", "metric", "n", "method",
                     F.posexplode(F.arrays_zip("quantile_edges", "width_edges")).alias("i", "e"))
             .select("period", "metric", "n", "method", (F.col("i") + 1).alias("edge"),
-                    (F.col("e.quantile_edges") / 5.0).alias("quantile_edge"),
+                    F.round("e.quantile_edges", 6).alias("quantile_edge"),
                     F.round("e.width_edges", 6).alias("width_edge")))
 
 

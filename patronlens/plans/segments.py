@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from patronlens import schemas as S
 from patronlens.functions import numbers
-from patronlens.operators.ordering import order_statistics, scaled_quantile
+from patronlens.operators.ordering import order_statistics, quantile_ranks, scaled_quantile
 
 
 def _cents() -> Column:
@@ -103,9 +103,10 @@ def _spend(customers: DataFrame) -> DataFrame:
 
 def _p95(spend: DataFrame, rows: int | None) -> DataFrame:
     """95th percentile of spend per segment, linear between neighbours: one row a segment."""
-    found = order_statistics(spend, ["segment"], "cents", [(19, 20)], rows)
+    found = order_statistics(spend, ["segment"], "cents",
+                             quantile_ranks([(19, 20)]), rows)
     return found.select("segment", F.col("v_max").alias("top"),
-                        scaled_quantile(0, 20).alias("p95_x20"))
+                        scaled_quantile(0, 19, 20).alias("p95_x20"))
 
 
 def monetary_outliers(customers: DataFrame, rows: int | None = None) -> DataFrame:
@@ -139,9 +140,11 @@ def monetary_boxplot(customers: DataFrame, rows: int | None = None) -> DataFrame
     """Five-number summary of spend per segment, and the outermost values within 1.5
     interquartile ranges of the box."""
     spend = _spend(customers)
-    found = order_statistics(spend, ["segment"], "cents", [(1, 4), (2, 4), (3, 4)], rows)
+    quarters = [(1, 4), (2, 4), (3, 4)]
+    found = order_statistics(spend, ["segment"], "cents", quantile_ranks(quarters), rows)
     box = found.select("segment", F.col("n").alias("customers"), "v_min", "v_max",
-                       *[scaled_quantile(i, 4).alias(f"q{i + 1}_x4") for i in range(3)])
+                       *[scaled_quantile(i, *quarter).alias(f"q{i + 1}_x4")
+                         for i, quarter in enumerate(quarters)])
     box = F.broadcast(box)  # one row per segment
     reach = F.col("q3_x4") - F.col("q1_x4")
     inside = (F.col("cents") * 8 >= F.col("q1_x4") * 2 - reach * 3) & (

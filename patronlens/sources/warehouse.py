@@ -10,7 +10,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from patronlens import schemas as S
 from patronlens.operators import ordering
@@ -117,15 +117,19 @@ class Warehouse:
         """Make `df` the content of the given periods; other periods stay. The periods'
         rows are brought together first, so each period gets few, large files, and a large
         period is split over several tasks."""
-        seen = Observation()
-        rows = (self._conform(table, df).filter(F.col("period").isin(list(periods)))
-                .observe(seen, F.collect_set("period").alias("periods")))
+        before = {period: self._data_files(table, period) for period in periods}
+        rows = self._conform(table, df).filter(F.col("period").isin(list(periods)))
         (rows.hint("rebalance", F.col("period")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("period")
          .parquet(self.path(table)))
-        # dynamic overwrite does not touch a period that `df` has no rows for
-        for period in set(periods) - set(seen.get["periods"] or []):
-            self.drop_period(table, period)
+        # dynamic overwrite leaves a period alone that `df` has no rows for
+        for period, names in before.items():
+            if names & self._data_files(table, period):
+                self.drop_period(table, period)
+
+    def _data_files(self, table: str, period: str) -> set[str]:
+        files, folder = self._files(f"{self.path(table)}/period={period}")
+        return {s.getPath().getName() for s in files.listStatus(folder)} if files.exists(folder) else set()
 
     def drop_period(self, table: str, period: str) -> None:
         files, path = self._files(f"{self.path(table)}/period={period}")
