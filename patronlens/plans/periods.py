@@ -33,9 +33,9 @@ def load_lines(store: Warehouse, lines: DataFrame, replace: Callable[[list[str]]
     store.upsert_keyed("dim_product", "product_key", dims.dim_product(lines),
                        ("description",), {"created_at": now})
     store.upsert("dim_date", dims.dim_date(lines))
-    unknown = store.spark.createDataFrame(
-        [(facts.UNKNOWN_GEO_KEY, S.UNKNOWN_COUNTRY)], S.TABLES["dim_geography"])
-    store.upsert("dim_geography", unknown)
+    if not store.exists("dim_geography"):  # the member that facts without a country point to
+        store.replace("dim_geography", store.spark.createDataFrame(
+            [(facts.UNKNOWN_GEO_KEY, S.UNKNOWN_COUNTRY)], S.TABLES["dim_geography"]))
     store.upsert_keyed("dim_geography", "geo_key", dims.dim_geography(lines))
 
     found = [r.period for r in lines.select("period").distinct().collect()]  # one row a month

@@ -73,15 +73,14 @@ def segment_detail(customers: DataFrame, dim_customer: DataFrame, segment: str,
     chosen = customers.filter(F.col("segment") == segment).select(
         "customer_id", "recency", "frequency", "monetary", "rfm_score")
     order = [F.col("monetary").desc(), F.col("customer_id")]
-    if limit is not None:
-        chosen = F.broadcast(chosen.orderBy(*order).limit(limit))  # `limit` rows
     countries = dim_customer.select("customer_id", "country")
     if limit is not None:
-        found = countries.join(chosen, "customer_id", "right")
-    else:
-        found = chosen.join(countries, "customer_id", "left")
-    return found.select("customer_id", "recency", "frequency", "monetary", "rfm_score",
-                        "country").orderBy(*order)
+        chosen = chosen.orderBy(*order).limit(limit)
+        # `limit` rows on both sides: the country table is only filtered, never shuffled
+        countries = F.broadcast(countries.join(
+            F.broadcast(chosen.select("customer_id")), "customer_id", "left_semi"))
+    return chosen.join(countries, "customer_id", "left").select(
+        "customer_id", "recency", "frequency", "monetary", "rfm_score", "country").orderBy(*order)
 
 
 def segment_kpis(customers: DataFrame, segment: str) -> DataFrame:

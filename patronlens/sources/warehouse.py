@@ -141,12 +141,16 @@ class Warehouse:
     def upsert(self, table: str, df: DataFrame, update: Sequence[str] = (),
                defaults: dict[str, Column] | None = None) -> int:
         """Merge by the table's key and return the number of incoming rows."""
-        incoming = stage(df, f"incoming-{table}")
+        return self._merge_written(table, stage(df, f"incoming-{table}"), update, defaults)
+
+    def _merge_written(self, table: str, incoming: DataFrame, update: Sequence[str],
+                       defaults: dict[str, Column] | None) -> int:
+        """`upsert` of staged rows. A first load is written as it is; later the merged table
+        is staged before it replaces the one it was made from."""
         rows = incoming.count()
-        if rows == 0:
-            return 0
-        result = merge(self.read(table), incoming, S.KEYS[table], update, defaults)
-        self.replace(table, stage(result, f"merged-{table}"))
+        if rows:
+            merged = merge(self.read(table), incoming, S.KEYS[table], update, defaults)
+            self.replace(table, stage(merged, f"merged-{table}") if self.exists(table) else merged)
         return rows
 
     def upsert_keyed(self, table: str, key: str, df: DataFrame, update: Sequence[str] = (),
@@ -154,15 +158,18 @@ class Warehouse:
         """`upsert` for a dimension with a surrogate key: known members keep theirs, new
         ones get the numbers after the largest, in order of the natural key."""
         natural = S.KEYS[table][0]
+        members = df.filter(F.col(natural).isNotNull())
+        if not self.exists(table):
+            return self._merge_written(
+                table, ordering.number_rows(members, natural, key), update, defaults)
         stored = self.read(table)
         top = stored.agg(F.coalesce(F.max(key), F.lit(0))).collect()[0][0]
-        members = df.filter(F.col(natural).isNotNull())
-        known = members.join(stored.select(natural, key), natural, "left")
-        known = stage(known, f"members-{table}")
+        known = stage(members.join(stored.select(natural, key), natural, "left"),
+                      f"members-{table}")
         new = ordering.number_rows(
             known.filter(F.col(key).isNull()).drop(key), natural, key, after=top)
-        return self.upsert(table, known.filter(F.col(key).isNotNull()).unionByName(new),
-                           update, defaults)
+        return self._merge_written(
+            table, known.filter(F.col(key).isNotNull()).unionByName(new), update, defaults)
 
     def delete_sales_of_month(self, year: int, month: int) -> None:
         """Remove the facts dated in a calendar month. Sales of the last day may be stored

@@ -62,14 +62,14 @@ def test_upsert_counts_and_empty_input(spark, tmp_path):
 
 
 def test_period_run_is_repeatable_and_matches_backfill(spark, tmp_path, source):
-    months = ["2011-01", "2011-02", "2011-03"]
+    months = ["2011-01", "2011-02"]
     store = Warehouse(spark, str(tmp_path / "a"))
     for month in months:
         result = periods.run_period(spark, source, store.root, 2011, int(month[5:]))
         assert result["status"] == "success" and result["rows_loaded"] > 0
     tables = [t for t in S.TABLES if t not in ("pipeline_log", "dim_customer", "fact_sales")]
     before = {t: content(store, t) for t in (*tables, "dim_customer", "fact_sales")}
-    periods.run_period(spark, source, store.root, 2011, 3)
+    periods.run_period(spark, source, store.root, 2011, 2)
     assert {t: content(store, t) for t in before} == before
 
     # rerunning an older month leaves the latest scores alone
@@ -104,13 +104,13 @@ def test_period_run_is_repeatable_and_matches_backfill(spark, tmp_path, source):
     assert [tuple(r) for r in top.collect()] == [(r.stock_code, r.revenue) for r in report.collect()]
 
     log = history.run_log(store.read("pipeline_log")).collect()
-    assert len(log) == 5 and all(r.status == "success" and r.duration.total_seconds() > 0 for r in log)
+    assert len(log) == 4 and all(r.status == "success" and r.duration.total_seconds() > 0 for r in log)
     assert [r.started_at for r in log] == sorted((r.started_at for r in log), reverse=True)
 
-    march = sold.filter(F.col("date_key").between(20110301, 20110331)).count()
+    january = sold.filter(F.col("date_key").between(20110101, 20110131)).count()
     total = sold.count()
-    store.delete_sales_of_month(2011, 3)
-    assert store.read("fact_sales").count() == total - march
+    store.delete_sales_of_month(2011, 1)
+    assert store.read("fact_sales").count() == total - january > 0
 
     out = str(tmp_path / "export")
     chosen = history.reco_period(store.read("product_recommendation"), "2011-02").drop("label")
