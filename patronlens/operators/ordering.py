@@ -44,10 +44,10 @@ def number_rows(df: DataFrame, key: str, name: str, after: int = 0) -> DataFrame
 
 
 def order_statistics(df: DataFrame, groups: Sequence[str], value: str,
-                     ranks: Sequence[Column], rows: int | None = None) -> DataFrame:
+                     ranks: Sequence[str], rows: int | None = None) -> DataFrame:
     """The values at given positions (from 0) of each group's ascending order, exactly.
 
-    `ranks` are bigint expressions of `n`, the group's number of values. One row per group:
+    `ranks` are SQL expressions of `n`, the group's number of values. One row per group:
     n, v_min, v_max and at_0, at_1, ... for the ranks. `groups` must have few distinct
     values (periods, metrics, segments).
 
@@ -60,28 +60,27 @@ def order_statistics(df: DataFrame, groups: Sequence[str], value: str,
         placed = _place_whole(counted, groups, value)
     else:
         placed = _place_sliced(counted, groups, value, ranks)
-    end = F.col("first") + F.col("weight")
-    picks = [F.max(F.when((rank >= F.col("first")) & (rank < end), F.col(value))).alias(f"at_{i}")
-             for i, rank in enumerate(ranks)]
+    picks = [F.expr(f"max(CASE WHEN {rank} >= first AND {rank} < first + weight THEN `{value}` END)"
+                    f" AS at_{i}") for i, rank in enumerate(ranks)]
     return placed.groupBy(*groups).agg(
         F.max("n").alias("n"), F.max("v_min").alias("v_min"), F.max("v_max").alias("v_max"),
         *picks)
 
 
-def quantile_ranks(fractions: Sequence[tuple[int, int]]) -> list[Column]:
+def quantile_ranks(fractions: Sequence[tuple[int, int]]) -> list[str]:
     """Ranks of the two neighbours of each k/d quantile, for `scaled_quantile`."""
     ranks = []
     for k, d in fractions:
-        low = F.expr(f"((n - 1) * {k}) div {d}")
-        ranks += [low, low + F.expr(f"cast(((n - 1) * {k}) % {d} > 0 as bigint)")]
+        low = f"((n - 1) * {k}) div {d}"
+        ranks += [f"({low})", f"({low} + cast(((n - 1) * {k}) % {d} > 0 as bigint))"]
     return ranks
 
 
 def scaled_quantile(i: int, k: int, d: int) -> Column:
     """d times the linearly interpolated k/d quantile, an exact integer; the i-th of the
     fractions given to `quantile_ranks`."""
-    rest = F.expr(f"((n - 1) * {k}) % {d}")
-    return F.col(f"at_{2 * i}") * (F.lit(d) - rest) + F.col(f"at_{2 * i + 1}") * rest
+    rest = f"((n - 1) * {k}) % {d}"
+    return F.expr(f"at_{2 * i} * ({d} - {rest}) + at_{2 * i + 1} * ({rest})")
 
 
 def _place_whole(counted: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
@@ -94,7 +93,7 @@ def _place_whole(counted: DataFrame, groups: Sequence[str], value: str) -> DataF
 
 
 def _place_sliced(counted: DataFrame, groups: Sequence[str], value: str,
-                  ranks: Sequence[Column]) -> DataFrame:
+                  ranks: Sequence[str]) -> DataFrame:
     """Only the slices that hold a wanted rank are ordered; the size of a slice is bounded
     by the partitioning, not by the data."""
     sliced = in_slices(counted, [*groups, value], "ordered")
@@ -104,9 +103,9 @@ def _place_sliced(counted: DataFrame, groups: Sequence[str], value: str,
     starts = (starts.withColumn("n", F.sum("slice_weight").over(whole))
               .withColumn("v_min", F.min("low").over(whole))
               .withColumn("v_max", F.max("high").over(whole)))
-    end = F.col("start") + F.col("slice_weight")
-    wanted = (starts.filter(F.exists(F.array(*ranks), lambda r: (
-                  r >= F.col("start")) & (r < end)))
+    holds_one = " OR ".join(
+        f"({rank} >= start AND {rank} < start + slice_weight)" for rank in ranks)
+    wanted = (starts.filter(holds_one)
               .select(*groups, SLICE, "start", "n", "v_min", "v_max"))
     before = (Window.partitionBy(*groups, SLICE).orderBy(value)
               .rowsBetween(Window.unboundedPreceding, -1))

@@ -36,41 +36,43 @@ def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS,
     equally wide bins between the extremes (`width_edges`). Both are in units of the metric.
     `edges` are the edges in force as integers: x lies above an edge when x > edges[i]."""
     long = rfm.select("period", F.inline(F.array(*[
-        F.struct(F.lit(metric).alias("metric"), F.col(column).cast("bigint").alias("v"))
-        for metric, (column, _, _) in METRICS.items()])))
-    last = F.col("n") - 1
-    places = [last.cast("double") * F.lit(q) for q in _bin_fractions(bins)]
-    lows = [F.floor(place).cast("bigint") for place in places]
-    highs = [F.least(low + 1, last) for low in lows]
-    found = order_statistics(long, ["period", "metric"], "v", [*lows, *highs], rows)
-
-    unit = F.lit(1.0)
-    for metric, (_, units, _) in METRICS.items():
-        unit = F.when(F.col("metric") == metric, F.lit(float(units))).otherwise(unit)
-
-    def quantile(k: int) -> Column:
-        low, high = F.col(f"at_{k}") / unit, F.col(f"at_{bins + 1 + k}") / unit
-        part = places[k] - lows[k]
+        F.struct(F.lit(metric).alias("metric"), F.lit(float(units)).alias("unit"),
+                 F.col(column).cast("bigint").alias("v"))
+        for metric, (column, units, _) in METRICS.items()])))
+    fractions = _bin_fractions(bins)
+    lows = [f"cast(floor(cast(n - 1 as double) * {q!r}D) as bigint)" for q in fractions]
+    highs = [f"least({low} + 1, n - 1)" for low in lows]
+    found = order_statistics(long, ["period", "metric", "unit"], "v", [*lows, *highs], rows)
+    unit = F.col("unit")
+    found = found.select(
+        "period", "metric", "unit", "n", (F.col("v_min") / unit).alias("low"),
+        (F.col("v_max") / unit).alias("high"),
+        *[F.expr("array(" + ", ".join(f"at_{at + k} / unit" for k in range(bins + 1)) + ")")
+          .alias(name) for name, at in (("lows", 0), ("highs", bins + 1))])
+
+    def between(q: Column, i: Column) -> Column:
+        """The quantile between its two neighbours, from the nearer one."""
+        place, low, high = (F.col("n") - 1) * q, F.get("lows", i), F.get("highs", i)
+        part = place - F.floor(place)
         return F.when(part < 0.5, low + (high - low) * part).otherwise(
             high - (high - low) * (F.lit(1.0) - part))
 
-    quantiles = F.array(*[quantile(k) for k in range(bins + 1)])
-    low, high = F.col("v_min") / unit, F.col("v_max") / unit
     # a constant column is widened by a thousandth on both sides
-    slack = F.when(low == high, F.when(low == 0, F.lit(0.001)).otherwise(
-        F.lit(0.001) * F.abs(low))).otherwise(F.lit(0.0))
-    low, high = low - slack, high + slack
-    step = (high - low) / F.lit(float(bins))
-    edges = found.select(
-        "period", "metric", "n", unit.alias("unit"),
-        F.when(F.size(F.array_distinct(quantiles)) == bins + 1, F.lit("quantile"))
+    slack = F.when(F.col("low") < F.col("high"), F.lit(0.0)).when(
+        F.col("low") == 0, F.lit(0.001)).otherwise(F.lit(0.001) * F.abs("low"))
+    bottom, top = F.col("low") - F.col("slack"), F.col("high") + F.col("slack")
+    edges = found.withColumns({
+        "quantiles": F.transform(F.lit(fractions), between), "slack": slack}).select(
+        "period", "metric", "unit", "n",
+        F.when(F.size(F.array_distinct("quantiles")) == bins + 1, F.lit("quantile"))
         .otherwise(F.lit("width")).alias("method"),
-        F.slice(quantiles, 2, bins - 1).alias("quantile_edges"),
-        F.array(*[F.lit(float(k)) * step + low for k in range(1, bins)]).alias("width_edges"))
+        F.slice("quantiles", 2, bins - 1).alias("quantile_edges"),
+        F.transform(F.lit([float(k) for k in range(1, bins)]), lambda k: (
+            k * ((top - bottom) / F.lit(float(bins))) + bottom)).alias("width_edges"))
 
     def whole(edge: Column) -> Column:
         """The largest integer whose value in units does not exceed the edge."""
-        near, unit = F.floor(edge * F.col("unit")), F.col("unit")
+        near = F.floor(edge * unit)
         return (F.when((near + 1) / unit <= edge, near + 1)
                 .when(near / unit > edge, near - 1).otherwise(near)).cast("bigint")
 
@@ -82,11 +84,8 @@ def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS,
 
 def _score(metric: str, bins: int) -> Column:
     column, _, small_is_best = METRICS[metric]
-    value = F.col(column).cast("bigint")
-    score = F.lit(1)
-    for i in range(bins - 1):
-        score = score + (value > F.col(f"{metric}_edges")[i]).cast("int")
-    return (F.lit(bins + 1) - score if small_is_best else score).cast("int")
+    above = " + ".join(f"int({column} > {metric}_edges[{i}])" for i in range(bins - 1))
+    return F.expr(f"{bins} - ({above})" if small_is_best else f"1 + {above}")
 
 
 def segment_name(r: int, f: int, m: int) -> str:
@@ -98,32 +97,29 @@ def segment_name(r: int, f: int, m: int) -> str:
     return S.DEFAULT_SEGMENT
 
 
-def segment_of(r: Column, f: Column, m: Column, bins: int = S.SCORE_BINS) -> Column:
-    """Segment of a score triple. The rules are settled per triple when the plan is built,
-    so a row costs one lookup in a constant array instead of a chain of range checks."""
+def segment_of(r: str, f: str, m: str, bins: int = S.SCORE_BINS) -> Column:
+    """Segment of the score triple in three columns. The rules are settled per triple when
+    the plan is built, so a row costs one lookup in a constant array instead of a chain of
+    range checks."""
     marks = range(1, bins + 1)
-    names = [segment_name(i, j, k) for i in marks for j in marks for k in marks]
-    return F.get(F.lit(names), ((r - 1) * bins + (f - 1)) * bins + (m - 1))
+    names = ", ".join(f"'{segment_name(i, j, k)}'" for i in marks for j in marks for k in marks)
+    return F.expr(f"get(array({names}), (({r} - 1) * {bins} + {f} - 1) * {bins} + {m} - 1)")
 
 
 def score_rfm(rfm: DataFrame, thresholds: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
     """r/f/m scores, their concatenation and their sum."""
-    edges = thresholds.groupBy("period").pivot("metric", list(METRICS)).agg(
-        F.first("edges"))
-    edges = edges.select("period", *[F.col(m).alias(f"{m}_edges") for m in METRICS])
-    scored = (rfm.join(F.broadcast(edges), "period")  # one row per period
-              .withColumn("r_score", _score("recency", bins))
-              .withColumn("f_score", _score("frequency", bins))
-              .withColumn("m_score", _score("monetary", bins)))
-    return (scored.drop(*[f"{m}_edges" for m in METRICS])
-            .withColumn("rfm_score", F.concat(*[F.col(c).cast("string") for c in (
-                "r_score", "f_score", "m_score")]))
-            .withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score")))
+    edges = thresholds.groupBy("period").pivot("metric", list(METRICS)).agg(F.first("edges"))
+    edges = edges.withColumnsRenamed({m: f"{m}_edges" for m in METRICS})
+    scored = rfm.join(F.broadcast(edges), "period").select(  # one row per period
+        *rfm.columns, _score("recency", bins).alias("r_score"),
+        _score("frequency", bins).alias("f_score"), _score("monetary", bins).alias("m_score"))
+    return scored.withColumns({
+        "rfm_score": F.expr("concat(r_score, f_score, m_score)"),
+        "rfm_total": F.expr("r_score + f_score + m_score")})
 
 
 def assign_segment(scored: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
-    return scored.withColumn("segment", segment_of(
-        F.col("r_score"), F.col("f_score"), F.col("m_score"), bins))
+    return scored.withColumn("segment", segment_of("r_score", "f_score", "m_score", bins))
 
 
 def score_and_segment(rfm: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:

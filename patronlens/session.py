@@ -17,6 +17,8 @@ def build_session(app_name: str = "patronlens", master: str | None = None,
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               # recording the call site of every column costs more than small plans take to run
+               .config("spark.sql.dataFrameQueryContext.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)

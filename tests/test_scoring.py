@@ -105,7 +105,7 @@ def test_golden_segment_table(spark):
                 expected[int(r), int(f), m] = SHORT[name]
     df = spark.createDataFrame(list(expected), "r int, f int, m int")
     found = {(x.r, x.f, x.m): x.s for x in df.withColumn(
-        "s", scoring.segment_of(F.col("r"), F.col("f"), F.col("m"))).collect()}
+        "s", scoring.segment_of("r", "f", "m")).collect()}
     assert found == expected and len(found) == 125
 
 
