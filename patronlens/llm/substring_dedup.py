@@ -193,7 +193,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, seed: int = 5) -> DataFram
 def without_repeats(docs: DataFrame, window: int = 20, seed: int = 5) -> DataFrame:
     """`docs` with repeated windows cut from the text; a text that loses nothing is unchanged.
     The columns stay as they are, also such as are named like this operator's counts."""
-    own = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    own = docs.select("doc_id", "text", F.struct(*(c for c in docs.columns if c != "text")).alias("row"))
     kept = remove_repeats(own, window, seed)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return kept.select(*(text.alias("text") if name == "text" else F.col(f"row.`{name}`")
@@ -209,7 +209,7 @@ def op1_substring_dedup(spark, sf_dir):
 SQL = r"""
 WITH w AS (
     SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
-                               x -> x <> '') AS ws
+                               lambda x: x <> '') AS ws
     FROM documents),
 starts AS (SELECT doc_id, ws, unnest(range(len(ws) - 19)) AS i FROM w WHERE len(ws) >= 20),
 runs AS (SELECT doc_id, i, array_to_string(ws[i + 1:i + 20], ' ') AS run FROM starts),
