@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronlens.llm import substring_dedup
+from patronlens.llm import minhash_dedup, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [substring_dedup.op1_substring_dedup]
+    found = [substring_dedup.op1_substring_dedup, minhash_dedup.op7_minhash_dedup]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": substring_dedup.SQL}
+    return {"op1_substring_dedup": substring_dedup.SQL,
+            "op7_minhash_dedup": minhash_dedup.SQL}
