@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from patronlens.staging import new_path
 
@@ -51,3 +51,11 @@ def in_fold(doc_id: Column | str, folds: int) -> Column:
     """True for a document of the held-out fold; a document without an id is held out."""
     of = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(of.cast("string").cast("binary")) % folds == 0, F.lit(True))
+
+
+def extended(schema: T.StructType, **kinds: str) -> T.StructType:
+    """The schema with more columns (StructType.add would change the frame's own schema)."""
+    out = T.StructType(list(schema.fields))
+    for name, kind in kinds.items():
+        out = out.add(name, kind)
+    return out

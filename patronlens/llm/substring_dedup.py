@@ -184,10 +184,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, seed: int = 5) -> DataFram
                            .agg(F.collect_list("start").alias("__starts")), "starts")
     both = docs.join(starts.withColumnRenamed("doc_id", "__id"),
                      F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
-    schema = docs.schema
-    for name, kind in (("kept_text", "string"), ("n_words", "long"), ("n_removed", "long")):
-        schema = schema.add(name, kind)
-    return both.mapInArrow(_cut(window), schema)
+    return both.mapInArrow(_cut(window), common.extended(
+        docs.schema, kept_text="string", n_words="long", n_removed="long"))
 
 
 def without_repeats(docs: DataFrame, window: int = 20, seed: int = 5) -> DataFrame:
