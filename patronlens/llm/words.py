@@ -59,20 +59,24 @@ def _block_hashes(buf: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64))
 
 
+def slices(data: bytes, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Begin and end of parts of about `size` bytes, cut at separators."""
+    at = 0
+    while at < len(data):
+        end = min(at + size, len(data))
+        while end < len(data) and not _SEPARATOR[data[end]]:
+            end += 1
+        yield at, end
+        at = end
+
+
 def word_hashes(data: bytes) -> np.ndarray:
     """A 64-bit hash for each word of `data`, in order. Works through long texts in blocks
     cut between words, so memory follows the block (or the longest word), not the text."""
     buf = np.frombuffer(data, np.uint8)
     if len(buf) <= BLOCK_BYTES:
         return _block_hashes(buf)
-    parts, at = [], 0
-    while at < len(buf):
-        end = min(at + BLOCK_BYTES, len(buf))
-        while end < len(buf) and not _SEPARATOR[buf[end]]:
-            end += 1
-        parts.append(_block_hashes(buf[at:end]))
-        at = end
-    return np.concatenate(parts)
+    return np.concatenate([_block_hashes(buf[at:end]) for at, end in slices(data)])
 
 
 def hashes_of(texts: list[bytes]) -> Iterator[np.ndarray]:
