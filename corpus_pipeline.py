@@ -6,7 +6,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronlens.llm import common, substring_dedup
+from patronlens.llm import (common, language_id, minhash_dedup, packing, quality,
+                            substring_dedup)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones teach."""
+    return language_id.in_known_language(docs)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that read like those labelled as good."""
+    return quality.good_documents(docs, common.table(spark, sf_dir, "labels"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every group of near-duplicates."""
+    return minhash_dedup.one_of_each(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,7 +30,14 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return substring_dedup.without_repeats(docs)
 
 
-STAGES = [("substring_dedup", without_repeats)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all pieces in sequences of equal length."""
+    return packing.pack(docs)
+
+
+STAGES = [("language_id", known_language), ("quality_classifier", good_quality),
+          ("minhash_dedup", one_of_each), ("substring_dedup", without_repeats),
+          ("best_fit_packing", packed)]
 ORACLE_SQL = None  # trained models and tokenizers have no SQL form
 
 

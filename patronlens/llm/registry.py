@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronlens.llm import language_id, minhash_dedup, packing, substring_dedup
+from patronlens.llm import language_id, minhash_dedup, packing, quality, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [substring_dedup.op1_substring_dedup, packing.op2_best_fit_packing,
-             minhash_dedup.op7_minhash_dedup, language_id.op10_language_id]
+             quality.op4_quality_classifier, minhash_dedup.op7_minhash_dedup,
+             language_id.op10_language_id]
     return {f.__name__: f for f in found}
 
 
