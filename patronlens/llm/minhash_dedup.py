@@ -9,8 +9,8 @@ agree by chance. Pairs estimated well above the threshold minus five standard er
 are confirmed on their full sets.
 
 Groups are not expanded into pairs. Members of a band group are first compared with the
-group's smallest member, the most similar one first; then the other stars between documents
-not yet connected; at last, inside groups that still hold several components, pairs across
+group's smallest member: each document with the one it shares most bands with, then with the
+others it is not yet connected to; at last, inside groups that still hold several components, pairs across
 components, which the estimate thins out within the join. A pair that is skipped joins documents
 that are connected already, so components are the same as with all pairs. Components come
 from smallest labels with pointer jumping, as joins.
@@ -139,15 +139,24 @@ def _likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
             .where(F.col("likeness") >= THRESHOLD / 100 - SLACK))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose full sets reach the threshold."""
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs whose full sets reach the threshold. The sets are made once, by the same plan
+    at every size: the ids of the pairs are not broadcast."""
+    ids = (pairs.select(F.col("a").alias("doc_id")).unionByName(
+        pairs.select(F.col("b").alias("doc_id"))).distinct())
+    sets = common.staged(texts.join(ids.hint("merge"), "doc_id", "left_semi")
+                         .dropDuplicates(["doc_id"])
+                         .mapInArrow(_sets, "doc_id long, set array<long>"), "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
-    return (pairs.select("a", "b").join(right, "b").join(left, "a")
-            .select("a", "b", shared.alias("shared"), (F.size("x") + F.size("y")).alias("both"))
-            .where(F.col("shared") * 100 >= (F.col("both") - F.col("shared")) * THRESHOLD)
-            .select("a", "b"))
+    links = common.staged(
+        pairs.select("a", "b").join(right, "b").join(left, "a")
+        .select("a", "b", shared.alias("shared"), (F.size("x") + F.size("y")).alias("both"))
+        .where(F.col("shared") * 100 >= (F.col("both") - F.col("shared")) * THRESHOLD)
+        .select("a", "b"), "links")
+    common.unstage(sets)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -187,21 +196,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bands = leaders.select(F.explode("bands").alias("key"), "doc_id")
     groups = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("size"))
     grouped = common.staged(bands.join(groups.where("size > 1").select("key", "a"), "key"), "bands")
-    stars = (grouped.where("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct())
-    pairs = common.staged(_likely(stars, leaders), "pairs")
-    sets = _sets_of(texts, pairs)
-    # the most similar star of each document first; it settles nearly all of them
-    best = pairs.groupBy("b").agg(F.max_by("a", "likeness").alias("a")).select("a", "b")
-    edges = common.staged(_confirmed(best, sets), "links")
-    found = components(edges)
-    rest = _across(pairs.join(best, ["a", "b"], "left_anti"), found)
-    edges = common.staged(edges.unionByName(_confirmed(rest, sets)), "links")
-    common.unstage(sets)
+    stars = common.staged(grouped.where("doc_id > a").groupBy("a", F.col("doc_id").alias("b"))
+                          .agg(F.count(F.lit(1)).alias("bands")), "stars")
+    # the star that shares most bands with a document first; it settles nearly all of them
+    best = common.staged(stars.groupBy("b").agg(F.max_by("a", "bands").alias("a"))
+                         .select("a", "b"), "best")
+    edges = _confirmed(common.staged(_likely(best, leaders), "pairs"), texts)
     found = components(edges)
-    inner = _inside(grouped, found, leaders)
-    if not inner.isEmpty():
-        edges = edges.unionByName(_confirmed(inner, _sets_of(texts, inner)))
-        found = components(edges)
+    rest = _across(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), found)
+    for pairs in (lambda: _likely(rest, leaders), lambda: _inside(grouped, found, leaders)):
+        more = common.staged(pairs(), "pairs")
+        if not more.isEmpty():
+            edges = common.staged(edges.unionByName(_confirmed(more, texts)), "links")
+            found = components(edges)
     member = (every.select("doc_id", "n", "d1", "d2")
               .join(classes, ["d1", "d2"], "left")
               .join(found.withColumnRenamed("doc_id", "leader"), "leader", "left"))
@@ -210,13 +217,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _sets_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    ids = (pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))).distinct())
-    return common.staged(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-                         .mapInArrow(_sets, "doc_id long, set array<long>"), "sets")
-
-
 def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs whose ends lie in different components."""
     left = found.select(F.col("doc_id").alias("a"), F.col("component").alias("ca"))
