@@ -53,7 +53,7 @@ def in_fold(doc_id: Column | str, folds: int) -> Column:
     return F.coalesce(F.crc32(of.cast("string").cast("binary")) % folds == 0, F.lit(True))
 
 
-def extended(schema: T.StructType, **kinds: str) -> T.StructType:
+def extended(schema: T.StructType, **kinds: str | T.DataType) -> T.StructType:
     """The schema with more columns (StructType.add would change the frame's own schema)."""
     out = T.StructType(list(schema.fields))
     for name, kind in kinds.items():

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from patronlens.llm import (fingerprints, language_id, lm_scoring, minhash_dedup, nearest, packing,
-                            quality, substring_dedup, toxicity)
+                            pieces, quality, substring_dedup, toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [substring_dedup.op1_substring_dedup, packing.op2_best_fit_packing,
-             quality.op4_quality_classifier, lm_scoring.op5_lm_scoring,
+             pieces.op3_sentencepiece, quality.op4_quality_classifier, lm_scoring.op5_lm_scoring,
              fingerprints.op6_document_fingerprints, minhash_dedup.op7_minhash_dedup,
              toxicity.op8_toxicity, nearest.op9_nearest_neighbours,
              language_id.op10_language_id]
