@@ -212,7 +212,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = (every.select("doc_id", "n", "d1", "d2")
               .join(classes, ["d1", "d2"], "left")
               .join(found.withColumnRenamed("doc_id", "leader"), "leader", "left"))
-    component = F.coalesce("component", "leader", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "leader", "doc_id"))
     return member.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
