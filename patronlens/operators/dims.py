@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from patronlens import schemas as S
 from patronlens.functions import dates
@@ -16,15 +16,24 @@ def dim_customer(lines: DataFrame) -> DataFrame:
     """Most frequent country (ties: smallest; none: 'Unknown'), first and last order,
     number of invoices.
 
-    The distinct count groups by (customer, invoice) before anything meets on the customer
-    alone; the mode's counter holds at most one entry per country."""
-    return (lines.withColumn("country", _country(lines))
-            .groupBy("customer_id").agg(
-                F.coalesce(F.mode("country", deterministic=True),
-                           F.lit(S.UNKNOWN_COUNTRY)).alias("country"),
-                F.min("invoice_date").alias("first_order"),
-                F.max("invoice_date").alias("last_order"),
-                F.count_distinct("invoice_no").alias("total_orders")))
+    Lines are reduced to (customer, invoice) and to (customer, country) before anything
+    meets on the customer alone; of the countries, the most frequent first one stays."""
+    named = lines.withColumn("country", _country(lines))
+    orders = (named.groupBy("customer_id", "invoice_no").agg(
+                  F.min("invoice_date").alias("first_order"),
+                  F.max("invoice_date").alias("last_order"))
+              .groupBy("customer_id").agg(
+                  F.min("first_order").alias("first_order"),
+                  F.max("last_order").alias("last_order"),
+                  F.count("invoice_no").alias("total_orders")))
+    usual = Window.partitionBy("customer_id").orderBy(F.desc("lines"), "country")
+    country = (named.filter(F.col("country").isNotNull()).groupBy("customer_id", "country")
+               .agg(F.count(F.lit(1)).alias("lines"))
+               .withColumn("place", F.row_number().over(usual)).filter("place = 1")
+               .select("customer_id", "country"))
+    return orders.join(country, "customer_id", "left").select(
+        "customer_id", F.coalesce("country", F.lit(S.UNKNOWN_COUNTRY)).alias("country"),
+        "first_order", "last_order", "total_orders")
 
 
 def dim_product(lines: DataFrame) -> DataFrame:

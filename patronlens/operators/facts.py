@@ -27,10 +27,10 @@ def resolve_keys(staged: DataFrame, customers: DataFrame, products: DataFrame,
     No side is hinted: a dimension is broadcast when its known size allows it and joined
     by shuffle, with skewed keys split, when it does not."""
     return (staged
-            .join(customers.select("customer_id", "customer_key"), "customer_id", "left")
-            .join(products.select("stock_code", "product_key"), "stock_code", "left")
+            .filter(F.col("date_key").isNotNull())
+            .join(customers.select("customer_id", "customer_key"), "customer_id")
+            .join(products.select("stock_code", "product_key"), "stock_code")
             .join(geography.select("country", "geo_key"), "country", "left")
-            .dropna(subset=["customer_key", "product_key", "date_key"])
             .select("invoice_no",
                     F.col("customer_key").cast("bigint").alias("customer_key"),
                     F.col("product_key").cast("bigint").alias("product_key"),

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from patronlens.staging import stage
 
 SLICE = "_slice"
-ONE_SLICE_ROWS = 2_000_000
 
 
 def in_slices(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
@@ -44,22 +43,18 @@ def number_rows(df: DataFrame, key: str, name: str, after: int = 0) -> DataFrame
 
 
 def order_statistics(df: DataFrame, groups: Sequence[str], value: str,
-                     ranks: Sequence[str], rows: int | None = None) -> DataFrame:
+                     ranks: Sequence[str]) -> DataFrame:
     """The values at given positions (from 0) of each group's ascending order, exactly.
 
     `ranks` are SQL expressions of `n`, the group's number of values. One row per group:
     n, v_min, v_max and at_0, at_1, ... for the ranks. `groups` must have few distinct
     values (periods, metrics, segments).
 
-    Equal values are first counted together, so a heavy value is one row. Pass `rows`, an
-    upper bound on the rows of any group, where it is known: up to ONE_SLICE_ROWS a group
-    is ordered in one task, beyond that (or unknown) by slices of a global order."""
+    Equal values are first counted together, so a heavy value is one row; the distinct
+    values are ordered by slices of a global order."""
     counted = (df.filter(F.col(value).isNotNull())
                .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("weight")))
-    if rows is not None and rows <= ONE_SLICE_ROWS:
-        placed = _place_whole(counted, groups, value)
-    else:
-        placed = _place_sliced(counted, groups, value, ranks)
+    placed = _place_sliced(counted, groups, value, ranks)
     picks = [F.expr(f"max(CASE WHEN {rank} >= first AND {rank} < first + weight THEN `{value}` END)"
                     f" AS at_{i}") for i, rank in enumerate(ranks)]
     return placed.groupBy(*groups).agg(
@@ -83,19 +78,10 @@ def scaled_quantile(i: int, k: int, d: int) -> Column:
     return F.expr(f"at_{2 * i} * ({d} - {rest}) + at_{2 * i + 1} * ({rest})")
 
 
-def _place_whole(counted: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    whole = Window.partitionBy(*groups)
-    before = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return counted.select(
-        *groups, value, "weight", F.sum("weight").over(whole).alias("n"),
-        F.min(value).over(whole).alias("v_min"), F.max(value).over(whole).alias("v_max"),
-        F.coalesce(F.sum("weight").over(before), F.lit(0)).alias("first"))
-
-
 def _place_sliced(counted: DataFrame, groups: Sequence[str], value: str,
                   ranks: Sequence[str]) -> DataFrame:
-    """Only the slices that hold a wanted rank are ordered; the size of a slice is bounded
-    by the partitioning, not by the data."""
+    """Only the slices that hold a wanted rank are ordered. A slice has about the distinct
+    values divided by the shuffle partitions, so set the partitions for the data."""
     sliced = in_slices(counted, [*groups, value], "ordered")
     starts = slice_starts(sliced, F.col("weight"), groups,
                           (F.min(value).alias("low"), F.max(value).alias("high")))

@@ -26,6 +26,78 @@ def _metric(segment: Column) -> Column:
     return by_segment
 
 
+def _limits(periods: Sequence[str], inclusive_end: bool) -> list[Column]:
+    return [dates.timestamp_literal(dates.cutoff(p, inclusive_end)) for p in periods]
+
+
+def _place(periods: Sequence[str]) -> Column:
+    return (F.array_position(F.lit(list(periods)), F.col("period")) - 1).cast("int")
+
+
+def _running_totals(sold: DataFrame, members: DataFrame, periods: Sequence[str],
+                    inclusive_end: bool) -> DataFrame:
+    """Cents and units per (period, segment, product) of all sales up to each period by the
+    customers who are then in the segment.
+
+    Sales are reduced to the period in which they enter, customers to their runs of periods
+    in one segment. A sale adds to a segment's total where both begin and is taken off where
+    the run ends, so a row is repeated once per run of its customer, not once per period."""
+    by_time = Window.partitionBy("customer_id").orderBy("at")
+    fresh = F.coalesce((F.lag("segment").over(by_time) != F.col("segment"))
+                       | (F.lag("at").over(by_time) != F.col("at") - 1), F.lit(True))
+    runs = (members.select("customer_id", "segment", _place(periods).alias("at"))
+            .withColumn("fresh", fresh.cast("int"))
+            .withColumn("run", F.sum("fresh").over(by_time))
+            .groupBy("customer_id", "run", "segment")
+            .agg(F.min("at").alias("begin"), (F.max("at") + 1).alias("end"))
+            .filter(_metric(F.col("segment")) != "recency_weighted"))
+    entry = sum(((F.col("invoice_date") > limit).cast("int")
+                 for limit in _limits(periods, inclusive_end)), F.lit(0))
+    entered = (sold.withColumn("entry", entry).groupBy("customer_id", "stock_code", "entry")
+               .agg(F.sum("amount_cents").alias("cents"), F.sum("quantity").alias("units"),
+                    F.count(F.lit(1)).alias("lines")))
+    values = ("cents", "units", "lines")
+    begin, end = F.greatest("begin", "entry"), F.col("end")
+    changes = (entered.join(runs, "customer_id").filter(F.col("entry") < end)
+               .select("segment", "stock_code", F.explode(F.array(
+                   F.struct(begin.alias("at"), *values),
+                   F.struct(end.alias("at"), *[(-F.col(v)).alias(v) for v in values]))).alias("c"))
+               .groupBy("segment", "stock_code", "c.at")
+               .agg(*[F.sum(f"c.{v}").alias(v) for v in values])
+               .filter(F.col("at") < len(periods)))
+    in_order = Window.partitionBy("segment", "stock_code").orderBy("at")
+    until = F.lead("at", 1, len(periods)).over(in_order)
+    totals = changes.select("segment", "stock_code", "at", until.alias("until"),
+                            *[F.sum(v).over(in_order).alias(v) for v in values])
+    return (totals.filter(F.col("lines") > 0)
+            .select("segment", "stock_code", "cents", "units",
+                    F.explode(F.sequence("at", F.col("until") - 1)).alias("at"))
+            .select(F.get(F.lit(list(periods)), F.col("at")).alias("period"), "segment",
+                    "stock_code", F.when(_metric(F.col("segment")) == "revenue", F.col("cents"))
+                    .otherwise(F.col("units")).alias("total"),
+                    F.lit(None).cast("double").alias("weight")))
+
+
+def _weighted_totals(sold: DataFrame, members: DataFrame, periods: Sequence[str],
+                     inclusive_end: bool) -> DataFrame:
+    """Sums of 1 / (1 + days before the segment's latest sale): the weights change with every
+    period, so the members of these segments meet their sales once for each."""
+    wanted = members.filter(_metric(F.col("segment")) == "recency_weighted")
+    # the segment's latest sale is the latest of its customers' latest sales;
+    # one row per period and segment, which also carries the period's cutoff
+    latest = (wanted.groupBy("period", "segment").agg(F.max("last_purchase").alias("latest"))
+              .withColumn("limit", F.get(F.array(*_limits(periods, inclusive_end)),
+                                         _place(periods))))
+    present = wanted.select("customer_id", "period", "segment").join(
+        F.broadcast(latest), ["period", "segment"])
+    age = dates.whole_days_between(F.col("latest"), F.col("invoice_date"))
+    return (sold.join(present, "customer_id").filter(F.col("invoice_date") <= F.col("limit"))
+            .groupBy("period", "segment", "stock_code")
+            .agg(F.sum(F.lit(1.0) / (1 + age)).alias("weight"))
+            .select("period", "segment", "stock_code",
+                    F.lit(None).cast("bigint").alias("total"), "weight"))
+
+
 def recommend(lines: DataFrame, segmented: DataFrame, periods: Sequence[str],
               top_n: int = S.TOP_RECOMMENDATIONS, inclusive_end: bool = False) -> DataFrame:
     """The best `top_n` products of every segment and period, scored 0-100 of the segment's best.
@@ -34,31 +106,16 @@ def recommend(lines: DataFrame, segmented: DataFrame, periods: Sequence[str],
     on the segment: revenue, units sold, or sales weighted by 1 / (1 + days before the
     segment's latest sale). Sums are partial before the shuffle on (period, segment,
     product), so neither a heavy product nor a large segment lands in one task whole."""
-    wanted = segmented.filter(F.col("period").isin(list(periods)))
-    # the segment's latest sale is the latest of its customers' latest sales;
-    # one row per period and segment, which also carries the period's cutoff
-    limit = None
-    for p in sorted(set(periods)):
-        moment = dates.timestamp_literal(dates.cutoff(p, inclusive_end))
-        limit = (F.when(F.col("period") == p, moment) if limit is None
-                 else limit.when(F.col("period") == p, moment))
-    latest = (wanted.groupBy("period", "segment").agg(F.max("last_purchase").alias("latest"))
-              .withColumn("limit", limit).withColumn("metric", _metric(F.col("segment"))))
-    members = wanted.select("customer_id", "period", "segment")
-    members = members.join(F.broadcast(latest), ["period", "segment"])
-    last_limit = dates.timestamp_literal(dates.cutoff(max(periods), inclusive_end))
-
-    sold = lines.filter((F.col("amount_cents") > 0) & (F.col("invoice_date") <= last_limit)).select(
+    periods = sorted(set(periods))
+    members = segmented.filter(F.col("period").isin(periods)).select(
+        "customer_id", "period", "segment", "last_purchase")
+    sold = lines.filter((F.col("amount_cents") > 0)
+                        & (F.col("invoice_date") <= _limits(periods, inclusive_end)[-1])).select(
         "customer_id", "stock_code", "invoice_date", "amount_cents",
         F.col("quantity").cast("bigint").alias("quantity"))
     metric = F.col("metric")
-    age = dates.whole_days_between(F.col("latest"), F.col("invoice_date"))
-    totals = (sold.join(members, "customer_id").filter(F.col("invoice_date") <= F.col("limit"))
-              .groupBy("period", "segment", "stock_code")
-              .agg(F.sum(F.when(metric == "revenue", F.col("amount_cents"))
-                         .when(metric == "frequency", F.col("quantity"))).alias("total"),
-                   F.sum(F.when(metric == "recency_weighted", F.lit(1.0) / (1 + age)))
-                   .alias("weight"))
+    totals = (_running_totals(sold, members, periods, inclusive_end)
+              .unionByName(_weighted_totals(sold, members, periods, inclusive_end))
               .withColumn("metric", _metric(F.col("segment"))))
     best = totals.groupBy("period", "segment").agg(
         F.max("total").alias("best_total"), F.max("weight").alias("best_weight"))

@@ -26,10 +26,8 @@ def _bin_fractions(bins: int) -> list[float]:
     return [k * (1.0 / bins) for k in range(bins)] + [1.0]
 
 
-def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS,
-                   rows: int | None = None) -> DataFrame:
-    """Bin edges per period and metric: one row each. `rows`, where known, bounds the
-    number of customers of a period.
+def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
+    """Bin edges per period and metric: one row each.
 
     method "quantile": equal-count bins on linearly interpolated quantiles
     (`quantile_edges`). As soon as two quantiles coincide the metric switches to "width":
@@ -42,7 +40,7 @@ def rfm_thresholds(rfm: DataFrame, bins: int = S.SCORE_BINS,
     fractions = _bin_fractions(bins)
     lows = [f"cast(floor(cast(n - 1 as double) * {q!r}D) as bigint)" for q in fractions]
     highs = [f"least({low} + 1, n - 1)" for low in lows]
-    found = order_statistics(long, ["period", "metric", "unit"], "v", [*lows, *highs], rows)
+    found = order_statistics(long, ["period", "metric", "unit"], "v", [*lows, *highs])
     unit = F.col("unit")
     found = found.select(
         "period", "metric", "unit", "n", (F.col("v_min") / unit).alias("low"),
@@ -124,10 +122,10 @@ def assign_segment(scored: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
 
 def score_and_segment(rfm: DataFrame, bins: int = S.SCORE_BINS) -> DataFrame:
     """Scored and segmented customers of every period in `rfm`. The input is used for the
-    thresholds and again for the scores, so it is written once first; its row count, read
-    from the files' footers, decides how the thresholds are found."""
+    thresholds and again for the scores, so it is written once first; so are the thresholds,
+    three rows a period, which every later use of the result would find again."""
     base = stage(rfm, "rfm")
-    edges = rfm_thresholds(base, bins, base.count())
+    edges = stage(rfm_thresholds(base, bins), "thresholds")
     return assign_segment(score_rfm(base, edges, bins), bins)
 
 

@@ -10,16 +10,25 @@ from patronlens import schemas as S
 from patronlens.functions import dates, numbers, text
 
 
-def _orders() -> Column:
-    return F.count_distinct("invoice_no").alias("orders")
-
-
-def _customers() -> Column:
-    return F.count_distinct("customer_id").alias("customers")
-
-
-def _cents() -> Column:
-    return F.sum("amount_cents").alias("cents")
+def _per_group(lines: DataFrame, keys: dict[str, Column], customers: bool = True) -> DataFrame:
+    """Cents, units, orders and customers per group.
+
+    Lines are reduced once to (group, invoice, customer); what is left is reduced to one row
+    per (group, invoice) and one per (group, customer), so nothing is repeated for the two distinct
+    counts and a heavy group meets as partial counts only."""
+    names = list(keys)
+    units = F.col("quantity").cast("bigint") if "quantity" in lines.columns else F.lit(0)
+    base = (lines.groupBy(*[c.alias(n) for n, c in keys.items()], "invoice_no", "customer_id")
+            .agg(F.sum("amount_cents").alias("cents"), F.sum(units).alias("units_sold")))
+    sums = (F.sum("cents").alias("cents"), F.sum("units_sold").alias("units_sold"))
+    orders = (base.groupBy(*names, "invoice_no").agg(*sums).groupBy(*names)
+              .agg(*sums, F.count("invoice_no").alias("orders")))
+    if not customers:
+        return orders
+    buyers = (base.groupBy(*names, "customer_id").agg(F.lit(1).alias("one")).groupBy(*names)
+              .agg(F.count("customer_id").alias("customers")))
+    same = [F.col(f"o.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names]
+    return orders.alias("o").join(buyers.alias("b"), same).select("o.*", "b.customers")
 
 
 def _revenue() -> Column:
@@ -29,8 +38,7 @@ def _revenue() -> Column:
 def monthly_overview(lines: DataFrame) -> DataFrame:
     """Orders, customers, revenue and average order value per calendar month."""
     day = F.col("invoice_date").cast("date")
-    return (lines.groupBy(F.year(day).alias("year"), F.month(day).alias("month"))
-            .agg(_orders(), _customers(), _cents())
+    return (_per_group(lines, {"year": F.year(day), "month": F.month(day)})
             .select("year", "month",
                     F.concat_ws("-", F.col("year").cast("string"),
                                 F.lpad(F.col("month").cast("string"), 2, "0")).alias("ym"),
@@ -57,11 +65,9 @@ def year_list(monthly: DataFrame) -> DataFrame:
 def top_products(lines: DataFrame, products: DataFrame, limit: int = S.TOP_PRODUCTS,
                  label_width: int = 24) -> DataFrame:
     """Best-selling products. Descriptions are looked up for the winners only."""
-    best = (lines.groupBy("stock_code")
-            .agg(_cents(), F.sum(F.col("quantity").cast("bigint")).alias("units_sold"),
-                 _orders(), _customers())
+    best = (_per_group(lines, {"stock_code": F.col("stock_code")})
             .orderBy(F.col("cents").desc(), "stock_code").limit(limit))
-    return (products.join(F.broadcast(best), "stock_code")  # `limit` rows
+    return (products.join(best, "stock_code")
             .select("stock_code", "description", _revenue(), "units_sold", "orders", "customers",
                     text.product_label(F.col("stock_code"), F.col("description"),
                                        label_width).alias("label"))
@@ -69,8 +75,8 @@ def top_products(lines: DataFrame, products: DataFrame, limit: int = S.TOP_PRODU
 
 
 def by_country(lines: DataFrame) -> DataFrame:
-    return (lines.filter(F.col("country").isNotNull()).groupBy("country")
-            .agg(_customers(), _cents(), _orders())
+    return (_per_group(lines.filter(F.col("country").isNotNull()),
+                       {"country": F.col("country")})
             .select("country", "customers", _revenue(), "orders")
             .orderBy(F.col("revenue").desc(), "country"))
 
@@ -82,9 +88,9 @@ def top_countries(lines: DataFrame, limit: int = S.TOP_COUNTRIES) -> DataFrame:
 def by_weekday(lines: DataFrame) -> DataFrame:
     """Orders and revenue per weekday, Monday (0) first."""
     day = F.col("invoice_date").cast("date")
-    return (lines.groupBy(F.weekday(day).alias("day_of_week"),
-                          F.date_format(day, "EEEE").alias("day_name"))
-            .agg(_orders(), _cents())
+    return (_per_group(lines, {"day_of_week": F.weekday(day)}, customers=False)
+            .withColumn("day_name", F.date_format(
+                F.date_add(F.lit("2024-01-01").cast("date"), F.col("day_of_week")), "EEEE"))
             .select("day_name", "day_of_week", "orders", _revenue())
             .orderBy("day_of_week"))
 
@@ -103,10 +109,12 @@ def kpi_summary(dim_customer: DataFrame, dim_product: DataFrame, lines: DataFram
     figures = [
         dim_customer.agg(F.count(F.lit(1)).alias("customers")),
         dim_product.agg(F.count(F.lit(1)).alias("products")),
-        lines.agg(_orders(), F.coalesce(F.sum("amount_cents"), F.lit(0)).alias("cents")),
+        lines.groupBy("invoice_no").agg(F.sum("amount_cents").alias("cents")).agg(
+            F.count("invoice_no").alias("orders"),
+            F.coalesce(F.sum("cents"), F.lit(0)).alias("cents")),
         customer_rfm.agg(F.count(F.lit(1)).alias("rfm_count")),
-        snapshots.agg(F.count_distinct("period").alias("periods"),
-                      F.max("period").alias("latest_period")),
+        snapshots.select("period").distinct().agg(  # one row per period
+            F.count("period").alias("periods"), F.max("period").alias("latest_period")),
     ]
     # five one-row tables side by side: stacked, then folded into one row
     stacked = figures[0]

@@ -68,14 +68,19 @@ def migration_pair(snapshots: DataFrame, period_from: str, period_to: str) -> Da
     """Customers by their segments in two periods, unchanged ones included.
 
     Both periods are read in one scan and folded per customer instead of joined."""
+    # places in the list of segments instead of names: whole numbers are aggregated by hash
+    place = F.array_position(F.lit(list(S.SEGMENTS)), F.col("segment"))
+
     def at(period: str) -> Column:
-        return F.max(F.when(F.col("period") == period, F.col("segment")))
+        return F.max(F.when(F.col("period") == period, place))
 
     both = (snapshots.filter(F.col("period").isin(period_from, period_to))
             .groupBy("customer_id")
             .agg(at(period_from).alias("from_seg"), at(period_to).alias("to_seg")))
     return (both.dropna(subset=["from_seg", "to_seg"]).groupBy("from_seg", "to_seg")
             .agg(F.count(F.lit(1)).alias("customers"))
+            .withColumns({c: F.get(F.lit(list(S.SEGMENTS)), F.col(c).cast("int") - 1)
+                          for c in ("from_seg", "to_seg")})
             .orderBy(F.col("customers").desc(), "from_seg", "to_seg"))
 
 
@@ -131,12 +136,22 @@ def customer_journey(snapshots: DataFrame, customer_id: str) -> DataFrame:
 
 def journey_latest(snapshots: DataFrame) -> DataFrame:
     """Every customer's number of periods, current segment and latest spend."""
-    last = F.max_by(F.struct("period", "segment", "monetary"), "period")
-    return (snapshots.groupBy("customer_id")
-            .agg(F.count(F.lit(1)).alias("n_periods"), last.alias("last"))
-            .select("customer_id", "n_periods", F.col("last.period").alias("latest_period"),
-                    F.col("last.segment").alias("current_segment"),
-                    F.col("last.monetary").alias("latest_monetary")))
+    # month, place of the segment and cents in whole numbers, aggregated by hash
+    month = (F.substring("period", 1, 4).cast("int") * 100
+             + F.substring("period", 6, 2).cast("int"))
+    place = F.array_position(F.lit(list(S.SEGMENTS)), F.col("segment"))
+    last = (snapshots.select("customer_id", month.alias("month"), place.alias("place"),
+                             numbers.to_cents(F.col("monetary")).alias("cents"))
+            .groupBy("customer_id")
+            .agg(F.count(F.lit(1)).alias("n_periods"), F.max("month").alias("month"),
+                 F.max_by("place", "month").alias("place"),
+                 F.max_by("cents", "month").alias("cents")))
+    return last.select(
+        "customer_id", "n_periods",
+        F.format_string("%04d-%02d", F.expr("month div 100"), F.expr("month % 100"))
+        .alias("latest_period"),
+        F.get(F.lit(list(S.SEGMENTS)), F.col("place").cast("int") - 1).alias("current_segment"),
+        numbers.to_money(F.col("cents")).alias("latest_monetary"))
 
 
 def reco_period(recommendations: DataFrame, period: str, label_width: int = 28) -> DataFrame:

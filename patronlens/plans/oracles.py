@@ -12,8 +12,9 @@ lines AS (
          l_quantity AS quantity, p_retailprice AS unit_price, o_orderdate AS invoice_date,
          CAST(o_custkey AS VARCHAR) AS customer_id, n_name AS country,
          CAST(round_even(l_quantity * p_retailprice * 100, 0) AS BIGINT) AS cents
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+  LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN nation ON c_nationkey = n_nationkey)"""
 
 _SALES = _LINES + """,
 sales AS (SELECT * FROM lines

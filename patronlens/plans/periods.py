@@ -128,5 +128,5 @@ def run_backfill(spark: SparkSession, source: str, root: str, periods: Sequence[
         error = str(failure)
         raise
     finally:
-        store.log_run(f"{periods[0]}..{last}"[:20], FLOW, status, rows, started, error)
+        store.log_run(f"{periods[0]}..{last}", FLOW, status, rows, started, error)
     return {"periods": periods, "rows_loaded": rows, "status": status}

@@ -18,8 +18,8 @@ from patronlens.schemas import DETAIL_ROWS
 from patronlens.sources import testtables
 from patronlens.staging import stage_once
 
-PERIOD = "1999-12"
 PERIODS = dates.period_range("1999-01", "2000-01")
+PERIOD = PERIODS[-1]  # the latest scores are those of the latest period
 PAIR = ("1999-06", "1999-12")
 EVENT_CUTOFF = dt.datetime(2024, 1, 15)
 SEGMENT = "Loyal Customers"
@@ -337,20 +337,17 @@ def segment_names(spark, sf_dir):
 
 @_query
 def monetary_outliers(spark, sf_dir):
-    customers = _latest(spark, sf_dir)
-    return segments.monetary_outliers(customers, rows=customers.count())
+    return segments.monetary_outliers(_latest(spark, sf_dir))
 
 
 @_query
 def monetary_histogram(spark, sf_dir):
-    customers = _latest(spark, sf_dir)
-    return segments.monetary_histogram(customers, rows=customers.count())
+    return segments.monetary_histogram(_latest(spark, sf_dir))
 
 
 @_query
 def monetary_boxplot(spark, sf_dir):
-    customers = _latest(spark, sf_dir)
-    return segments.monetary_boxplot(customers, rows=customers.count())
+    return segments.monetary_boxplot(_latest(spark, sf_dir))
 
 
 # --- history ----------------------------------------------------------------------------

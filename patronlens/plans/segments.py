@@ -76,9 +76,8 @@ def segment_detail(customers: DataFrame, dim_customer: DataFrame, segment: str,
     countries = dim_customer.select("customer_id", "country")
     if limit is not None:
         chosen = chosen.orderBy(*order).limit(limit)
-        # `limit` rows on both sides: the country table is only filtered, never shuffled
-        countries = F.broadcast(countries.join(
-            F.broadcast(chosen.select("customer_id")), "customer_id", "left_semi"))
+        # where `limit` is small, its rows are broadcast by size and the countries only filtered
+        countries = countries.join(chosen.select("customer_id"), "customer_id", "left_semi")
     return chosen.join(countries, "customer_id", "left").select(
         "customer_id", "recency", "frequency", "monetary", "rfm_score", "country").orderBy(*order)
 
@@ -100,19 +99,19 @@ def _spend(customers: DataFrame) -> DataFrame:
     return customers.select("customer_id", "segment", _cents().alias("cents"))
 
 
-def _p95(spend: DataFrame, rows: int | None) -> DataFrame:
+def _p95(spend: DataFrame) -> DataFrame:
     """95th percentile of spend per segment, linear between neighbours: one row a segment."""
     found = order_statistics(spend, ["segment"], "cents",
-                             quantile_ranks([(19, 20)]), rows)
+                             quantile_ranks([(19, 20)]))
     return found.select("segment", F.col("v_max").alias("top"),
                         scaled_quantile(0, 19, 20).alias("p95_x20"))
 
 
-def monetary_outliers(customers: DataFrame, rows: int | None = None) -> DataFrame:
+def monetary_outliers(customers: DataFrame) -> DataFrame:
     """Per segment: p95 of spend, the largest spend, whether it exceeds 1.5 x p95, and the
-    number of customers above p95. `rows`, where known, bounds the number of customers."""
+    number of customers above p95."""
     spend = _spend(customers)
-    limits = F.broadcast(_p95(spend, rows))  # one row per segment
+    limits = F.broadcast(_p95(spend))  # one row per segment
     return (spend.join(limits, "segment").groupBy("segment")
             .agg(F.max("p95_x20").alias("p95_x20"), F.max("top").alias("top"),
                  F.count_if(F.col("cents") * 20 > F.col("p95_x20")).alias("above"))
@@ -122,12 +121,11 @@ def monetary_outliers(customers: DataFrame, rows: int | None = None) -> DataFram
                     F.col("above").alias("customers_above_p95")))
 
 
-def monetary_histogram(customers: DataFrame, bins: int = S.HISTOGRAM_BINS,
-                       rows: int | None = None) -> DataFrame:
+def monetary_histogram(customers: DataFrame, bins: int = S.HISTOGRAM_BINS) -> DataFrame:
     """Spend per segment in equal bins on [0, 1.1 x p95]; bin bins+1 holds what lies beyond
     the shown range, so the counts add up to all customers."""
     spend = _spend(customers)
-    limits = F.broadcast(_p95(spend, rows))  # one row per segment
+    limits = F.broadcast(_p95(spend))  # one row per segment
     # bin = floor(cents / (1.1 * p95 / bins)) in whole numbers; p95 is kept times 20
     place = F.least(F.expr(f"(cents * {200 * bins}) div (p95_x20 * 11)"), F.lit(bins))
     return (spend.join(limits, "segment")
@@ -135,12 +133,12 @@ def monetary_histogram(customers: DataFrame, bins: int = S.HISTOGRAM_BINS,
             .agg(F.count(F.lit(1)).alias("customers")))
 
 
-def monetary_boxplot(customers: DataFrame, rows: int | None = None) -> DataFrame:
+def monetary_boxplot(customers: DataFrame) -> DataFrame:
     """Five-number summary of spend per segment, and the outermost values within 1.5
     interquartile ranges of the box."""
     spend = _spend(customers)
     quarters = [(1, 4), (2, 4), (3, 4)]
-    found = order_statistics(spend, ["segment"], "cents", quantile_ranks(quarters), rows)
+    found = order_statistics(spend, ["segment"], "cents", quantile_ranks(quarters))
     box = found.select("segment", F.col("n").alias("customers"), "v_min", "v_max",
                        *[scaled_quantile(i, *quarter).alias(f"q{i + 1}_x4")
                          for i, quarter in enumerate(quarters)])

@@ -57,35 +57,12 @@ def extract_csv(spark: SparkSession, path: str, encoding: str = "auto",
     return _missing_to_null(latin)
 
 
-def extract_excel(spark: SparkSession, path: str) -> DataFrame:
-    """Workbooks (first sheet, header in the first row), one workbook per task at a time.
-    Columns come out as text. Needs a workbook reader that pandas knows on the executors."""
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as missing:
-        raise RuntimeError("reading Excel files needs the optional package openpyxl") from missing
-    files = spark.read.format("binaryFile").load(path)
-    head = files.select("content").limit(1).collect()[0].content
-    names = [str(c) for c in pd.read_excel(io.BytesIO(head), nrows=0).columns]
-
-    def sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                sheet = pd.read_excel(io.BytesIO(content))
-                yield sheet[names].apply(lambda c: c.map(str, na_action="ignore"))
-
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return files.select("content").mapInPandas(sheets, schema)
-
-
 def extract_data(spark: SparkSession, path: str, encoding: str = "auto",
                  multi_line: bool = False) -> DataFrame:
-    """Read a source by its extension: .csv, .xlsx or .xls (a single file or a glob)."""
+    """Read a source by its extension: .csv (a single file or a glob)."""
     extension = _extension(path)
     if extension == ".csv":
         return extract_csv(spark, path, encoding, multi_line)
-    if extension in (".xlsx", ".xls"):
-        return extract_excel(spark, path)
     raise ValueError(f"unsupported file type: {extension!r}")
 
 
@@ -96,5 +73,5 @@ def validate_schema(df: DataFrame) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with header; for short report tables only."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """CSV files with header, one for each of the result's partitions."""
+    df.write.mode("overwrite").option("header", True).csv(path)

@@ -22,13 +22,14 @@ def retail_lines(spark: SparkSession, sf_dir: str, country: bool = False) -> Dat
     """Order lines as invoice lines; returned lines play the cancelled invoices.
 
     Joins carry no hints: small sides are broadcast by their known size, others shuffled.
-    The customer and nation tables are only joined when the country is asked for."""
+    Left joins keep every line, cleaning decides what goes. The customer and nation tables
+    are only joined when the country is asked for."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    joined = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(parts, F.col("l_partkey") == F.col("p_partkey")))
+    joined = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+              .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left"))
     columns = [
         F.concat(F.when(F.col("l_returnflag") == "R", F.lit("C")).otherwise(F.lit("")),
                  F.col("o_orderkey").cast("string")).alias(S.INVOICE),
@@ -42,8 +43,8 @@ def retail_lines(spark: SparkSession, sf_dir: str, country: bool = False) -> Dat
     if country:
         customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-        joined = (joined.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-                  .join(nations, F.col("c_nationkey") == F.col("n_nationkey")))
+        joined = (joined.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+                  .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
         columns.append(F.col("n_name").alias(S.COUNTRY))
     return joined.select(*columns)
 

@@ -27,17 +27,6 @@ def execute_sql(spark: SparkSession, statement: str, params: dict | None = None)
     spark.sql(statement, args=params or {}).write.format("noop").mode("overwrite").save()
 
 
-def read_database(spark: SparkSession, url: str, table: str, properties: dict[str, str],
-                  column: str | None = None, lower: int = 0, upper: int = 0,
-                  partitions: int = 1) -> DataFrame:
-    """A table (or a parenthesised query with alias) of an external database; with a
-    numeric `column` the read is split into `partitions` ranges."""
-    if column is None:
-        return spark.read.jdbc(url, table, properties=properties)
-    return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper,
-                           numPartitions=partitions, properties=properties)
-
-
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
           update: Sequence[str] = (), defaults: dict[str, Column] | None = None) -> DataFrame:
     """`target` after inserting `source`: new keys are added, known keys take the `update`

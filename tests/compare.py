@@ -1,14 +1,19 @@
 """Order-insensitive comparison of a Spark result with a DuckDB result."""
 
+import os
+
 import duckdb
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def connect(sf_dir):
     con = duckdb.connect()
     for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+        path = f"{sf_dir}/{table}.parquet"
+        path = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
     return con
 
 

@@ -2,11 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as contract
 from compare import connect, differences
+from patronlens.plans import oracles, registry
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(contract.queries())
+NAMES = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -15,10 +15,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.queries()) == set(oracles.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_matches_sql(spark, con, name):
-    df = contract.queries()[name](spark, SF)
-    assert differences(df, con, contract.oracle_sql()[name]) is None
+    df = registry.queries()[name](spark, SF)
+    assert differences(df, con, oracles.oracle_sql()[name]) is None
