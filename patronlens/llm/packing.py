@@ -21,7 +21,10 @@ give no sequences; a null doc_id is kept as it is."""
 
 from __future__ import annotations
 
+import os
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,37 +49,80 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def _encoder(path: str):
-    """Texts to little-endian ids. The tokenizer drops white space and never joins what it
-    separates, so distinct words are encoded once and looked up from then on."""
-    from tokenizers import Tokenizer
-
+    """Texts to little-endian ids. The tokenizer ignores case and white space, never joins what
+    white space separates and parts letters from signs. So distinct lower-cased words are encoded
+    once and looked up from then on: a word of Latin letters by the tokenizer's model alone,
+    as the steps before it would not change it; others by the whole tokenizer. Words seen in one
+    group of texts only make room when there are too many."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     tokenizer = Tokenizer.from_file(path)
+    split_by_model = tokenizer.model.tokenize
+    as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    letters = {i: as_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(0x250)
+               if chr(i).isalpha() and chr(i).lower() == chr(i)
+               and unicodedata.is_normalized("NFC", chr(i))}
+    plain = set(map(chr, letters))
     known: dict[bytes, bytes] = {}
+    once: set[bytes] = set()
+
+    def learn(new: set[bytes]) -> None:
+        others = []
+        for word in new:
+            core = word.rstrip(b".,")
+            text = core.decode("utf-8")
+            if not plain.issuperset(text) or (core != word and not core):
+                others.append(word)
+                continue
+            ids = known.get(core)
+            if ids is None:
+                ids = array("I", [t.id for t in split_by_model(text.translate(letters))]).tobytes()
+                known[core] = ids
+                once.add(core)
+            if core != word:
+                stop = word[len(core):]
+                if stop not in known:
+                    whole([stop])
+                known[word] = ids + known[stop]
+        whole(others)
+
+    def whole(some: list[bytes]) -> None:
+        for i in range(0, len(some), 10_000):
+            part = some[i:i + 10_000]
+            for word, found in zip(part, tokenizer.encode_batch_fast(
+                    [w.decode("utf-8") for w in part], add_special_tokens=False)):
+                known[word] = array("I", found.ids).tobytes()
 
     def encode(texts: list[bytes]) -> list[bytes]:
         if len(texts) == 1 and len(texts[0]) > 2 * words.BLOCK_BYTES:
             return [b"".join(encode([texts[0][a:b]])[0] for a, b in words.slices(texts[0]))]
-        split = [t.split() for t in texts]
-        new = list(set().union(*split) - known.keys()) if split else []
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(set().union(*split))
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            found = tokenizer.encode_batch([w.decode("utf-8") for w in part],
-                                           add_special_tokens=False)
-            for word, ids in zip(part, found):
-                known[word] = np.array(ids.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        split = [t.lower().split() for t in texts]
+        distinct = set().union(*split)
+        once.difference_update(distinct)
+        new = distinct - known.keys()
+        learn(new)
+        once.update(new)
+        out = [b"".join(map(known.__getitem__, parts)) for parts in split]
+        if len(known) > CACHED_WORDS:
+            for word in once:
+                known.pop(word, None)
+            once.clear()
+            if len(known) > CACHED_WORDS:
+                known.clear()
+        return out
 
     return encode
 
 
-def _tokenize(path: str, capacity: int):
+def _tokenize(path: str, capacity: int, kept):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = _encoder(path)
+        # a broadcast value lives as long as the worker: each fills its own for all its tasks
+        encode = kept.value.get(path)
+        if encode is None:
+            encode = kept.value[path] = _encoder(path)
         task = TaskContext.get().partitionId()
         ranks = np.zeros(capacity + 1, np.int64)
         for batch in batches:
@@ -256,7 +302,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     pieces = common.staged(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                     F.col("text").cast("string").alias("text"))
-        .mapInArrow(_tokenize(tokenizer, capacity), _PIECES), "pieces")
+        .mapInArrow(_tokenize(tokenizer, capacity, spark.sparkContext.broadcast({})), _PIECES),
+        "pieces")
     totals = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     before = totals.withColumn("before", F.coalesce(F.sum("n").over(
         Window.partitionBy("length").orderBy("task").rowsBetween(
