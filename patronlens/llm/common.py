@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from patronlens.staging import new_path
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Settings that hold while a step is staged. Shuffle files go with their job;
+# small batches keep Python workers small beside long texts.
+STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+           "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,12 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of a job inside are deleted when it ends, so that a chain of staged
     steps needs the disk of its largest step, not of all of them."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {key: spark.conf.get(key, None) for key in STAGING}
+    for key, value in STAGING.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -47,7 +47,7 @@ _SEGMENT_BITS = FILTER_BITS // SEGMENTS
 
 def tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     """The hashes of each text's lower-cased words and its end."""
-    texts = [words.lower_ascii(t) for t in words.text_bytes(batch.column("text"))]
+    texts = (words.lower_ascii(t) for t in words.text_bytes(batch.column("text")))
     for hashes in words.hashes_of(texts):
         yield np.append(hashes, END)
 

@@ -5,12 +5,12 @@ sets form a class; the smallest doc_id stands for it, so copies never meet in pa
 class 240 minima are taken: 48 bands of 5 give candidate groups (a pair at similarity 0.75
 misses all bands with a probability of 2e-6), and the two low bits of every minimum, packed
 into eight longs, give an estimate by bit counts, corrected for the quarter of minima that
-agree by chance. Pairs estimated well above the threshold minus five standard errors go on and
-are confirmed on their full sets.
+agree by chance. Pairs whose estimate is above the threshold less four standard errors are
+confirmed on their full sets.
 
 Groups are not expanded into pairs. Members of a band group are first compared with the
-group's smallest member: each document with the one it shares most bands with, then with the
-others it is not yet connected to; at last, inside groups that still hold several components, pairs across
+group's centre: each document with the one it shares most bands with, then with the others
+it is not yet connected to; at last, inside groups that still hold several components, pairs across
 components, which the estimate thins out within the join. A pair that is skipped joins documents
 that are connected already, so components are the same as with all pairs. Components come
 from smallest labels with pointer jumping, as joins.
@@ -34,7 +34,7 @@ THRESHOLD = 75  # percent
 BANDS, ROWS = 48, 5
 BITS = 2
 PLANES = BITS * 4  # longs of a signature
-SLACK = 0.2  # of the estimate, over five standard errors of 240 minima
+SLACK = 0.135  # of the estimate, four standard errors of 240 minima
 
 _PLANES = ", ".join(f"s{i} long" for i in range(PLANES))
 _SCHEMA = f"doc_id long, n long, d1 long, d2 long, bands array<long>, {_PLANES}"
@@ -68,7 +68,7 @@ def _packed(best: np.ndarray) -> np.ndarray:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     weights = words.multipliers(ROWS, 3)
     for batch in batches:
-        texts = [words.lower_ascii(t) for t in words.text_bytes(batch.column("text"))]
+        texts = (words.lower_ascii(t) for t in words.text_bytes(batch.column("text")))
         sizes, digests, bands, packed = [], [], [], []
         for hashes in words.hashes_of(texts):
             found = shingles(hashes)
@@ -194,10 +194,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                 ["d1", "d2", "doc_id"], "left_semi")
         .dropDuplicates(["doc_id"]).drop("d1", "d2", "n"), "leaders")
     bands = leaders.select(F.explode("bands").alias("key"), "doc_id")
-    groups = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("size"))
-    grouped = common.staged(bands.join(groups.where("size > 1").select("key", "a"), "key"), "bands")
-    stars = common.staged(grouped.where("doc_id > a").groupBy("a", F.col("doc_id").alias("b"))
-                          .agg(F.count(F.lit(1)).alias("bands")), "stars")
+    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = common.staged(bands.join(sizes, "key"), "shared")
+    # a group's centre is the member that meets most others over all its groups: an original
+    # rather than one of its altered copies
+    weights = shared.groupBy("doc_id").agg(F.sum("size").alias("weight"))
+    centres = (shared.select("key", "doc_id").join(weights, "doc_id").groupBy("key")
+               .agg(F.max_by("doc_id", "weight").alias("a")))
+    grouped = common.staged(shared.select("key", "doc_id").join(centres, "key"), "bands")
+    common.unstage(shared)
+    stars = common.staged(
+        grouped.where("doc_id <> a").groupBy("a", F.col("doc_id").alias("b"))
+        .agg(F.count(F.lit(1)).alias("bands")), "stars")
     # the star that shares most bands with a document first; it settles nearly all of them
     best = common.staged(stars.groupBy("b").agg(F.max_by("a", "bands").alias("a"))
                          .select("a", "b"), "best")

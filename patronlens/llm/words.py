@@ -6,7 +6,7 @@ hash with a probability of about n * n / 2**65 for n sequences."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -79,7 +79,7 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.concatenate([_block_hashes(buf[at:end]) for at, end in slices(data)])
 
 
-def hashes_of(texts: list[bytes]) -> Iterator[np.ndarray]:
+def hashes_of(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
     """Word hashes of each text; short texts share one vectorised call."""
     group: list[bytes] = []
     size = 0
