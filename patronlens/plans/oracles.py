@@ -274,6 +274,35 @@ def oracle_sql() -> dict[str, str]:
                CAST(quantity AS INTEGER) AS quantity, unit_price,
                cents / 100.0::DOUBLE AS total_amount, invoice_date
         FROM sales JOIN c USING (customer_id) JOIN p USING (stock_code) JOIN g USING (country)""")
+    sql["clean_text"] = sql["clean_sales"]  # the given dates have whole minutes
+    early, late = "invoice_date <= TIMESTAMP '1999-06-30'", "invoice_date > TIMESTAMP '1999-06-30'"
+    both = ""
+    for name, when in (("old", early), ("new", late)):
+        both += _CUSTOMERS.replace("countries", f"countries_{name}").replace(
+            "customers AS", f"{name} AS").replace("sales", f"sales_{name}").replace(
+            "countries_" + name + " AS", f", countries_{name} AS" if name == "new"
+            else f"countries_{name} AS", 1)
+    halves = (f", sales_old AS (SELECT * FROM sales WHERE {early}),"
+              f" sales_new AS (SELECT * FROM sales WHERE {late}),")
+    for query, takes in (("upsert_update", "n"), ("upsert_ignore", "o")):
+        keeps = "o" if takes == "n" else "n"
+        sql[query] = _with(_SALES + halves + both, f"""
+            SELECT customer_id, coalesce({takes}.country, {keeps}.country) AS country,
+                   coalesce(o.first_order, n.first_order) AS first_order,
+                   coalesce({takes}.last_order, {keeps}.last_order) AS last_order,
+                   coalesce({takes}.total_orders, {keeps}.total_orders) AS total_orders
+            FROM old o FULL JOIN new n USING (customer_id)""")
+    counts = """
+        SELECT strftime(CASE WHEN invoice_date <= CAST(last_day(invoice_date) AS TIMESTAMP)
+                             THEN invoice_date ELSE invoice_date + INTERVAL 1 DAY END,
+                        '%Y-%m') AS period,
+               count(*) AS facts, CAST(sum(CAST(quantity AS INTEGER)) AS BIGINT) AS units
+        FROM sales WHERE invoice_date >= TIMESTAMP '1999-01-01' AND """
+    june = "invoice_date >= TIMESTAMP '1999-06-01' AND invoice_date < TIMESTAMP '1999-07-01'"
+    sql["facts_month_deleted"] = _with(_SALES, f"{counts} NOT ({june}) GROUP BY 1")
+    sql["facts_month_replaced"] = _with(_SALES, f"""{counts}
+        NOT (quantity <= 25 AND invoice_date > TIMESTAMP '1999-05-31'
+             AND invoice_date <= TIMESTAMP '1999-06-30') GROUP BY 1""")
     sql["fact_periods"] = _with(_SALES + "," + _PURCHASES, """
         SELECT strftime(CASE WHEN invoice_date <= CAST(last_day(invoice_date) AS TIMESTAMP)
                              THEN invoice_date ELSE invoice_date + INTERVAL 1 DAY END,
@@ -483,4 +512,6 @@ def oracle_sql() -> dict[str, str]:
     sql["reco_compare"] = _with(_ONE + _RECO, f"""
         SELECT segment, rank, stock_code, substr(description, 1, 26) AS short_description, score
         FROM reco WHERE rank <= {S.COMPARE_ROWS}""")
+    for name in ("monthly_overview", "by_country", "rfm_base", "top_products"):
+        sql[f"star_{name}"] = sql[name]
     return sql

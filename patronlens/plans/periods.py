@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from patronlens import schemas as S
 from patronlens.functions import dates
-from patronlens.operators import clean, dims, facts, recommend, rfm, scoring
+from patronlens import staging
+from patronlens.operators import clean, dims, facts, quality, recommend, rfm, scoring
 from patronlens.sources import files
 from patronlens.sources.warehouse import Warehouse
 from patronlens.staging import stage
@@ -46,11 +47,26 @@ def load_lines(store: Warehouse, lines: DataFrame, replace: Callable[[list[str]]
     resolved = facts.resolve_keys(
         facts.staging_facts(chosen), store.read("dim_customer"), store.read("dim_product"),
         store.read("dim_geography"))
+    _check_members(store)
     store.replace_periods("fact_sales", resolved.withColumn(
         "period", dates.entry_period(F.col("invoice_date"), inclusive_end)), periods)
     return store.read("fact_sales").filter(F.col("period").isin(periods)).count()
 
 
+def _check_members(store: Warehouse) -> None:
+    """Unique keys, natural and surrogate, and no null ones in the dimensions that facts are
+    about to point to. Facts take their keys from these tables and drop rows without one, so
+    they can have no orphans."""
+    for table, key in (("dim_customer", "customer_key"), ("dim_product", "product_key"),
+                       ("dim_geography", "geo_key"), ("dim_date", "date_key")):
+        members = store.read(table)
+        for columns in {(key,), tuple(S.KEYS[table])}:
+            if not quality.duplicate_keys(members, columns).isEmpty():
+                raise ValueError(f"{table}: repeated {', '.join(columns)}")
+            if any(quality.null_counts(members, columns).first()):
+                raise ValueError(f"{table}: null in {', '.join(columns)}")
+
+
 def _history(store: Warehouse, periods: Sequence[str], inclusive_end: bool) -> DataFrame:
     """Score the periods from stored facts and save history, latest scores and
     recommendations; the latest scores only move forward in time."""
@@ -87,17 +103,18 @@ def run_period(spark: SparkSession, source: str, root: str, year: int, month: in
     period, started, rows = dates.period_name(year, month), dt.datetime.now(), 0
     status, error = "failed", None
     try:
-        raw = files.extract_data(spark, source, encoding)
-        files.validate_schema(raw)
-        until = clean.filter_by_month(raw, year, month, inclusive_end)
-        lines = clean.transactions(clean.clean_sales(until))
-
-        def to_write(found: list[str]) -> list[str]:
-            stored = set() if reload_all else set(store.periods("fact_sales"))
-            return [p for p in found if p == period or p not in stored]
-
-        rows = load_lines(store, lines, to_write, inclusive_end)
-        _history(store, [period], inclusive_end)
+        with staging.scope(spark):
+            raw = files.extract_data(spark, source, encoding)
+            files.validate_schema(raw)
+            until = clean.filter_by_month(raw, year, month, inclusive_end)
+            lines = clean.transactions(clean.clean_sales(until))
+
+            def to_write(found: list[str]) -> list[str]:
+                stored = set() if reload_all else set(store.periods("fact_sales"))
+                return [p for p in found if p == period or p not in stored]
+
+            rows = load_lines(store, lines, to_write, inclusive_end)
+            _history(store, [period], inclusive_end)
         status = "success"
     except Exception as failure:
         error = str(failure)
@@ -116,13 +133,14 @@ def run_backfill(spark: SparkSession, source: str, root: str, periods: Sequence[
     last = periods[-1]
     started, rows, status, error = dt.datetime.now(), 0, "failed", None
     try:
-        raw = files.extract_data(spark, source, encoding)
-        files.validate_schema(raw)
-        year, month = (int(part) for part in last.split("-"))
-        until = clean.filter_by_month(raw, year, month, inclusive_end)
-        rows = load_lines(store, clean.transactions(clean.clean_sales(until)),
-                          lambda found: found, inclusive_end)
-        _history(store, periods, inclusive_end)
+        with staging.scope(spark):
+            raw = files.extract_data(spark, source, encoding)
+            files.validate_schema(raw)
+            year, month = (int(part) for part in last.split("-"))
+            until = clean.filter_by_month(raw, year, month, inclusive_end)
+            rows = load_lines(store, clean.transactions(clean.clean_sales(until)),
+                              lambda found: found, inclusive_end)
+            _history(store, periods, inclusive_end)
         status = "success"
     except Exception as failure:
         error = str(failure)

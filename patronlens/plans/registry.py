@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from patronlens.functions import dates
 from patronlens.operators import (clean, dims, facts, ordering, quality, recommend, rfm, scoring)
 from patronlens.plans import business, history, segments
+from patronlens import schemas as S
 from patronlens.schemas import DETAIL_ROWS
 from patronlens.sources import testtables
-from patronlens.staging import stage_once
+from patronlens.sources.warehouse import Warehouse, merge
+from patronlens.staging import new_path, source_version, stage, stage_once
 
 PERIODS = dates.period_range("1999-01", "2000-01")
 PERIOD = PERIODS[-1]  # the latest scores are those of the latest period
@@ -75,13 +77,18 @@ def _segment_periods(spark, sf_dir):
     return scoring.score_and_segment(rfm.backfill_rfm(_sales(spark, sf_dir), PERIODS))
 
 
+def _once(spark, label, sf_dir, build):
+    """A table shared by reports, until the tables it is made of change."""
+    return stage_once(spark, (label, sf_dir, source_version(spark, sf_dir)), label, build)
+
+
 def _segmented(spark, sf_dir):
-    return stage_once(spark, ("period", sf_dir), "period",
+    return _once(spark, "period", sf_dir,
                       lambda: _segment_period(spark, sf_dir))
 
 
 def _segmented_periods(spark, sf_dir):
-    return stage_once(spark, ("periods", sf_dir), "periods",
+    return _once(spark, "periods", sf_dir,
                       lambda: _segment_periods(spark, sf_dir))
 
 
@@ -94,12 +101,12 @@ def _snapshots(spark, sf_dir):
 
 
 def _products(spark, sf_dir):
-    return stage_once(spark, ("products", sf_dir), "products",
+    return _once(spark, "products", sf_dir,
                       lambda: dims.dim_product(_sales(spark, sf_dir)))
 
 
 def _customers(spark, sf_dir):
-    return stage_once(spark, ("customers", sf_dir), "customers",
+    return _once(spark, "customers", sf_dir,
                       lambda: dims.dim_customer(_sales(spark, sf_dir, country=True)))
 
 
@@ -147,13 +154,113 @@ def dim_geography(spark, sf_dir):
 
 @_query
 def fact_load(spark, sf_dir):
-    sales = _sales(spark, sf_dir, country=True)
-    customers = ordering.number_rows(
-        dims.dim_customer(sales).select("customer_id"), "customer_id", "customer_key")
-    products = ordering.number_rows(
-        dims.dim_product(sales).select("stock_code"), "stock_code", "product_key")
-    geography = ordering.number_rows(dims.dim_geography(sales), "country", "geo_key")
-    return facts.resolve_keys(facts.staging_facts(sales), customers, products, geography)
+    return _star(spark, sf_dir)[0]
+
+
+def _star(spark, sf_dir):
+    """Facts with surrogate keys, and the customer, product and country tables with theirs;
+    the cleaned lines are written once, all four are made of them."""
+    sales = stage(facts.staging_facts(_sales(spark, sf_dir, country=True)), "lines")
+    customers, products, geography = [
+        ordering.number_rows(sales.select(name).filter(F.col(name).isNotNull()).distinct(),
+                             name, key)
+        for name, key in (("customer_id", "customer_key"), ("stock_code", "product_key"),
+                          ("country", "geo_key"))]
+    return (facts.resolve_keys(sales, customers, products, geography),
+            customers, products, geography)
+
+
+def _star_lines(spark, sf_dir):
+    """Sales as the reports of the star schema read them: facts joined with their members."""
+    return facts.fact_lines(*_star(spark, sf_dir))
+
+
+@_query
+def star_monthly_overview(spark, sf_dir):
+    return business.monthly_overview(_star_lines(spark, sf_dir))
+
+
+@_query
+def star_by_country(spark, sf_dir):
+    return business.by_country(_star_lines(spark, sf_dir))
+
+
+@_query
+def star_rfm_base(spark, sf_dir):
+    return rfm.period_rfm(_star_lines(spark, sf_dir), PERIOD)
+
+
+@_query
+def star_top_products(spark, sf_dir):
+    return business.top_products(_star_lines(spark, sf_dir), _products(spark, sf_dir))
+
+
+# --- merges and month loads ---------------------------------------------------------------
+
+def _customers_of(spark, sf_dir, condition):
+    return dims.dim_customer(_sales(spark, sf_dir, country=True).filter(condition))
+
+
+@_query
+def upsert_update(spark, sf_dir):
+    """Customers as of mid-1999, merged with those of the later sales: known ones take the
+    new country, last order and number of orders."""
+    return merge(_customers_of(spark, sf_dir, "invoice_date <= timestamp_ntz'1999-06-30'"),
+                 _customers_of(spark, sf_dir, "invoice_date > timestamp_ntz'1999-06-30'"),
+                 ["customer_id"], ("country", "last_order", "total_orders"))
+
+
+@_query
+def upsert_ignore(spark, sf_dir):
+    """The same two tables, known customers left as they are."""
+    return merge(_customers_of(spark, sf_dir, "invoice_date <= timestamp_ntz'1999-06-30'"),
+                 _customers_of(spark, sf_dir, "invoice_date > timestamp_ntz'1999-06-30'"),
+                 ["customer_id"])
+
+
+def _stored_facts(spark, sf_dir):
+    """A warehouse in the shared folder that holds the facts from 1999 on."""
+    store = Warehouse(spark, new_path(spark, "warehouse"))
+    resolved = fact_load(spark, sf_dir).filter("date_key >= 19990101").withColumn(
+        "period", dates.entry_period(F.col("invoice_date")))
+    periods = dates.period_range("1999-01", "2005-12")
+    store.replace_periods("fact_sales", resolved, periods)
+    return store
+
+
+def _fact_counts(store):
+    return store.read("fact_sales").groupBy("period").agg(
+        F.count(F.lit(1)).alias("facts"),
+        F.sum(F.col("quantity").cast("bigint")).alias("units"))
+
+
+@_query
+def facts_month_replaced(spark, sf_dir):
+    """June 1999 loaded again with its large lines only; other months stay."""
+    store = _stored_facts(spark, sf_dir)
+    june = stage(store.read("fact_sales").filter("period = '1999-06' AND quantity > 25"), "june")
+    store.replace_periods("fact_sales", june, ["1999-06"])
+    return _fact_counts(store)
+
+
+@_query
+def facts_month_deleted(spark, sf_dir):
+    """The facts dated in June 1999 removed."""
+    store = _stored_facts(spark, sf_dir)
+    store.delete_sales_of_month(1999, 6)
+    return _fact_counts(store)
+
+
+@_query
+def clean_text(spark, sf_dir):
+    """The lines as a text file would hold them: parsed, cleaned, and equal to typed ones."""
+    raw = _raw(spark, sf_dir, country=True)
+    as_text = raw.withColumns({
+        S.DATE: F.date_format(S.DATE, "M/d/yyyy H:mm"),
+        S.CUSTOMER: F.concat(F.col(S.CUSTOMER).cast("string"), F.lit(".0")),
+        S.QUANTITY: F.col(S.QUANTITY).cast("string"), S.PRICE: F.col(S.PRICE).cast("string"),
+        S.DESCRIPTION: F.concat(F.lit(" "), F.lower(S.DESCRIPTION), F.lit("\t"))})
+    return clean.transactions(clean.clean_sales(as_text))
 
 
 @_query

@@ -1,68 +1,101 @@
-"""Source files: CSV and Excel, many files at once."""
+"""Source files: many CSV files at once, each read by its own header line."""
 
 from __future__ import annotations
 
-import io
+import csv
 import os
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from patronlens import schemas as S
 
-_CSV = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+_BAD = "_malformed"
+_CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
 
 
 def _extension(path: str) -> str:
     return os.path.splitext(path.rstrip("/"))[1].lower()
 
 
-def _missing_to_null(df: DataFrame) -> DataFrame:
-    return df.select(*[F.when(~F.col(f"`{c}`").isin(*S.MISSING_TEXTS), F.col(f"`{c}`")).alias(c)
-                       for c in df.columns])
-
-
-def _read_csv(spark: SparkSession, paths: list[str], encoding: str,
-              multi_line: bool) -> DataFrame:
-    # names come from the header line, every column is text: no inference pass over the data
-    return spark.read.options(**_CSV, encoding=encoding, multiLine=multi_line).csv(paths)
-
-
-def badly_encoded_files(spark: SparkSession, path: str) -> list[str]:
-    """Files with a line that is not valid UTF-8. One map-side pass; one row per bad file."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), "value")
-    bad = lines.filter(~F.is_valid_utf8("value")).select("file").distinct()
-    return [row.file for row in bad.collect()]
-
-
-def extract_csv(spark: SparkSession, path: str, encoding: str = "auto",
-                multi_line: bool = False) -> DataFrame:
-    """CSV with a header line, all columns as text, missing markers as null.
-
-    "auto" reads a file as UTF-8 unless one of its lines is not valid UTF-8, then as
-    latin-1; the check costs one more pass, so name the encoding where it is known.
-    `multi_line` allows line breaks inside quotes, at the price of unsplittable files."""
-    if encoding != "auto":
-        return _missing_to_null(_read_csv(spark, [path], encoding, multi_line))
-    bad = badly_encoded_files(spark, path)
-    if not bad:
-        return _missing_to_null(_read_csv(spark, [path], "UTF-8", multi_line))
-    every = [row.path for row in spark.read.format("binaryFile").load(path).select("path").collect()]
-    good = [f for f in every if f not in set(bad)]
-    latin = _read_csv(spark, bad, "ISO-8859-1", multi_line)
-    if good:
-        latin = _read_csv(spark, good, "UTF-8", multi_line).unionByName(latin)
-    return _missing_to_null(latin)
-
-
-def extract_data(spark: SparkSession, path: str, encoding: str = "auto",
-                 multi_line: bool = False) -> DataFrame:
+def _text(value: Column, encoding: str) -> Column:
+    return F.decode(value.cast("binary"), encoding)
+
+
+def _lines(spark: SparkSession, path: str, encoding: str) -> tuple[DataFrame, DataFrame]:
+    """Data lines (file, header, line), and one row per file with its header line.
+
+    "auto" takes a file as UTF-8 unless one of its lines is not valid UTF-8, then as latin-1.
+    The first line and the encoding of every file come from one aggregation over the lines;
+    the table of files stays on the cluster."""
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("block"))
+    files = raw.groupBy("file").agg(
+        F.min_by("value", F.struct("block", "at")).alias("first"),
+        F.max(~F.is_valid_utf8("value")).alias("latin"))
+
+    def decoded(value: str) -> Column:
+        if encoding != "auto":
+            return _text(F.col(value), encoding)
+        return F.when(F.col("latin"), _text(F.col(value), "ISO-8859-1")).otherwise(F.col(value))
+
+    files = files.select("file", "latin", F.ltrim(decoded("first"), F.lit("\ufeff")).alias("header"))
+    lines = raw.select("file", "value").join(files, "file").select(
+        "file", "header", F.ltrim(decoded("value"), F.lit("\ufeff")).alias("line"))
+    return lines.filter((F.col("line") != F.col("header")) & (F.trim("line") != "")), files
+
+
+def _parsed(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Every line with its columns by name (null where its file has no such column), and in
+    `_malformed` the line itself if it has too few or too many fields."""
+    lines, files = _lines(spark, path, encoding)
+    headers = sorted(r.header for r in files.select("header").distinct().collect())  # few
+    names: list[str] = []
+    rows = []
+    for header in headers:
+        own = [n.strip() for n in next(csv.reader([header]))]
+        if len(set(own)) != len(own):
+            raise ValueError(f"repeated column in header: {header}")
+        names += [n for n in own if n not in names]
+        schema = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in [*own, _BAD])
+        # null for the header line, so that nothing ever reads it as data, whatever comes first
+        rows.append((header, F.when(F.col("line") != F.col("header"),
+                                    F.from_csv("line", schema, _CSV)), own))
+    parts = [lines.filter(F.col("header") == header).select("file", "line", row.alias("row"))
+             .select("file", "line", F.col(f"row.{_BAD}").alias(_BAD),
+                     *[(F.col(f"row.`{n}`") if n in own else F.lit(None).cast("string")).alias(n)
+                       for n in names])
+             for header, row, own in rows]
+    if not parts:
+        return spark.createDataFrame([], f"file string, line string, {_BAD} string")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def extract_csv(spark: SparkSession, path: str, encoding: str = "auto") -> DataFrame:
+    """The well-formed lines of all files, all columns as text and found by their names in
+    each file's own header; missing markers are null. See `rejected_lines` for the others.
+    A line break inside quotes makes its line malformed."""
+    parsed = _parsed(spark, path, encoding)
+    names = [c for c in parsed.columns if c not in ("file", "line", _BAD)]
+    good = F.col(_BAD).isNull()
+    return parsed.filter(good).select(
+        *[F.when(good & ~F.col(f"`{c}`").isin(*S.MISSING_TEXTS), F.col(f"`{c}`")).alias(c)
+          for c in names])
+
+
+def rejected_lines(spark: SparkSession, path: str, encoding: str = "auto") -> DataFrame:
+    """(file, line) of lines whose number of fields is not that of their file's header."""
+    return _parsed(spark, path, encoding).filter(F.col(_BAD).isNotNull()).select("file", "line")
+
+
+def extract_data(spark: SparkSession, path: str, encoding: str = "auto") -> DataFrame:
     """Read a source by its extension: .csv (a single file or a glob)."""
     extension = _extension(path)
     if extension == ".csv":
-        return extract_csv(spark, path, encoding, multi_line)
+        return extract_csv(spark, path, encoding)
     raise ValueError(f"unsupported file type: {extension!r}")
 
 

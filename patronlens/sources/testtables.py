@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from patronlens import schemas as S
+from patronlens.staging import source_version
 
 
-_schemas: dict[str, T.StructType] = {}
+_schemas: dict[tuple, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; its schema is read from the file once per process."""
+    """A driver table; its schema is read once per process and state of the table."""
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    key = (path, source_version(spark, path))
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def retail_lines(spark: SparkSession, sf_dir: str, country: bool = False) -> DataFrame:

@@ -1,8 +1,8 @@
 """Warehouse tables as Parquet under one root folder.
 
 Facts, history and recommendations are partitioned by period and replaced a period at a
-time, so a rerun of a period gives the same tables. Other tables are merged by key. A
-merge reads the old table, so its result is first written to the shared staging folder."""
+time, so a rerun of a period gives the same tables. Other tables are merged by key; a merged
+table is written beside the one it was made from before it takes its place."""
 
 from __future__ import annotations
 
@@ -99,8 +99,18 @@ class Warehouse:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TABLES[table]])
 
     def replace(self, table: str, df: DataFrame) -> None:
-        """Write a whole table; `df` must not read it."""
-        self._conform(table, df).write.mode("overwrite").parquet(self.path(table))
+        """Write a whole table. The new one is written beside the old one and takes its place
+        when it is complete, so a failed write leaves the old table."""
+        fresh, old = f"{self.root}/_new/{table}-{uuid.uuid4().hex}", f"{self.root}/_old/{table}"
+        self._conform(table, df).write.parquet(fresh)
+        files, target = self._files(self.path(table))
+        _, source = self._files(fresh)
+        _, aside = self._files(f"{old}-{uuid.uuid4().hex}")
+        if files.exists(target):
+            files.mkdirs(aside.getParent())
+            files.rename(target, aside)
+        files.rename(source, target)
+        files.delete(aside, True)
 
     def replace_periods(self, table: str, df: DataFrame, periods: Sequence[str]) -> None:
         """Make `df` the content of the given periods; other periods stay. The periods'
@@ -134,12 +144,10 @@ class Warehouse:
 
     def _merge_written(self, table: str, incoming: DataFrame, update: Sequence[str],
                        defaults: dict[str, Column] | None) -> int:
-        """`upsert` of staged rows. A first load is written as it is; later the merged table
-        is staged before it replaces the one it was made from."""
+        """`upsert` of staged rows."""
         rows = incoming.count()
         if rows:
-            merged = merge(self.read(table), incoming, S.KEYS[table], update, defaults)
-            self.replace(table, stage(merged, f"merged-{table}") if self.exists(table) else merged)
+            self.replace(table, merge(self.read(table), incoming, S.KEYS[table], update, defaults))
         return rows
 
     def upsert_keyed(self, table: str, key: str, df: DataFrame, update: Sequence[str] = (),

@@ -6,19 +6,21 @@ they need, and the planner knows the real size when it decides on broadcasts."""
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 _local_dirs: dict[str, str] = {}
 _kept: dict[tuple[str, Hashable], tuple[str, T.StructType]] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local-mode session without the
-    setting gets a folder of its own, a cluster without it is an error."""
+    """The folder named by spark.checkpoint.dir. Where it is unset, a cluster is an error, and
+    local mode, whose only machine shares all its folders, gets one of its own."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
@@ -40,10 +42,41 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and continue from the written table."""
     spark = df.sparkSession
     path = new_path(spark, label)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, also after a failure."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, location: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def source_version(spark: SparkSession, folder: str) -> tuple:
+    """Name, length and time of change of what a folder holds, one level into its tables: a
+    key that changes with the tables."""
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(context._jsc.hadoopConfiguration())
+    found = []
+    for entry in files.listStatus(root):
+        parts = files.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+        found += [(p.getPath().toString(), p.getLen(), p.getModificationTime()) for p in parts]
+    return tuple(sorted(found))
+
+
 def stage_once(spark: SparkSession, key: Hashable, label: str,
                build: Callable[[], DataFrame]) -> DataFrame:
     """Like `stage`, but one table per application and key: reports that stand on the
@@ -68,7 +101,4 @@ def forget(spark: SparkSession) -> None:
 def release(spark: SparkSession) -> None:
     """Delete every staged table of this application. Call when no frame is in use."""
     forget(spark)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(
-        f"{shared_dir(spark)}/patronlens/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_dir(spark)}/patronlens/{spark.sparkContext.applicationId}")

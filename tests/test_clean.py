@@ -31,7 +31,7 @@ def write(path, text_or_bytes):
 
 def test_csv_is_read_as_text_and_validated(spark, tmp_path):
     path = write(tmp_path / "a.csv", HEADER
-                 + "536365,85123A,TEST ITEM,6,12/1/2010 8:26,2.55,17850,United Kingdom\n")
+                 + "700001,LAMP-3,DESK LAMP,2,3/9/2012 14:05,19.90,C-12,Norway\n")
     df = files.extract_data(spark, path)
     files.validate_schema(df)
     assert df.count() == 1
@@ -58,30 +58,40 @@ def test_unknown_extension_and_missing_columns_are_rejected(spark):
         files.validate_schema(spark.createDataFrame([("1",)], "InvoiceNo string"))
 
 
-def test_excel_without_reader_says_so(spark, tmp_path):
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError:
-        with pytest.raises(RuntimeError, match="openpyxl"):
-            files.extract_data(spark, str(tmp_path / "x.xlsx"))
+def test_csv_columns_by_name_and_rejects(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    write(folder / "a.csv", HEADER + "1,A,x,1,12/1/2010 8:26,2,7,UK\n1,A,short\n")
+    write(folder / "b.csv", "CustomerID,InvoiceNo,StockCode,Quantity,InvoiceDate,UnitPrice\n"
+          + "8,2,B,3,12/2/2010 8:26,4\n8,2,B,3,12/2/2010 8:26,4,too,long\n\n")
+    write(folder / "c.csv", ("Country," + HEADER.replace(",Country", "")
+                             + "Perú,3,C,y,5,12/3/2010 8:26,6,9\n").encode("latin-1"))
+    path = f"{folder}/*.csv"
+    found = {r.InvoiceNo: r for r in files.extract_data(spark, path).collect()}
+    assert set(found) == {"1", "2", "3"}
+    assert (found["2"].CustomerID, found["2"].Quantity, found["2"].UnitPrice) == ("8", "3", "4")
+    assert found["2"].Country is None and found["3"].Country == "Perú"
+    rejects = files.rejected_lines(spark, path).collect()
+    assert sorted(r.line for r in rejects) == ["1,A,short", "8,2,B,3,12/2/2010 8:26,4,too,long"]
+    assert {r.file.rsplit("/", 1)[1] for r in rejects} == {"a.csv", "b.csv"}
 
 
 def test_cleaning_keeps_only_sound_lines(spark):
     df = clean.clean_sales(raw(spark, [
-        line("536365", "A", "X", "6", "12/1/2010 8:26", "2.55", "17850"),
-        line("C536366", "B", "Y", "2", "12/1/2010 9:00", "3.0", "17851"),
-        line("536367", "C", "Z", "-1", "12/2/2010 10:00", "1.5", "17852"),
-        line("536368", "D", "W", "4", "12/2/2010 11:00", "0.0", "17853"),
-        line("536369", "E", "W", "x", "12/2/2010 11:00", "1.0", "17853"),
-        line("536370", "F", "W", "1", "12/2/2010 11:00", "1.0", None),
-        line("c536371", "G", " \t pot\n", "1", "2010-12-02 11:00:00", "1.0", "17854.0"),
-        line(None, "H", None, "1", "12/2/2010 11:00", "1.0", "17855"),
+        line("80", "A", "kettle", "4", "5/7/2013 17:40", "12.25", "31"),
+        line("C81", "B", "mug", "5", "5/7/2013 17:41", "8.0", "32"),
+        line("82", "C", "plate", "-3", "5/8/2013 9:12", "6.5", "33"),
+        line("83", "D", "bowl", "2", "5/8/2013 9:13", "0.0", "34"),
+        line("84", "E", "bowl", "x", "5/8/2013 9:13", "7.0", "34"),
+        line("85", "F", "bowl", "1", "5/8/2013 9:13", "7.0", None),
+        line("c86", "G", " \t pot\n", "1", "2013-05-08 09:14:00", "7.0", "35.0"),
+        line(None, "H", None, "1", "5/8/2013 9:15", "7.0", "36"),
     ]))
     rows = {r.StockCode: r for r in df.collect()}
     assert set(rows) == {"A", "G", "H"}
-    assert float(rows["A"].total_amount) == 15.30
-    assert rows["A"].InvoiceDate == dt.datetime(2010, 12, 1, 8, 26)
-    assert rows["G"].CustomerID == "17854" and rows["G"].Description == "POT"
+    assert float(rows["A"].total_amount) == 49.00
+    assert rows["A"].InvoiceDate == dt.datetime(2013, 5, 7, 17, 40)
+    assert rows["G"].CustomerID == "35" and rows["G"].Description == "POT"
     assert rows["H"].InvoiceNo == "nan" and rows["H"].Description == "NAN"
     products = dims.dim_product(clean.transactions(df))
     assert products.count() == products.select("stock_code").distinct().count()
