@@ -205,18 +205,3 @@ def search(vectors: DataFrame, wanted, k: int = 10) -> DataFrame:
 
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
-
-
-SQL = """
-WITH v AS (
-    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-near AS (
-    SELECT q.vec_id AS query_id, c.vec_id,
-           sqrt(list_sum(list_transform(list_zip(q.e, c.e), lambda p: (p[1] - p[2]) ** 2))) AS score
-    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id))::INT AS rank,
-       vec_id, score
-FROM near QUALIFY rank <= 10
-"""

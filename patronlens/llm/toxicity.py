@@ -115,7 +115,8 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic",
         .mapInArrow(_sparse, "doc_id long, grade int, words array<string>"), "taught")
     grades = taught.select("doc_id", "grade").orderBy("doc_id").toPandas()
     if not len(grades) or grades["grade"].nunique() < 2:
-        return {"weights": {}, "limits": [], "base": int(grades["grade"].max()) if len(grades) else 0}
+        return {"weights": {}, "limits": [], "flag_at": 0.5,
+                "base": int(grades["grade"].max()) if len(grades) else 0}
     words = (taught.select(F.explode("words").alias("word")).groupBy("word")
              .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= LEAST_TEXTS)
              .orderBy(F.desc("texts"), "word").limit(FEATURES).select("word").toPandas()["word"])
@@ -126,14 +127,19 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic",
         found = [index[w] for w in row.words if w in index]
         columns.extend(found)
         at.extend([place[row.doc_id]] * len(found))
-    weights, limits = regress(np.frombuffer(at, np.int64), np.frombuffer(columns, np.int64),
-                              grades["grade"].to_numpy(np.int64), len(index))
+    rows, columns = np.frombuffer(at, np.int64), np.frombuffer(columns, np.int64)
+    known = grades["grade"].to_numpy(np.int64)
+    weights, limits = regress(rows, columns, known, len(index))
+    # what nearly all texts of grade 0 stay below, with room for new ones
+    some = _sigmoid(np.bincount(rows, weights[columns], len(known)) - limits[0])
+    usual = float(np.quantile(some[known == 0], 0.999)) if (known == 0).any() else 0.5
     return {"weights": {w: float(weights[i]) for w, i in index.items() if weights[i]},
-            "limits": limits.tolist(), "base": 0}
+            "limits": limits.tolist(), "base": 0, "flag_at": min(max(1.5 * usual, 0.15), 0.5)}
 
 
 def severity(docs: DataFrame, model: dict) -> DataFrame:
-    """(doc_id, severity, grade) of every row: the expected and the likeliest grade."""
+    """(doc_id, severity, grade, toxic) of every row: the expected and the likeliest grade, and
+    whether a grade above 0 is likelier than for all but few texts of grade 0."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,14 +154,15 @@ def severity(docs: DataFrame, model: dict) -> DataFrame:
                 "doc_id": batch.column("doc_id"),
                 "severity": pa.array(above.sum(axis=1) + model["base"]),
                 "grade": pa.array((np.argmax(-np.diff(steps, axis=1), axis=1)
-                                   + model["base"]).astype(np.int32))})
+                                   + model["base"]).astype(np.int32)),
+                "toxic": pa.array((above[:, 0] >= model["flag_at"]) if len(limits)
+                                  else np.full(len(eta), model["base"] > 0))})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, severity double, grade int")
+        run, "doc_id long, severity double, grade int, toxic boolean")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    found = severity(docs, fit(docs, common.table(spark, sf_dir, "labels")))
-    return found.withColumn("toxic", F.col("grade") > 0)
+    return severity(docs, fit(docs, common.table(spark, sf_dir, "labels")))

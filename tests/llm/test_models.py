@@ -139,7 +139,7 @@ def test_toxicity(spark):
     model = toxicity.fit(docs, known)
     found = {r.doc_id: r for r in toxicity.severity(docs, model).collect()}
     for i in range(300, 400):
-        assert (found[1000 + i].grade > 0) == (i % 4 == 0)
-    assert found[400].grade == 0 and found[401].severity == found[400].severity
+        assert found[1000 + i].toxic == (i % 4 == 0) == (found[1000 + i].grade > 0)
+    assert found[400].grade == 0 and not found[400].toxic and found[401].severity == found[400].severity
     none = toxicity.severity(docs, toxicity.fit(docs, known.where("false"))).collect()
     assert {r.severity for r in none} == {0.0}
