@@ -1,12 +1,13 @@
 """Merges, period runs, reruns and the run log."""
 
 import datetime as dt
+import pathlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from patronlens import schemas as S
+from patronlens import schemas as S, staging
 from patronlens.operators import facts, quality
 from patronlens.plans import business, history, periods
 from patronlens.sources import files, warehouse
@@ -137,3 +138,39 @@ def test_replaced_period_without_rows_is_emptied(spark, tmp_path):
     store.replace_periods("product_recommendation", df.filter("period = '2011-02'"), ["2011-01"])
     assert store.periods("product_recommendation") == ["2011-02"]
     assert [r.stock_code for r in store.read("product_recommendation").collect()] == ["B"]
+
+
+def staged_files(spark):
+    folder = pathlib.Path(staging.shared_dir(spark)) / "patronlens"
+    return {p for p in folder.rglob("*.parquet")} if folder.exists() else set()
+
+
+def test_a_run_leaves_no_staged_tables(spark, tmp_path, source):
+    before = staged_files(spark)
+    periods.run_period(spark, source, str(tmp_path / "w"), 2011, 1)
+    assert staged_files(spark) <= before
+
+
+def test_failed_replace_keeps_the_old_table(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    old = spark.createDataFrame([(1, "UK")], S.TABLES["dim_geography"])
+    store.replace("dim_geography", old)
+    with pytest.raises(Exception):
+        store.replace("dim_geography", old.withColumn(
+            "country", F.raise_error(F.lit("broken")).cast("string")))
+    assert [tuple(r) for r in store.read("dim_geography").collect()] == [(1, "UK")]
+    store.replace("dim_geography", old.withColumn("country", F.lit("FR")))
+    assert [r.country for r in store.read("dim_geography").collect()] == ["FR"]
+
+
+def test_shared_tables_follow_their_sources(spark, tmp_path):
+    folder = str(tmp_path / "in")
+
+    def shared():
+        key = staging.source_version(spark, folder)
+        return staging.stage_once(spark, key, "n", lambda: spark.read.parquet(f"{folder}/t")).count()
+
+    spark.range(3).write.parquet(f"{folder}/t")
+    assert shared() == shared() == 3
+    spark.range(5).write.mode("overwrite").parquet(f"{folder}/t")
+    assert shared() == 5
