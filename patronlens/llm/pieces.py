@@ -10,7 +10,7 @@ largest sum of piece scores; of equal sums the one whose last piece is longest,
 backwards. A character without a piece costs more than any piece and becomes its UTF-8 bytes.
 
 Pieces and scores come from a vocabulary file whose path is a parameter; nothing is trained.
-Words met before are kept, up to `CACHED_WORDS` for each task; long texts go through in
+Words met before are kept, up to `CACHED_WORDS` for each worker; long texts go through in
 slices. Decoding gives the text back exactly, unless it holds the mark itself.
 
 Defined cases: null and empty texts have no ids and decode to the empty text; ids outside the
@@ -20,6 +20,7 @@ are encoded each; other columns stay."""
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,34 +127,52 @@ def marked_words(text: str) -> Iterator[list[str]]:
         at = end
 
 
-def _encode(path: str, column: str):
+class Known:
+    """Ids of the words a worker has met. Words seen in one group of texts only make room when
+    there are too many."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.ids: dict[str, bytes] = {}
+        self.once: set[str] = set()
+
+    def encode(self, texts: list[list[str]]) -> list[bytes]:
+        distinct = set().union(*texts)
+        self.once.difference_update(distinct)
+        new = distinct - self.ids.keys()
+        for word, ids in self.vocabulary.encode_words(list(new)):
+            self.ids[word] = array("i", ids).tobytes()
+        self.once.update(new)
+        out = [b"".join(map(self.ids.__getitem__, words)) for words in texts]
+        if len(self.ids) > CACHED_WORDS:
+            for word in self.once:
+                del self.ids[word]
+            self.once.clear()
+            if len(self.ids) > CACHED_WORDS:
+                self.ids.clear()
+        return out
+
+
+def _of_worker(kept, path: str) -> Known:
+    """A broadcast value lives as long as the worker: each fills its own for all its tasks."""
+    if path not in kept.value:
+        kept.value[path] = Known(Vocabulary(path))
+    return kept.value[path]
+
+
+def _encode(path: str, column: str, kept):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
-        known: dict[str, bytes] = {}
-
-        def look_up(words: list[list[str]]) -> None:
-            new = set().union(*words) - known.keys()
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = set().union(*words)
-            for word, ids in vocabulary.encode_words(list(new)):
-                known[word] = np.array(ids, np.int32).tobytes()
-
+        known = _of_worker(kept, path)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for first, last in _spans([len(t or "") for t in texts]):
                 encoded: list[bytes] = []
                 if last - first == 1:
-                    parts = []
-                    for words in marked_words(texts[first] or ""):
-                        look_up([words])
-                        parts.append(b"".join(map(known.__getitem__, words)))
-                    encoded.append(b"".join(parts))
+                    encoded.append(b"".join(known.encode([words])[0]
+                                            for words in marked_words(texts[first] or "")))
                 else:
-                    words = [[w for part in marked_words(t or "") for w in part]
-                             for t in texts[first:last]]
-                    look_up(words)
-                    encoded = [b"".join(map(known.__getitem__, w)) for w in words]
+                    encoded = known.encode([[w for part in marked_words(t or "") for w in part]
+                                            for t in texts[first:last]])
                 offsets = np.cumsum([0, *(len(e) // 4 for e in encoded)]).astype(np.int32)
                 ids = np.frombuffer(b"".join(encoded), np.int32)
                 part = batch.slice(first, last - first)
@@ -176,9 +195,9 @@ def _spans(sizes: list[int], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
         yield first, len(sizes)
 
 
-def _decode(path: str, column: str, to: str):
+def _decode(path: str, column: str, to: str, kept):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = Vocabulary(path).bytes_of
+        bytes_of = _of_worker(kept, path).vocabulary.bytes_of
         for batch in batches:
             texts = []
             for ids in batch.column(column):
@@ -195,7 +214,8 @@ def _decode(path: str, column: str, to: str):
 def encode(docs: DataFrame, path: str | None = None, to: str = "ids") -> DataFrame:
     """`docs` (with a text column) and the ids of the text; a column of that name is replaced."""
     docs = docs.drop(to)
-    return docs.mapInArrow(_encode(path or vocabulary_path(), to),
+    kept = docs.sparkSession.sparkContext.broadcast({})
+    return docs.mapInArrow(_encode(path or vocabulary_path(), to, kept),
                            common.extended(docs.schema, **{to: T.ArrayType(T.IntegerType())}))
 
 
@@ -203,7 +223,8 @@ def decode(docs: DataFrame, path: str | None = None, ids: str = "ids",
            to: str = "decoded") -> DataFrame:
     """`docs` and the text that their ids stand for; a column of that name is replaced."""
     docs = docs.drop(to)
-    return docs.mapInArrow(_decode(path or vocabulary_path(), ids, to),
+    kept = docs.sparkSession.sparkContext.broadcast({})
+    return docs.mapInArrow(_decode(path or vocabulary_path(), ids, to, kept),
                            common.extended(docs.schema, **{to: "string"}))
 
 
