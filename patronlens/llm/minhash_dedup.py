@@ -214,9 +214,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = _across(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), found)
     for pairs in (lambda: _likely(rest, leaders), lambda: _inside(grouped, found, leaders)):
         more = common.staged(pairs(), "pairs")
-        if not more.isEmpty():
-            edges = common.staged(edges.unionByName(_confirmed(more, texts)), "links")
-            found = components(edges)
+        # for each document the likeliest partner first, then what is still not connected
+        first = more.groupBy("b").agg(F.max_by("a", "likeness").alias("a")).select("a", "b").union(
+            more.groupBy("a").agg(F.max_by("b", "likeness").alias("b"))).distinct()
+        for part in (lambda: first, lambda: _across(more, found)):
+            chosen = common.staged(part(), "chosen")
+            if not chosen.isEmpty():
+                edges = common.staged(edges.unionByName(_confirmed(chosen, texts)), "links")
+                found = components(edges)
     member = (every.select("doc_id", "n", "d1", "d2")
               .join(classes, ["d1", "d2"], "left")
               .join(found.withColumnRenamed("doc_id", "leader"), "leader", "left"))
@@ -248,7 +253,8 @@ def _inside(grouped: DataFrame, found: DataFrame, leaders: DataFrame) -> DataFra
     return common.staged(
         x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") < F.col("y.doc_id"))
                & (F.col("x.c") != F.col("y.c")) & likely)
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "inner")
+        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"),
+                _estimate("x", "y").alias("likeness")).distinct(), "inner")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
