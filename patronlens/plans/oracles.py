@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from patronlens import schemas as S
+from patronlens.functions import dates
 from patronlens.plans.registry import (JOURNEY_CUSTOMER, PAIR, PERIOD, PERIODS, SEGMENT)
 
 _LINES = """
@@ -499,11 +500,11 @@ def oracle_sql() -> dict[str, str]:
         FROM snap GROUP BY customer_id""")
 
     # recommendations
-    sql["sales_with_segment"] = _with(_ONE, """
+    sql["sales_with_segment"] = _with(_ONE, f"""
         SELECT s.customer_id, segment, stock_code, description, CAST(quantity AS BIGINT) AS quantity,
                cents / 100.0::DOUBLE AS total_amount, invoice_date
         FROM sales s JOIN seg ON s.customer_id = seg.customer_id
-        WHERE cents > 0 AND invoice_date <= TIMESTAMP '1999-12-31 00:00:00'""")
+        WHERE cents > 0 AND invoice_date <= TIMESTAMP '{dates.cutoff(PERIOD)}'""")
     sql["recommendations"] = _with(_ONE + _RECO, "SELECT * FROM reco")
     sql["recommendations_backfill"] = _with(_MANY + _RECO, "SELECT * FROM reco")
     sql["reco_period"] = _with(_ONE + _RECO, """
