@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from patronlens.staging import new_path
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fetched(df: DataFrame) -> pd.DataFrame:
+    """A bounded result on the driver, by way of Arrow: no object is made for each row."""
+    return df.toArrow().to_pandas()
+
+
 @contextlib.contextmanager
 def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of a job inside are deleted when it ends, so that a chain of staged

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from patronlens.llm import common
 
 SAMPLE_ROWS = 20_000
-MAX_ENTRIES = 400_000
+MAX_ENTRIES = 200_000
 SIZES = (4, 3, 2, 1)
 SMOOTHING = 0.5
 SLICE = 1 << 20
@@ -88,10 +88,10 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_entries: int = MAX_
         .mapInArrow(_count, "size int, piece string, lang string, n long")
         .groupBy("size", "piece", "lang").agg(F.sum("n").alias("n")), "languages")
     langs = [r.lang for r in counted.select("lang").distinct().orderBy("lang").collect()]
-    entries = (counted.groupBy("size", "piece").agg(
+    entries = common.fetched(counted.groupBy("size", "piece").agg(
         F.sum("n").alias("total"), *(F.sum(F.when(F.col("lang") == lang, F.col("n"))).alias(f"n{i}")
                                      for i, lang in enumerate(langs)))
-        .orderBy(F.desc("total"), "size", "piece").limit(max_entries).toPandas())
+        .orderBy(F.desc("total"), "size", "piece").limit(max_entries))
     common.unstage(counted)
     index: dict[int, dict[str, int]] = {n: {} for n in (0, *SIZES)}
     counts = entries[[f"n{i}" for i in range(len(langs))]].fillna(0).to_numpy(float)

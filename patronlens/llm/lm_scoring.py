@@ -88,8 +88,8 @@ def _least_count(counts: DataFrame, room: int, cost: Column | None = None,
                  start: int = 1) -> int:
     """The smallest count from which all entries fit into `room`."""
     cost = F.lit(1) if cost is None else cost
-    kinds = (counts.where(F.col("n") >= start).groupBy("n").agg(F.sum(cost).alias("cost"))
-             .orderBy(F.desc("n")).toPandas())  # one row per distinct count
+    kinds = common.fetched(counts.where(F.col("n") >= start).groupBy("n").agg(
+        F.sum(cost).alias("cost")).orderBy(F.desc("n")))  # one row per distinct count
     fits = kinds["n"].to_numpy()[np.cumsum(kinds["cost"].to_numpy()) <= room]
     return int(fits.min()) if len(fits) else int(kinds["n"].max()) + 1 if len(kinds) else start
 
@@ -182,7 +182,7 @@ def train(texts: DataFrame, listed: int = LISTED) -> tuple[dict, DataFrame]:
     counts = _count(texts, lambda hashes: hashes, "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("key")).first()
     least = _least_count(counts, listed)
-    frequent = counts.where(F.col("n") >= least).toPandas()
+    frequent = common.fetched(counts.where(F.col("n") >= least))
     keys = frequent["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     keys, known = keys[order], frequent["n"].to_numpy(np.int64)[order]
@@ -191,9 +191,9 @@ def train(texts: DataFrame, listed: int = LISTED) -> tuple[dict, DataFrame]:
     entries = F.floor(F.log2("n")) + 1
     cut = _least_count(pairs, FILTER_BITS // BITS_PER_ENTRY, entries, start)
     entered = pairs.where(F.col("n") >= cut)
-    covered = (entered.groupBy(F.shiftrightunsigned("key", 32).alias("h"))
+    covered = common.fetched(entered.groupBy(F.shiftrightunsigned("key", 32).alias("h"))
                .agg(F.sum(F.when(entries == 1, F.lit(1.0)).otherwise(F.pow(2.0, entries - 0.5)))
-                    .alias("n")).toPandas())  # at most one row per listed word
+                    .alias("n")))  # at most one row per listed word
     share = np.zeros(len(keys))
     share[covered["h"].to_numpy(np.int64)] = covered["n"]
     # quantised counts can add up to more than the context's own count

@@ -86,9 +86,8 @@ def fit(rows: DataFrame, k: int, sample_rows: int = SAMPLE_ROWS) -> dict | None:
         return None
     part = rows if n <= sample_rows else rows.where(
         F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int((1 << 20) * sample_rows / n))
-    sample = np.array(part.select("v").orderBy("vec_id").toPandas()["v"].tolist()
-                      if n <= 4 * sample_rows else
-                      part.select("v").toPandas()["v"].tolist())
+    sample = common.fetched(part.select("v", "vec_id").orderBy("vec_id"))["v"]
+    sample = np.array(sample.tolist())
     lists = int(min(MOST_LISTS, max(1, n // LIST_ROWS), len(sample)))
     centres = centres_of(sample, lists)
     dims = sample.shape[1]

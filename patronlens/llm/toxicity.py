@@ -113,13 +113,14 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = "toxic",
         docs.select("doc_id", F.col("text").cast("string").alias("text"))
         .join(known, "doc_id").select("doc_id", "text", "grade")
         .mapInArrow(_sparse, "doc_id long, grade int, words array<string>"), "taught")
-    grades = taught.select("doc_id", "grade").orderBy("doc_id").toPandas()
+    grades = common.fetched(taught.select("doc_id", "grade").orderBy("doc_id"))
     if not len(grades) or grades["grade"].nunique() < 2:
         return {"weights": {}, "limits": [], "flag_at": 0.5,
                 "base": int(grades["grade"].max()) if len(grades) else 0}
-    words = (taught.select(F.explode("words").alias("word")).groupBy("word")
-             .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= LEAST_TEXTS)
-             .orderBy(F.desc("texts"), "word").limit(FEATURES).select("word").toPandas()["word"])
+    words = common.fetched(
+        taught.select(F.explode("words").alias("word")).groupBy("word")
+        .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= LEAST_TEXTS)
+        .orderBy(F.desc("texts"), "word").limit(FEATURES).select("word"))["word"]
     index = {w: i for i, w in enumerate(words)}
     place = {d: i for i, d in enumerate(grades["doc_id"])}
     at, columns = array("q"), array("q")
