@@ -11,12 +11,11 @@ token after context h scores
 where s(h) is the share of h's occurrences that the entered pairs cover; the probabilities of
 all words after h sum to one, and a context without pairs leaves the base probability.
 
-Sizes: the `LISTED` most frequent words (all down to the least count at which they fit) and the
-filter of `FILTER_BITS` bits are broadcast; both are fixed. Pairs enter from the least count at which
-their entries fit the filter. Words outside the list keep their exact counts, which meet
-the documents in a join on the word's hash; pairs with such words count less often than
-any listed one and are not entered. Counting covers all training text, and the two lists of
-counts are grouped over the cluster.
+Every word and every pair of the training text enters, from count 1. Words and pairs are dealt
+by their hash to lanes, whose number grows with the distinct ones; a lane's filter has
+`BITS_PER_ENTRY` bits for each of its own entries. Nothing is broadcast: documents are taken
+together in groups of about `GROUP` tokens, a group asks each lane once for its distinct words
+and pairs, and the answers meet the group's tokens by a shuffle.
 
 Defined cases: null text is empty and scores its end token alone; a document without doc_id
 counts as held out; without training documents N and V are 0 and every token has the base
@@ -28,21 +27,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from patronlens.llm import common, words
 
 FOLDS = 10
-LISTED = 1 << 18
-FILTER_BITS = 1 << 27
-SEGMENTS = 256
+LANES, LANE_KEYS = 512, 1 << 21  # lanes at least, distinct keys of a lane about at most
 BITS_PER_ENTRY = 10
+FILTER_BITS = 1 << 27  # of a filter that no entries were counted for
+_SEGMENT_BITS = 1 << 12  # the probes of a key stay inside a segment
 PROBES = 4
 SHARE = 0.7  # M: weight of the pair counts
 END = np.uint64(0x2545F4914F6CDD1D)  # the hash of the end token
 CHUNK = 2_000_000
-
-_SEGMENT_BITS = FILTER_BITS // SEGMENTS
+GROUP = 1 << 19
+TOKENS, WORDS, PAIRS = 0, 1, 2  # kinds of rows
 
 
 def tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -52,19 +51,26 @@ def tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.append(hashes, END)
 
 
+def pair_keys(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return words.mix(words.mix(h + np.uint64(1)) + w * np.uint64(0x9E3779B97F4A7C15))
+
+
+def lane_of(keys: np.ndarray, lanes: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) % np.uint64(lanes)).astype(np.int32)
+
+
 # --- counting ----------------------------------------------------------------------------
 
 def _counted(make):
-    """A mapper that counts the keys `make` finds in the token hashes of each text."""
+    """A mapper that counts the keys (and their contexts) `make` finds in each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
         for batch in batches:
             for hashes in tokens(batch):
-                found = make(hashes)
-                held.append(found)
-                size += len(found)
+                held.append(make(hashes))
+                size += len(hashes)
                 if size > CHUNK:
                     yield _rows(held)
                     held, size = [], 0
@@ -74,42 +80,25 @@ def _counted(make):
     return run
 
 
-def _rows(held: list[np.ndarray]) -> pa.RecordBatch:
-    keys, n = np.unique(np.concatenate(held), return_counts=True)
-    return pa.RecordBatch.from_pydict({"key": words.long_array(keys), "n": pa.array(n)})
+def _rows(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    keys, first, n = np.unique(np.concatenate([k for k, _ in held]),
+                               return_index=True, return_counts=True)
+    contexts = np.concatenate([h for _, h in held])[first]
+    return pa.RecordBatch.from_pydict({"key": words.long_array(keys),
+                                       "h": words.long_array(contexts), "n": pa.array(n)})
 
 
 def _count(texts: DataFrame, make, label: str) -> DataFrame:
-    return common.staged(texts.mapInArrow(_counted(make), "key long, n long")
-                         .groupBy("key").agg(F.sum("n").alias("n")), label)
-
-
-def _least_count(counts: DataFrame, room: int, cost: Column | None = None,
-                 start: int = 1) -> int:
-    """The smallest count from which all entries fit into `room`."""
-    cost = F.lit(1) if cost is None else cost
-    kinds = common.fetched(counts.where(F.col("n") >= start).groupBy("n").agg(
-        F.sum(cost).alias("cost")).orderBy(F.desc("n")))  # one row per distinct count
-    fits = kinds["n"].to_numpy()[np.cumsum(kinds["cost"].to_numpy()) <= room]
-    return int(fits.min()) if len(fits) else int(kinds["n"].max()) + 1 if len(kinds) else start
+    return common.staged(texts.mapInArrow(_counted(make), "key long, h long, n long")
+                         .groupBy("key", "h").agg(F.sum("n").alias("n")), label)
 
 
-def _pairs(listed: np.ndarray):
-    def make(hashes: np.ndarray) -> np.ndarray:
-        at = place(hashes, listed)
-        both = (at[:-1] >= 0) & (at[1:] >= 0)
-        return (at[:-1][both].astype(np.uint64) << np.uint64(32)) | at[1:][both].astype(np.uint64)
+def _words(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return hashes, np.zeros(len(hashes), np.uint64)
 
-    return make
 
-
-def place(hashes: np.ndarray, listed: np.ndarray) -> np.ndarray:
-    """Position of each hash in the sorted list, -1 if it is not there."""
-    if not len(listed):
-        return np.full(len(hashes), -1)
-    at = np.searchsorted(listed, hashes)
-    at[at == len(listed)] = 0
-    return np.where(listed[at] == hashes, at, -1)
+def _pairs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return pair_keys(hashes[:-1], hashes[1:]), hashes[:-1]
 
 
 # --- the filter --------------------------------------------------------------------------
@@ -123,33 +112,31 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return np.where(levels == 1, 1.0, 2.0 ** (levels - 0.5))
 
 
-def probes(keys: np.ndarray, levels: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
-    """Segment of each key, and the bits (one column per probe) inside it of one level."""
+def probes(keys: np.ndarray, levels: np.ndarray | int,
+           size: int = FILTER_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Segment of each key in a filter of `size` bits, and the bits (one column per probe)
+    inside it of one level."""
     h = words.mix(keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
-    segment = (h >> np.uint64(32)) % np.uint64(SEGMENTS)
+    segment = (h >> np.uint64(32)) % np.uint64(size // _SEGMENT_BITS)
     g = words.mix(h + np.asarray(levels).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
     step = (g >> np.uint64(32)) | np.uint64(1)
     at = [(g + np.uint64(i) * step) % np.uint64(_SEGMENT_BITS) for i in range(PROBES)]
     return segment.astype(np.int64), np.stack(at, axis=1).astype(np.int64)
 
 
-def _with_segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = batch.column("key").to_numpy().view(np.uint64)
-        yield pa.RecordBatch.from_pydict({
-            "segment": pa.array(probes(keys, 1)[0].astype(np.int32)),
-            "key": batch.column("key"), "n": batch.column("n")})
+def _bits_at(keys: np.ndarray, q: int, size: int) -> np.ndarray:
+    segment, at = probes(keys, q, size)
+    return at + segment[:, None] * _SEGMENT_BITS
 
 
-def _segment_bits(table: pa.Table) -> pa.Table:
-    """The bits of one segment; the number of its entries is bounded by the filter's size."""
-    keys = table.column("key").to_numpy().view(np.uint64)
-    levels = level(table.column("n").to_numpy())
-    bits = np.zeros(_SEGMENT_BITS, bool)
+def filter_of(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The filter of these pairs, sized by the levels they enter."""
+    levels = level(n)
+    segments = -(-int(levels.sum()) * BITS_PER_ENTRY // _SEGMENT_BITS)
+    bits = np.zeros(segments * _SEGMENT_BITS, bool)
     for q in range(1, int(levels.max()) + 1):
-        bits[probes(keys[levels >= q], q)[1].ravel()] = True
-    return pa.table({"segment": table.column("segment")[:1],
-                     "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+        bits[_bits_at(keys[levels >= q], q, len(bits)).ravel()] = True
+    return np.packbits(bits)
 
 
 def levels_of(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -158,8 +145,7 @@ def levels_of(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     alive = np.arange(len(keys))
     q = 1
     while len(alive):
-        segment, at = probes(keys[alive], q)
-        at += segment[:, None] * _SEGMENT_BITS
+        at = _bits_at(keys[alive], q, len(bits) * 8)
         found = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(axis=1)
         alive = alive[found]
         out[alive] = q
@@ -167,141 +153,265 @@ def levels_of(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return out
 
 
-def _filter(pairs: DataFrame, least: int) -> np.ndarray:
-    rows = (pairs.where(F.col("n") >= least)
-            .mapInArrow(_with_segment, "segment int, key long, n long")
-            .groupBy("segment").applyInArrow(_segment_bits, "segment int, bits binary"))
-    out = np.zeros((SEGMENTS, _SEGMENT_BITS // 8), np.uint8)
-    for row in rows.toLocalIterator():
-        out[row.segment] = np.frombuffer(row.bits, np.uint8)
-    return out.ravel()
+def _with_lane(lanes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lane = lane_of(batch.column("key").to_numpy().view(np.uint64), lanes)
+            columns = dict(zip(batch.schema.names, batch.columns))
+            yield pa.RecordBatch.from_pydict({"lane": pa.array(lane)} | columns)
 
+    return run
 
-def train(texts: DataFrame, listed: int = LISTED) -> tuple[dict, DataFrame]:
-    """The model to broadcast, and the exact counts (key, n) of all words."""
-    counts = _count(texts, lambda hashes: hashes, "word-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("key")).first()
-    least = _least_count(counts, listed)
-    frequent = common.fetched(counts.where(F.col("n") >= least))
-    keys = frequent["key"].to_numpy(np.int64).view(np.uint64)
+
+def _lane_row(table: pa.Table, kind: int, data: bytes) -> pa.Table:
+    return pa.table({"kind": pa.array([kind], pa.int32()), "lane": table.column("lane")[:1],
+                     "batch": pa.array([-1], pa.int64()), "data": pa.array([data], pa.binary())})
+
+
+def _pair_lane(table: pa.Table) -> pa.Table:
+    return _lane_row(table, PAIRS, filter_of(table.column("key").to_numpy().view(np.uint64),
+                                             table.column("n").to_numpy()).tobytes())
+
+
+def _word_lane(table: pa.Table) -> pa.Table:
+    keys = table.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    keys, known = keys[order], frequent["n"].to_numpy(np.int64)[order]
-    pairs = _count(texts, _pairs(keys), "pair-counts")
-    start = max(2, least)
-    entries = F.floor(F.log2("n")) + 1
-    cut = _least_count(pairs, FILTER_BITS // BITS_PER_ENTRY, entries, start)
-    entered = pairs.where(F.col("n") >= cut)
-    covered = common.fetched(entered.groupBy(F.shiftrightunsigned("key", 32).alias("h"))
-               .agg(F.sum(F.when(entries == 1, F.lit(1.0)).otherwise(F.pow(2.0, entries - 0.5)))
-                    .alias("n")))  # at most one row per listed word
-    share = np.zeros(len(keys))
-    share[covered["h"].to_numpy(np.int64)] = covered["n"]
-    # quantised counts can add up to more than the context's own count
-    scale = np.maximum(share, known)
-    model = {"listed": keys, "counts": known, "context": scale,
-             "share": share / np.maximum(scale, 1), "bits": _filter(pairs, cut),
-             "total": int(total), "distinct": int(distinct)}
+    return _lane_row(table, WORDS, b"".join(x[order].tobytes() for x in (
+        keys, table.column("n").to_numpy(), table.column("covered").to_numpy())))
+
+
+_LANES = "kind int, lane int, batch long, data binary"
+
+
+def train(texts: DataFrame, lane_keys: int = LANE_KEYS) -> tuple[dict, DataFrame]:
+    """The model's sizes, and its lanes of words and pairs as a staged table."""
+    counts = _count(texts, _words, "word-counts").drop("h")
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("key")).first()
+    pairs = _count(texts, _pairs, "pair-counts")
+    lanes = {kind: max(LANES, -(-keys // lane_keys))
+             for kind, keys in ((WORDS, distinct), (PAIRS, pairs.count()))}
+    entries = F.length(F.bin("n"))
+    covered = pairs.groupBy(F.col("h").alias("key")).agg(
+        F.sum(F.when(entries == 1, F.lit(1.0)).otherwise(F.pow(F.lit(2.0), entries - 0.5)))
+        .alias("covered"))
+    known = counts.join(covered, "key", "left").select(
+        "key", "n", F.coalesce("covered", F.lit(0.0)).alias("covered"))
+    rows = (known.mapInArrow(_with_lane(lanes[WORDS]), "lane int, key long, n long, covered double")
+            .groupBy("lane").applyInArrow(_word_lane, _LANES)
+            .unionByName(pairs.select("key", "n")
+                         .mapInArrow(_with_lane(lanes[PAIRS]), "lane int, key long, n long")
+                         .groupBy("lane").applyInArrow(_pair_lane, _LANES)))
+    out = common.staged(rows, "lanes")
     common.unstage(pairs)
-    return model, counts
+    return {"total": int(total), "distinct": int(distinct), "lanes": lanes}, out
 
 
 # --- scoring -------------------------------------------------------------------------------
 
-def _score(shared):
+_TOKENS = ("batch long, doc_ids array<long>, held array<boolean>, sizes array<int>, "
+           "words binary, at binary")
+
+
+def _grouped(lanes: dict):
+    """Groups of documents as their distinct words, by lane, and each token's place there."""
+
+    def row(number, ids, held, texts):
+        known, at = np.unique(np.concatenate(texts), return_inverse=True)
+        order = np.argsort(lane_of(known, lanes[WORDS]), kind="stable")
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order))
+        return {"batch": number, "doc_ids": ids, "held": held, "sizes": [len(t) for t in texts],
+                "words": known[order].tobytes(), "at": place[at].tobytes()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        model = shared.value
-        row = TaskContext.get().partitionId() << 40
-        size = model["total"] + 0.1 * (model["distinct"] + 1)
-        base_logs = np.log10((model["counts"] + 0.1) / size) if model["total"] else model["counts"]
+        number = TaskContext.get().partitionId() << 32
+        schema = pa.schema([("batch", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+                            ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())),
+                            ("words", pa.binary()), ("at", pa.binary())])
+        for batch in batches:
+            ids, held = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
+            texts, size, first = [], 0, 0
+            for i, hashes in enumerate(tokens(batch)):
+                texts.append(hashes)
+                size += len(hashes)
+                if size > GROUP or i == len(ids) - 1:
+                    found = row(number, ids[first:i + 1], held[first:i + 1], texts)
+                    yield pa.RecordBatch.from_pylist([found], schema=schema)
+                    number += 1
+                    texts, size, first = [], 0, i + 1
+
+    return run
+
+
+def _group_pairs(known: np.ndarray, at: np.ndarray, owner: np.ndarray, lanes: int):
+    """Tokens with a context in the same text, the distinct pairs by lane, each token's pair."""
+    after = np.flatnonzero(owner[1:] == owner[:-1]) + 1
+    pairs, which = np.unique(at[after - 1].astype(np.uint64) << np.uint64(32)
+                             | at[after].astype(np.uint64), return_inverse=True)
+    keys = pair_keys(known[pairs >> np.uint64(32)], known[pairs & np.uint64(0xFFFFFFFF)])
+    order = np.argsort(lane_of(keys, lanes), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return after, keys[order], place[which]
+
+
+def _open(words_data: bytes, at_data: bytes, sizes: list[int]):
+    known, at = np.frombuffer(words_data, np.uint64), np.frombuffer(at_data, np.uint32)
+    return known, at, np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _asked(lanes: dict):
+    """What each group asks each lane: its distinct words and pairs there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = list(tokens(batch))
-            lengths = np.array([len(t) for t in texts])
-            columns: dict[str, list] = {n: [] for n in ("known", "base", "score", "rare", "times")}
-            first = 0
-            while first < len(texts):
-                last = int(np.searchsorted(np.cumsum(lengths[first:]), CHUNK // 4, "right"))
-                last = first + max(1, last)
-                _measure(texts[first:last], model, base_logs, columns)
-                first = last
-            offsets = pa.array(np.cumsum([0, *map(len, columns["rare"])]).astype(np.int32))
-            flat = {n: np.concatenate(columns[n]) for n in ("rare", "times")}
+            for r in batch.select(["batch", "sizes", "words", "at"]).to_pylist():
+                known, at, owner = _open(r["words"], r["at"], r["sizes"])
+                pairs = _group_pairs(known, at, owner, lanes[PAIRS])[1]
+                for kind, keys in ((WORDS, known), (PAIRS, pairs)):
+                    found, first = np.unique(lane_of(keys, lanes[kind]), return_index=True)
+                    data = [part.tobytes() for part in np.split(keys, first[1:])] if len(keys) else []
+                    yield pa.RecordBatch.from_pydict({
+                        "kind": pa.array([kind] * len(found), pa.int32()), "lane": pa.array(found),
+                        "batch": pa.array([r["batch"]] * len(found), pa.int64()),
+                        "data": pa.array(data, pa.binary())})
+
+    return run
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by lane, the lane's own row first: it answers the questions after it, those
+    of one Arrow batch together."""
+    lane, store = None, None
+    for batch in batches:
+        rows = batch.to_pylist()
+        keep, out, i = [], [], 0
+        while i < len(rows):
+            here = rows[i]["kind"], rows[i]["lane"]
+            if rows[i]["batch"] < 0:
+                lane, store = here, _store(here[0], rows[i]["data"])
+                i += 1
+                continue
+            end = i
+            while end < len(rows) and (rows[end]["kind"], rows[end]["lane"]) == here:
+                end += 1
+            asked = [r["data"] for r in rows[i:end]]
+            found = _found(here[0], np.frombuffer(b"".join(asked), np.uint64),
+                           store if lane == here else None)
+            cuts = np.cumsum([len(a) // 8 for a in asked])[:-1]
+            out += [part.tobytes() for part in np.split(found, cuts)]
+            keep += range(i, end)
+            i = end
+        if keep:
+            answered = batch.take(pa.array(keep))
             yield pa.RecordBatch.from_pydict({
-                "row": pa.array(np.arange(row, row + len(texts))), "doc_id": batch.column("doc_id"),
-                "held_out": batch.column("held_out"), "n_tokens": pa.array(lengths),
-                "known": pa.array(np.concatenate(columns["known"])),
-                "base": pa.array(np.concatenate(columns["base"])),
-                "score": pa.array(np.concatenate(columns["score"])),
-                "rare": pa.ListArray.from_arrays(offsets, words.long_array(flat["rare"])),
-                "times": pa.ListArray.from_arrays(offsets, pa.array(flat["times"]))})
-            row += len(texts)
+                **{c: answered.column(c) for c in ("kind", "lane", "batch")},
+                "data": pa.array(out, pa.binary())})
+
+
+def _store(kind: int, data: bytes):
+    if kind == PAIRS:
+        return np.frombuffer(data, np.uint8)
+    part = len(data) // 3
+    return [np.frombuffer(data[i * part:(i + 1) * part], of)
+            for i, of in enumerate((np.uint64, np.int64, np.float64))]
+
+
+def _found(kind: int, keys: np.ndarray, store) -> np.ndarray:
+    """Levels of pairs; counts and covered occurrences of words. Zeros from a lane without keys."""
+    if kind == PAIRS:
+        return (levels_of(keys, store) if store is not None else np.zeros(len(keys))).astype(np.uint8)
+    out = np.zeros((len(keys), 2))
+    if store is not None:
+        known, n, covered = store
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        hit = known[at] == keys
+        out[hit, 0], out[hit, 1] = n[at[hit]], covered[at[hit]]
+    return out
+
+
+_SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
+           "score double")
+
+
+def _score(total: int, distinct: int, lanes: dict):
+    """Rows come by group: its tokens, then the answers of the lanes in their order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, answers = None, None
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["kind"] == TOKENS:
+                    if group:
+                        yield done(group, answers)
+                    group, answers = r, {WORDS: [], PAIRS: []}
+                else:
+                    answers[r["kind"]].append(r["data"])
+        if group:
+            yield done(group, answers)
+
+    def done(group, answers) -> pa.RecordBatch:
+        known, at, owner = _open(group["words"], group["at"], group["sizes"])
+        after, _, which = _group_pairs(known, at, owner, lanes[PAIRS])
+        n, covered = np.frombuffer(b"".join(answers[WORDS]), float).reshape(-1, 2).T
+        levels = np.frombuffer(b"".join(answers[PAIRS]), np.uint8)
+        seen, base, score = measure(at, after, levels[which].astype(np.int64), n, covered,
+                                    total, distinct)
+        docs = len(group["sizes"])
+        return pa.RecordBatch.from_pydict({
+            "doc_id": pa.array(group["doc_ids"], pa.int64()),
+            "held_out": pa.array(group["held"], pa.bool_()),
+            "n_tokens": pa.array(group["sizes"], pa.int64()),
+            "n_known": pa.array(np.bincount(owner, seen, docs).astype(np.int64)),
+            "base_score": pa.array(np.bincount(owner, base, docs)),
+            "score": pa.array(np.bincount(owner, score, docs))})
 
     return run
 
 
-def _measure(texts: list[np.ndarray], model: dict, base_logs: np.ndarray, columns: dict) -> None:
-    """Sums over the listed words of each text, and what its other words still need."""
-    n = len(texts)
-    sizes = [len(t) for t in texts]
-    hashes = np.concatenate(texts)
-    owner = np.repeat(np.arange(n), sizes)
-    at = place(hashes, model["listed"])
-    listed = at >= 0
-    base = np.where(listed, base_logs[np.maximum(at, 0)] if len(base_logs) else 0.0, 0.0)
-    # tokens after a listed word of the same text; the share its pairs do not take
-    after = np.flatnonzero((at[:-1] >= 0) & (owner[:-1] == owner[1:])) + 1
-    h = at[after - 1]
-    rest = np.log10(1 - SHARE * model["share"][h]) if len(after) else np.zeros(0)
-    gain = np.zeros(len(hashes))
-    gain[after] = rest
-    both = after[listed[after]]
-    h = at[both - 1]
-    keys = (h.astype(np.uint64) << np.uint64(32)) | at[both].astype(np.uint64)
-    levels = levels_of(keys, model["bits"])
-    hit = np.flatnonzero(levels)
-    if len(hit):
-        both, h = both[hit], h[hit]
-        seen = np.minimum(count_of(levels[hit]), model["context"][h])
-        p = SHARE * seen / model["context"][h] + 10 ** (gain[both] + base[both])
-        gain[both] = np.log10(np.minimum(p, 1.0)) - base[both]
-    columns["known"].append(np.bincount(owner, listed, n).astype(np.int64))
-    columns["base"].append(np.bincount(owner, base, n))
-    columns["score"].append(np.bincount(owner, base + gain, n))
-    rare = ~listed
-    begins = np.searchsorted(owner[rare], np.arange(n + 1))
-    values = hashes[rare]
-    for i in range(n):
-        found, times = np.unique(values[begins[i]:begins[i + 1]], return_counts=True)
-        columns["rare"].append(found)
-        columns["times"].append(times.astype(np.int32))
-
-
-def score(docs: DataFrame, model: dict, counts: DataFrame) -> DataFrame:
+def measure(at: np.ndarray, after: np.ndarray, levels: np.ndarray, n: np.ndarray,
+            covered: np.ndarray, total: int, distinct: int):
+    """For each token: whether training knows it, its base score and its score."""
+    size = total + 0.1 * (distinct + 1)
+    logs = np.log10((n + 0.1) / size) if total else np.zeros(len(n))
+    # quantised counts can add up to more than the context's own count
+    scale = np.maximum(np.maximum(covered, n), 1)
+    base = logs[at]
+    h, w = at[after - 1], at[after]
+    rest = np.zeros(len(at))
+    rest[after] = np.log10(1 - SHARE * covered[h] / scale[h])
+    gain = rest.copy()
+    hit = (levels > 0) & (n[h] > 0) & (n[w] > 0)
+    both, h = after[hit], h[hit]
+    seen = np.minimum(count_of(levels[hit]), scale[h])
+    p = SHARE * seen / scale[h] + 10 ** (rest[both] + base[both])
+    gain[both] = np.log10(np.minimum(p, 1.0)) - base[both]
+    return n[at] > 0, base, base + gain
+
+
+def score(docs: DataFrame, model: dict, stored: DataFrame) -> DataFrame:
     """Scores of `docs` (doc_id, text, held_out), a row each."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = common.staged(docs.mapInArrow(
-        _score(shared), "row long, doc_id long, held_out boolean, n_tokens long, known long, "
-        "base double, score double, rare array<long>, times array<int>"), "scores")
-    size = model["total"] + 0.1 * (model["distinct"] + 1)
-    c = F.coalesce("n", F.lit(0))
-    log = F.log10((c + 0.1) / size) if model["total"] else F.lit(0.0)
-    rare = (rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
-            .select("row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
-            .join(counts, "key", "left")
-            .groupBy("row").agg(F.sum(log * F.col("times")).alias("more"),
-                                F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known")))
-    more = F.coalesce("more", F.lit(0.0))
-    return rows.drop("rare", "times").join(rare, "row", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(model["total"]).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+    lanes = model["lanes"]
+    groups = common.staged(docs.select("doc_id", "text", "held_out")
+                           .mapInArrow(_grouped(lanes), _TOKENS), "tokens")
+    answers = common.staged(
+        stored.unionByName(groups.mapInArrow(_asked(lanes), _LANES))
+        .repartition("kind", "lane").sortWithinPartitions("kind", "lane", "batch")
+        .mapInArrow(_answers, _LANES), "answers")
+    rows = (groups.withColumns({"kind": F.lit(TOKENS), "lane": F.lit(0)})
+            .unionByName(answers, allowMissingColumns=True)
+            .repartition("batch").sortWithinPartitions("batch", "kind", "lane"))
+    scored = rows.mapInArrow(_score(model["total"], model["distinct"], lanes), _SCORES)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known",
+                         F.lit(model["total"]).cast("long").alias("train_tokens"),
+                         "base_score", "score")
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
         common.in_fold("doc_id", FOLDS).alias("held_out"))
-    model, counts = train(docs.where("NOT held_out").select("text"))
-    return score(docs, model, counts)
+    model, stored = train(docs.where("NOT held_out").select("text"))
+    return score(docs, model, stored)

@@ -1,0 +1,58 @@
+"""Language-model scores against the formula on exact counts."""
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from patronlens.llm import lm_scoring as lm
+
+
+def expected(train, text):
+    texts = [t.split() + [None] for t in train]
+    n = Counter(w for t in texts for w in t)
+    pairs = Counter(p for t in texts for p in zip(t, t[1:]))
+    quantised = {p: float(lm.count_of(lm.level(np.array([k])))[0]) for p, k in pairs.items()}
+    covered = Counter()
+    for (h, _), q in quantised.items():
+        covered[h] += q
+    size = sum(n.values()) + 0.1 * (len(n) + 1)
+    out, before = 0.0, None
+    for i, w in enumerate(text.split() + [None]):
+        p = (n[w] + 0.1) / size
+        if i and n[before]:
+            scale = max(covered[before], n[before])
+            p = (lm.SHARE * quantised.get((before, w), 0.0) / scale
+                 + (1 - lm.SHARE * covered[before] / scale) * p)
+        out += math.log10(p)
+        before = w
+    return out
+
+
+def test_pairs_seen_once_and_rare_words_count(spark):
+    train = ["a b a b c", "a b d", "once only here", "c a b"]
+    held = ["once only here", "a b c", "only once", "new a b", ""]
+    docs = spark.createDataFrame([(i, t, True) for i, t in enumerate(held)],
+                                 "doc_id long, text string, held_out boolean")
+    model, stored = lm.train(spark.createDataFrame([(t,) for t in train], "text string"))
+    found = {r.doc_id: r for r in lm.score(docs, model, stored).collect()}
+    for i, text in enumerate(held):
+        assert found[i].score == pytest.approx(expected(train, text), abs=1e-9), text
+    assert found[0].score > found[0].base_score + 1  # each of its pairs is seen once
+
+
+def test_filter_grows_with_its_pairs():
+    keys = lm.words.mix(np.arange(300_000, dtype=np.uint64))
+    bits = lm.filter_of(keys, np.ones(len(keys), np.int64))
+    assert (lm.levels_of(keys, bits) >= 1).all() and len(bits) * 8 >= 10 * len(keys)
+    others = lm.words.mix(np.arange(10**7, 10**7 + 100_000, dtype=np.uint64))
+    assert (lm.levels_of(others, bits) > 0).mean() < 0.02
+
+
+def test_no_training_text_and_missing_ids(spark):
+    docs = spark.createDataFrame([(None, "a b", True), (1, None, True)],
+                                 "doc_id long, text string, held_out boolean")
+    model, stored = lm.train(spark.createDataFrame([], "text string"))
+    assert {(r.doc_id, r.n_tokens, r.n_known, r.score) for r in lm.score(docs, model, stored).collect()} == {
+        (None, 3, 0, 0.0), (1, 1, 0, 0.0)}
