@@ -6,7 +6,8 @@ class 240 minima are taken: 48 bands of 5 give candidate groups (a pair at simil
 misses all bands with a probability of 2e-6), and the two low bits of every minimum, packed
 into eight longs, give an estimate by bit counts, corrected for the quarter of minima that
 agree by chance. Pairs whose estimate is above the threshold less four standard errors are
-confirmed on their full sets.
+confirmed on their full sets, and so is every candidate pair in which one set has fewer than
+`FEW` shingles and the sizes allow the threshold: for small sets the chance agreement varies.
 
 Groups are not expanded into pairs. Members of a band group are first compared with the
 group's centre: each document with the one it shares most bands with, then with the others
@@ -35,6 +36,7 @@ BANDS, ROWS = 48, 5
 BITS = 2
 PLANES = BITS * 4  # longs of a signature
 SLACK = 0.135  # of the estimate, four standard errors of 240 minima
+FEW = 64  # with fewer shingles a pair is confirmed whatever its estimate
 
 _PLANES = ", ".join(f"s{i} long" for i in range(PLANES))
 _SCHEMA = f"doc_id long, n long, d1 long, d2 long, bands array<long>, {_PLANES}"
@@ -58,10 +60,12 @@ def minima(values: np.ndarray, count: int) -> np.ndarray:
 
 
 def _packed(best: np.ndarray) -> np.ndarray:
-    """BITS planes of 256 bits: plane i holds bit i of every minimum."""
+    """BITS planes of 256 bits: plane i holds bit i of every minimum, mixed first, as the low
+    bits of a minimum follow from the low bits of its shingle alone."""
+    mixed = words.mix(best.astype(np.uint64) + words.multipliers(len(best), 13))
     planes = np.zeros((BITS, 256), np.uint8)
     for i in range(BITS):
-        planes[i, :len(best)] = (best >> np.uint32(i)) & np.uint32(1)
+        planes[i, :len(best)] = (mixed >> np.uint64(i)) & np.uint64(1)
     return np.packbits(planes, axis=1).view(np.int64).ravel()
 
 
@@ -123,6 +127,14 @@ def _estimate(a: str, b: str):
     return (1 - differing / total - chance) / (1 - chance)
 
 
+def _passes(a: str, b: str, estimate):
+    """Pairs to confirm: likely ones, and those with few shingles whose sizes allow the
+    threshold."""
+    x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
+    few = ((F.least(x, y) < FEW) & (F.least(x, y) * 100 >= F.greatest(x, y) * THRESHOLD))
+    return few | (estimate >= THRESHOLD / 100 - SLACK)
+
+
 def sum_or(columns):
     out = columns[0]
     for column in columns[1:]:
@@ -132,11 +144,11 @@ def sum_or(columns):
 
 def _likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     planes = [f"s{i}" for i in range(PLANES)]
-    left = signatures.select(F.col("doc_id").alias("a"), *planes).alias("l")
-    right = signatures.select(F.col("doc_id").alias("b"), *planes).alias("r")
+    left = signatures.select(F.col("doc_id").alias("a"), "n", *planes).alias("l")
+    right = signatures.select(F.col("doc_id").alias("b"), "n", *planes).alias("r")
     return (pairs.join(left, "a").join(right, "b")
-            .select("a", "b", _estimate("l", "r").alias("likeness"))
-            .where(F.col("likeness") >= THRESHOLD / 100 - SLACK))
+            .where(_passes("l", "r", _estimate("l", "r")))
+            .select("a", "b", _estimate("l", "r").alias("likeness")))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -192,7 +204,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     leaders = common.staged(
         every.where(known).join(classes.withColumnRenamed("leader", "doc_id"),
                                 ["d1", "d2", "doc_id"], "left_semi")
-        .dropDuplicates(["doc_id"]).drop("d1", "d2", "n"), "leaders")
+        .dropDuplicates(["doc_id"]).drop("d1", "d2"), "leaders")
     bands = leaders.select(F.explode("bands").alias("key"), "doc_id")
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = common.staged(bands.join(sizes, "key"), "shared")
@@ -247,9 +259,9 @@ def _inside(grouped: DataFrame, found: DataFrame, leaders: DataFrame) -> DataFra
              .where("low < high").select("key"))
     planes = [f"s{i}" for i in range(PLANES)]
     members = common.staged(rows.where("doc_id <> a").join(mixed, "key").drop("a")
-                            .join(leaders.select("doc_id", *planes), "doc_id"), "mixed")
+                            .join(leaders.select("doc_id", "n", *planes), "doc_id"), "mixed")
     x, y = members.alias("x"), members.alias("y")
-    likely = _estimate("x", "y") >= THRESHOLD / 100 - SLACK
+    likely = _passes("x", "y", _estimate("x", "y"))
     return common.staged(
         x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") < F.col("y.doc_id"))
                & (F.col("x.c") != F.col("y.c")) & likely)
