@@ -1,0 +1,17 @@
+"""Months replaced and deleted among all facts, also those dated before 1999."""
+
+import pytest
+
+from compare import connect, differences
+from patronlens.plans import oracles, registry
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ["replaced", "deleted"])
+def test_all_facts_are_stored(spark, name):
+    whole = oracles.oracle_sql()[f"facts_month_{name}"].replace(
+        "WHERE invoice_date >= TIMESTAMP '1999-01-01' AND ", "WHERE ")
+    assert "'1999-01-01'" not in whole
+    store = getattr(registry, f"_month_{name}")(spark, SF)
+    assert differences(registry._fact_counts(store), connect(SF), whole) is None
