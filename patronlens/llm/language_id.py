@@ -6,8 +6,9 @@ the mean log frequency of its 4-grams, or if none of them is known of its 3-gram
 letters. The sums over a text, as posterior probabilities under equal priors, give the
 language and its score.
 
-The model is fitted on at most about `SAMPLE_ROWS` labelled rows (a share of them by a hash of
-doc_id) and holds at most `MAX_ENTRIES` words and pieces, so the broadcast has a fixed bound.
+The model is fitted on at most about `SAMPLE_ROWS` labelled rows, taken by a hash of doc_id:
+small languages whole, the others as many rows each. It holds every word and piece of these
+rows, so the broadcast is bounded by their text.
 Every text is read whole, long ones in slices cut between words.
 
 Defined cases: text null or without a letter: `und` with score 0; letters but no known piece:
@@ -28,7 +29,6 @@ from pyspark.sql import DataFrame, functions as F
 from patronlens.llm import common
 
 SAMPLE_ROWS = 20_000
-MAX_ENTRIES = 200_000
 SIZES = (4, 3, 2, 1)
 SMOOTHING = 0.5
 SLICE = 1 << 20
@@ -74,14 +74,28 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "n": pa.array(list(table.values()), pa.int64())})
 
 
-def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_entries: int = MAX_ENTRIES) -> dict:
+def shares(rows: dict[str, int], room: int) -> dict[str, float]:
+    """The share of each language's rows to take: all of a small language, and as many rows of
+    each larger one as then fit into `room`."""
+    out = {}
+    for i, (lang, n) in enumerate(sorted(rows.items(), key=lambda x: x[1])):
+        out[lang] = min(1.0, room / (len(rows) - i) / n)
+        room -= n * out[lang]
+    return out
+
+
+def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     """Learn from text and lang of `docs`: languages, and for words (size 0) and pieces the
     row of a table of log frequencies."""
     known = docs.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
-    rows = known.select("doc_id").count()
-    if rows > sample_rows:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-                            < int((1 << 20) * sample_rows / rows))
+    rows = {r.lang: r.n for r in known.groupBy(F.col("lang").cast("string").alias("lang"))
+            .agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each language
+    if sum(rows.values()) > sample_rows:
+        taken = F.lit(0)
+        for lang, share in shares(rows, sample_rows).items():
+            taken = F.when(F.col("lang").cast("string") == lang,
+                           F.lit(round((1 << 20) * share))).otherwise(taken)
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < taken)
     counted = common.staged(
         known.select(F.col("text").cast("string").alias("text"),
                      F.col("lang").cast("string").alias("lang"))
@@ -90,8 +104,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_entries: int = MAX_
     langs = [r.lang for r in counted.select("lang").distinct().orderBy("lang").collect()]
     entries = common.fetched(counted.groupBy("size", "piece").agg(
         F.sum("n").alias("total"), *(F.sum(F.when(F.col("lang") == lang, F.col("n"))).alias(f"n{i}")
-                                     for i, lang in enumerate(langs)))
-        .orderBy(F.desc("total"), "size", "piece").limit(max_entries))
+                                     for i, lang in enumerate(langs))))
     common.unstage(counted)
     index: dict[int, dict[str, int]] = {n: {} for n in (0, *SIZES)}
     counts = entries[[f"n{i}" for i in range(len(langs))]].fillna(0).to_numpy(float)
