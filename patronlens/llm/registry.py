@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from patronlens.llm import (conversations, fingerprints, language_id, lm_scoring, minhash_dedup,
-                            nearest, packing, pieces, quality, substring_dedup, toxicity)
+                            nearest, packing, pieces, quality, runs, secret_scan,
+                            substring_dedup, toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,7 +16,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
              pieces.op3_sentencepiece, quality.op4_quality_classifier, lm_scoring.op5_lm_scoring,
              fingerprints.op6_document_fingerprints, minhash_dedup.op7_minhash_dedup,
              toxicity.op8_toxicity, nearest.op9_nearest_neighbours,
-             language_id.op10_language_id, conversations.op11_conversation_repair]
+             language_id.op10_language_id, conversations.op11_conversation_repair,
+             secret_scan.op12_secret_scan, runs.op13_periodic_runs]
     return {f.__name__: f for f in found}
 
 
