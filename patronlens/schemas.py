@@ -94,6 +94,7 @@ def _table(*fields) -> T.StructType:
 _STR, _INT, _LONG = T.StringType(), T.IntegerType(), T.LongType()
 _TS, _DATE, _BOOL = T.TimestampNTZType(), T.DateType(), T.BooleanType()
 
+# Tables, columns and types of the warehouse.
 TABLES = {
     "dim_customer": _table(
         ("customer_key", _LONG, False), ("customer_id", _STR, False), ("country", _STR, True),
@@ -132,6 +133,7 @@ TABLES = {
         ("finished_at", _TS, True), ("error_msg", _STR, True)),
 }
 
+# Natural keys.
 KEYS = {
     "dim_customer": ("customer_id",),
     "dim_product": ("stock_code",),

@@ -129,18 +129,19 @@ def test_date_forms(spark, zone):
 
 
 def test_month_cutoff_is_month_end_midnight(spark):
-    df = raw(spark, [line("1", date="1/15/2011 10:00"), line("2", date="3/20/2011 10:00"),
-                     line("3", date="3/31/2011 0:00"), line("4", date="3/31/2011 10:00"),
-                     line("5", date="6/5/2011 10:00")])
+    df = raw(spark, [line("1", date="8/9/2012 17:45"), line("2", date="9/29/2012 6:20"),
+                     line("3", date="9/30/2012 0:00"), line("4", date="9/30/2012 0:01"),
+                     line("5", date="10/2/2012 23:59"), line("6", date="11/30/2012 13:30")])
 
     def kept(**options):
-        return {r.InvoiceNo for r in clean.filter_by_month(df, 2011, 3, **options).collect()}
+        return {r.InvoiceNo for r in clean.filter_by_month(df, 2012, 9, **options).collect()}
 
     assert kept() == {"1", "2", "3"}
     assert kept(inclusive_end=True) == {"1", "2", "3", "4"}
-    periods = {r.InvoiceNo: r.p for r in clean.filter_by_month(df, 2011, 12).select(
+    periods = {r.InvoiceNo: r.p for r in clean.filter_by_month(df, 2012, 12).select(
         "InvoiceNo", dates.entry_period(F.col("InvoiceDate")).alias("p")).collect()}
-    assert periods == {"1": "2011-01", "2": "2011-03", "3": "2011-03", "4": "2011-04", "5": "2011-06"}
+    assert periods == {"1": "2012-08", "2": "2012-09", "3": "2012-09", "4": "2012-10",
+                       "5": "2012-10", "6": "2012-12"}
 
 
 def test_amount_rounding_follows_the_binary_product(spark):
