@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from patronlens import schemas as S
@@ -13,15 +15,16 @@ UNKNOWN_GEO_KEY = 0
 def staging_facts(lines: DataFrame) -> DataFrame:
     """The columns the fact table is made of, still with natural keys."""
     country = F.col("country") if "country" in lines.columns else F.lit(S.UNKNOWN_COUNTRY)
+    also = [c for c in ("period",) if c in lines.columns]
     return lines.select(
-        "invoice_no", "customer_id", "stock_code",
+        *also, "invoice_no", "customer_id", "stock_code",
         dates.date_key(F.col("invoice_date")).alias("date_key"),
         country.alias("country"), "quantity", "unit_price", "total_amount", "invoice_date")
 
 
 def resolve_keys(staged: DataFrame, customers: DataFrame, products: DataFrame,
-                 geography: DataFrame) -> DataFrame:
-    """Fact rows with surrogate keys. Rows without customer, product or date drop out; an
+                 geography: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Fact rows with surrogate keys, and the columns to `keep`. Rows without customer, product or date drop out; an
     unknown country gets key 0.
 
     No side is hinted: a dimension is broadcast when its known size allows it and joined
@@ -31,7 +34,7 @@ def resolve_keys(staged: DataFrame, customers: DataFrame, products: DataFrame,
             .join(customers.select("customer_id", "customer_key"), "customer_id")
             .join(products.select("stock_code", "product_key"), "stock_code")
             .join(geography.select("country", "geo_key"), "country", "left")
-            .select("invoice_no",
+            .select(*keep, "invoice_no",
                     F.col("customer_key").cast("bigint").alias("customer_key"),
                     F.col("product_key").cast("bigint").alias("product_key"),
                     F.col("date_key").cast("int").alias("date_key"),

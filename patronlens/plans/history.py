@@ -8,7 +8,7 @@ from patronlens import schemas as S
 from patronlens.functions import numbers, text
 
 
-def segment_monthly(snapshots: DataFrame) -> DataFrame:
+def monthly_means(snapshots: DataFrame) -> DataFrame:
     """Size, mean recency, frequency, spend and revenue per period and segment."""
     n = F.col("customer_count")
     return (snapshots.groupBy("period", "segment")
@@ -20,8 +20,12 @@ def segment_monthly(snapshots: DataFrame) -> DataFrame:
                     numbers.decimal_mean(F.col("recency_sum"), n, 1).alias("avg_recency"),
                     numbers.decimal_mean(F.col("frequency_sum"), n, 1).alias("avg_frequency"),
                     numbers.money_mean(F.col("cents"), n).alias("avg_monetary"),
-                    numbers.to_big_money(F.col("cents")).alias("total_revenue"))
-            .orderBy("period", F.col("total_revenue").desc(), "segment"))
+                    numbers.to_big_money(F.col("cents")).alias("total_revenue")))
+
+
+def segment_monthly(snapshots: DataFrame) -> DataFrame:
+    """`monthly_means` in order of periods, the segments with most revenue first."""
+    return monthly_means(snapshots).orderBy("period", F.col("total_revenue").desc(), "segment")
 
 
 def segment_timeseries(snapshots: DataFrame) -> DataFrame:
@@ -48,20 +52,24 @@ def segment_stats(snapshots: DataFrame, period: str) -> DataFrame:
                     numbers.decimal_mean(F.col("frequency_sum"), n, 2).alias("avg_orders")))
 
 
-def segment_migration(snapshots: DataFrame) -> DataFrame:
+def moves(snapshots: DataFrame) -> DataFrame:
     """Customers who changed segment between a period and the next one they appear in.
 
     `lead` over a customer's few periods replaces the lookup of the next period."""
     by_customer = Window.partitionBy("customer_id").orderBy("period")
-    moves = snapshots.select(
+    both = snapshots.select(
         F.col("period").alias("period_from"), F.col("segment").alias("segment_from"),
         F.lead("period").over(by_customer).alias("period_to"),
         F.lead("segment").over(by_customer).alias("segment_to"))
-    return (moves.filter(F.col("segment_from") != F.col("segment_to"))
+    return (both.filter(F.col("segment_from") != F.col("segment_to"))
             .groupBy("period_from", "period_to", "segment_from", "segment_to")
-            .agg(F.count(F.lit(1)).alias("customer_count"))
-            .orderBy("period_from", "period_to", F.col("customer_count").desc(),
-                     "segment_from", "segment_to"))
+            .agg(F.count(F.lit(1)).alias("customer_count")))
+
+
+def segment_migration(snapshots: DataFrame) -> DataFrame:
+    """`moves` in order of periods, the largest first."""
+    return moves(snapshots).orderBy("period_from", "period_to", F.col("customer_count").desc(),
+                                    "segment_from", "segment_to")
 
 
 def migration_pair(snapshots: DataFrame, period_from: str, period_to: str) -> DataFrame:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from patronlens import schemas as S
 from patronlens.functions import dates
 from patronlens import staging
-from patronlens.operators import clean, dims, facts, quality, recommend, rfm, scoring
+from patronlens.operators import (clean, dims, facts, quality, recommend, rfm, scoring,
+                                  states)
 from patronlens.sources import files
 from patronlens.sources.warehouse import Warehouse
 from patronlens.staging import stage
@@ -18,39 +19,88 @@ from patronlens.staging import stage
 FLOW = "monthly-run"
 
 
-def load_lines(store: Warehouse, lines: DataFrame, replace: Callable[[list[str]], list[str]],
-               inclusive_end: bool = False) -> int:
-    """Merge the dimensions and write the facts; returns the number of facts written.
+def load_lines(store: Warehouse, lines: DataFrame, periods: Sequence[str],
+               through: str) -> int:
+    """Store staged, cleaned lines of the given periods (they have a `period`): their monthly
+    reductions, the state of period `through`, the dimensions and the facts; returns the
+    number of facts written. Reads nothing of other months but the state before them."""
+    for table, reduce in (("month_invoices", states.month_invoices),
+                          ("month_countries", states.month_countries),
+                          ("month_products", states.month_products)):
+        store.replace_periods(table, reduce(lines), periods)
+    _carry(store, periods, through)
+    _merge_dimensions(store, lines, periods, through)
+    if not periods:
+        return 0
+    resolved = facts.resolve_keys(
+        facts.staging_facts(lines), store.read("dim_customer"), store.read("dim_product"),
+        store.read("dim_geography"), keep=("period",))
+    _check_members(store)
+    store.replace_periods("fact_sales", resolved, periods)
+    return store.read("fact_sales").filter(F.col("period").isin(list(periods))).count()
+
+
+def _months(store: Warehouse, table: str, after: str, through: str) -> DataFrame:
+    return store.read(table).filter((F.col("period") > after) & (F.col("period") <= through))
+
+
+def _carry(store: Warehouse, periods: Sequence[str], through: str) -> None:
+    """The state of `through` from the latest one before the first changed period, and the
+    months since. States of changed or later periods are out of date and go."""
+    first = min([*periods, through])
+    known = store.periods("state_customer")
+    base = max((p for p in known if p < first), default="")
+    for table in ("state_customer", "state_country", "state_product"):
+        store.drop_periods(table, [p for p in known if p >= first])
+    invoices = stage(_months(store, "month_invoices", base, through), "new-invoices")
+    low, high = invoices.agg(F.min("invoice_no"), F.max("invoice_no")).first()
+    # an invoice seen before has a number in this range; files and row groups of the other
+    # months are skipped by the least and greatest numbers they hold
+    earlier = store.read("month_invoices").filter(
+        (F.col("period") <= base) & F.col("invoice_no").between(low, high)).select(
+        "customer_id", "invoice_no", "paid")
+
+    def before(table: str) -> DataFrame:
+        return store.read(table).filter(F.col("period") == base)
+
+    folded = {
+        "state_customer": states.fold_customers(before("state_customer"), invoices, earlier),
+        "state_country": states.fold_countries(
+            before("state_country"), _months(store, "month_countries", base, through)),
+        "state_product": states.fold_products(
+            before("state_product"), _months(store, "month_products", base, through))}
+    for table, state in folded.items():
+        store.replace_periods(table, state.withColumn("period", F.lit(through)), [through])
+
+
+def _merge_dimensions(store: Warehouse, lines: DataFrame, periods: Sequence[str],
+                      through: str) -> None:
+    """Members that occur in the loaded periods take what the state now says of them."""
+    def loaded(table: str) -> DataFrame:
+        return store.read(table).filter(F.col("period").isin(list(periods)))
+
+    def state(table: str, of: str, key: str) -> DataFrame:
+        return store.read(table).filter(F.col("period") == through).join(
+            loaded(of).select(key).distinct(), key, "left_semi")
 
-    `lines` are cleaned lines; they are written once because five tables are made of them.
-    `replace` maps the periods found in them to the periods whose facts to (re)write."""
-    lines = stage(lines.withColumn(
-        "period", dates.entry_period(F.col("invoice_date"), inclusive_end)), "lines")
     now = F.localtimestamp()
     store.upsert_keyed(
-        "dim_customer", "customer_key", dims.dim_customer(lines),
+        "dim_customer", "customer_key",
+        states.customers(state("state_customer", "month_invoices", "customer_id"),
+                         state("state_country", "month_invoices", "customer_id")),
         ("country", "first_order", "last_order", "total_orders", "updated_at"),
         {"created_at": now, "updated_at": now})
-    store.upsert_keyed("dim_product", "product_key", dims.dim_product(lines),
+    store.upsert_keyed("dim_product", "product_key",
+                       states.products(state("state_product", "month_products", "stock_code")),
                        ("description",), {"created_at": now})
-    store.upsert("dim_date", dims.dim_date(lines))
+    # every day between the first and the last sale, also those between two loads
+    known = store.read("dim_date").select(F.col("full_date").cast("timestamp_ntz").alias("invoice_date"))
+    store.upsert("dim_date", dims.dim_date(lines.select("invoice_date").unionByName(known)))
     if not store.exists("dim_geography"):  # the member that facts without a country point to
         store.replace("dim_geography", store.spark.createDataFrame(
             [(facts.UNKNOWN_GEO_KEY, S.UNKNOWN_COUNTRY)], S.TABLES["dim_geography"]))
-    store.upsert_keyed("dim_geography", "geo_key", dims.dim_geography(lines))
-
-    found = [r.period for r in lines.select("period").distinct().collect()]  # one row a month
-    periods = sorted(replace(found))
-    if not periods:
-        return 0
-    chosen = lines.filter(F.col("period").isin(periods))
-    resolved = facts.resolve_keys(
-        facts.staging_facts(chosen), store.read("dim_customer"), store.read("dim_product"),
-        store.read("dim_geography"))
-    _check_members(store)
-    store.replace_periods("fact_sales", resolved.withColumn(
-        "period", dates.entry_period(F.col("invoice_date"), inclusive_end)), periods)
-    return store.read("fact_sales").filter(F.col("period").isin(periods)).count()
+    store.upsert_keyed("dim_geography", "geo_key",
+                       loaded("month_countries").select("country").distinct())
 
 
 def _check_members(store: Warehouse) -> None:
@@ -68,17 +118,18 @@ def _check_members(store: Warehouse) -> None:
 
 
 def _history(store: Warehouse, periods: Sequence[str], inclusive_end: bool) -> DataFrame:
-    """Score the periods from stored facts and save history, latest scores and
-    recommendations; the latest scores only move forward in time."""
+    """Score the periods and save history, latest scores and recommendations; the latest
+    scores only move forward in time. One period is scored from its running state, many from
+    the stored facts; products are ranked by all sales of a segment's members."""
     last = max(periods)
     stored = store.read("fact_sales").filter(F.col("period") <= last)
     customers, products = store.read("dim_customer"), store.read("dim_product")
-    lines = facts.fact_lines(stored, customers)
     if len(periods) == 1:
-        totals = rfm.period_rfm(lines, last, inclusive_end)
+        state = store.read("state_customer").filter(F.col("period") == last)
+        totals = states.rfm_of(state, last)
     else:
-        totals = rfm.backfill_rfm(lines, periods, inclusive_end)
-    segmented = scoring.score_and_segment(totals)
+        totals = rfm.backfill_rfm(facts.fact_lines(stored, customers), periods, inclusive_end)
+    segmented = stage(scoring.score_and_segment(totals), "segmented")
     store.replace_periods("rfm_snapshot", scoring.as_snapshot(segmented), periods)
 
     known = store.read("customer_rfm").agg(F.max("period")).collect()[0][0]
@@ -92,28 +143,36 @@ def _history(store: Warehouse, periods: Sequence[str], inclusive_end: bool) -> D
     return segmented
 
 
+def _lines_until(spark: SparkSession, source: str, period: str, inclusive_end: bool,
+                 encoding: str) -> DataFrame:
+    """Cleaned lines up to the end of a period, each with the period it enters."""
+    raw = files.extract_data(spark, source, encoding)
+    files.validate_schema(raw)
+    year, month = (int(part) for part in period.split("-"))
+    until = clean.filter_by_month(raw, year, month, inclusive_end)
+    return clean.transactions(clean.clean_sales(until)).withColumn(
+        "period", dates.entry_period(F.col("invoice_date"), inclusive_end))
+
+
 def run_period(spark: SparkSession, source: str, root: str, year: int, month: int,
                inclusive_end: bool = False, reload_all: bool = False,
                encoding: str = "auto") -> dict:
     """Bring the warehouse to the end of a month and score that month.
 
-    Facts are written for the month itself and for earlier months not stored yet;
-    `reload_all` rewrites the earlier ones too. A rerun leaves the same tables."""
+    The month itself is loaded, and earlier months not stored yet; `reload_all` loads the
+    earlier ones again too. Lines of other months are passed over when the source is read,
+    and their stored facts only when products are ranked. A rerun leaves the same tables."""
     store = Warehouse(spark, root)
     period, started, rows = dates.period_name(year, month), dt.datetime.now(), 0
     status, error = "failed", None
     try:
         with staging.scope(spark):
-            raw = files.extract_data(spark, source, encoding)
-            files.validate_schema(raw)
-            until = clean.filter_by_month(raw, year, month, inclusive_end)
-            lines = clean.transactions(clean.clean_sales(until))
-
-            def to_write(found: list[str]) -> list[str]:
-                stored = set() if reload_all else set(store.periods("fact_sales"))
-                return [p for p in found if p == period or p not in stored]
-
-            rows = load_lines(store, lines, to_write, inclusive_end)
+            lines = _lines_until(spark, source, period, inclusive_end, encoding)
+            stored = set() if reload_all else set(store.periods("fact_sales")) - {period}
+            new = lines.filter(~F.col("period").isin(*stored)) if stored else lines
+            new = stage(new, "new-lines")
+            found = {r.period for r in new.select("period").distinct().collect()}  # a row a month
+            rows = load_lines(store, new, sorted(found | {period}), period)
             _history(store, [period], inclusive_end)
         status = "success"
     except Exception as failure:
@@ -134,12 +193,9 @@ def run_backfill(spark: SparkSession, source: str, root: str, periods: Sequence[
     started, rows, status, error = dt.datetime.now(), 0, "failed", None
     try:
         with staging.scope(spark):
-            raw = files.extract_data(spark, source, encoding)
-            files.validate_schema(raw)
-            year, month = (int(part) for part in last.split("-"))
-            until = clean.filter_by_month(raw, year, month, inclusive_end)
-            rows = load_lines(store, clean.transactions(clean.clean_sales(until)),
-                              lambda found: found, inclusive_end)
+            lines = stage(_lines_until(spark, source, last, inclusive_end, encoding), "new-lines")
+            found = {r.period for r in lines.select("period").distinct().collect()}  # a row a month
+            rows = load_lines(store, lines, sorted(found | set(periods)), last)
             _history(store, periods, inclusive_end)
         status = "success"
     except Exception as failure:

@@ -127,6 +127,27 @@ TABLES = {
     "product_recommendation": _table(
         ("segment", _STR, False), ("stock_code", _STR, True), ("description", _STR, True),
         ("score", SCORE, True), ("rank", _INT, True), ("period", _STR, False)),
+    # what a month adds, and the running state that months are folded into
+    "month_invoices": _table(
+        ("customer_id", _STR, False), ("invoice_no", _STR, False), ("first_order", _TS, True),
+        ("last_order", _TS, True), ("last_purchase", _TS, True), ("cents", _LONG, True),
+        ("paid", _BOOL, True), ("period", _STR, False)),
+    "month_countries": _table(
+        ("customer_id", _STR, False), ("country", _STR, False), ("lines", _LONG, True),
+        ("period", _STR, False)),
+    "month_products": _table(
+        ("stock_code", _STR, False), ("description", _STR, True), ("first_use", _TS, True),
+        ("period", _STR, False)),
+    "state_customer": _table(
+        ("customer_id", _STR, False), ("first_order", _TS, True), ("last_order", _TS, True),
+        ("total_orders", _LONG, True), ("last_purchase", _TS, True), ("frequency", _LONG, True),
+        ("monetary_cents", _LONG, True), ("period", _STR, False)),
+    "state_country": _table(
+        ("customer_id", _STR, False), ("country", _STR, False), ("lines", _LONG, True),
+        ("period", _STR, False)),
+    "state_product": _table(
+        ("stock_code", _STR, False), ("description", _STR, True), ("first_use", _TS, True),
+        ("period", _STR, False)),
     "pipeline_log": _table(
         ("run_id", _STR, False), ("period", _STR, True), ("flow_name", _STR, True),
         ("status", _STR, True), ("rows_loaded", _LONG, True), ("started_at", _TS, True),
@@ -144,4 +165,7 @@ KEYS = {
     "product_recommendation": ("period", "segment", "rank"),
 }
 
-PERIOD_PARTITIONED = ("fact_sales", "rfm_snapshot", "product_recommendation")
+PERIOD_PARTITIONED = ("fact_sales", "rfm_snapshot", "product_recommendation", "month_invoices",
+                      "month_countries", "month_products", "state_customer", "state_country",
+                      "state_product")
+APPENDED = ("pipeline_log",)

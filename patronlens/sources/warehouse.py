@@ -1,21 +1,26 @@
 """Warehouse tables as Parquet under one root folder.
 
-Facts, history and recommendations are partitioned by period and replaced a period at a
-time, so a rerun of a period gives the same tables. Other tables are merged by key; a merged
-table is written beside the one it was made from before it takes its place."""
+Facts, history and recommendations have a part for each period and are replaced a period at a
+time, so a rerun of a period gives the same tables. Other tables are merged by key, in buckets.
+Every change of a table is published in one step, see `versions`."""
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from patronlens import schemas as S
 from patronlens.operators import ordering
+from patronlens.sources import views
+from patronlens.sources.versions import Versions
 from patronlens.staging import stage
 
+BUCKETS = 8  # of a new table; doubled as it grows
+_BUCKET = "_bucket"
+
 
 def read_sql(spark: SparkSession, query: str, params: dict | None = None) -> DataFrame:
     """A query with named parameters (:name) over registered views."""
@@ -59,80 +64,105 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """Tables under one root. Tables of periods have a part for each period; tables with a key
+    have a part for each of their buckets, a hash of the key, so that a merge rewrites only
+    the buckets it touches. `bucket_rows` is about the rows of a bucket: a table that has
+    outgrown it by two gets more buckets when it is next merged."""
+
+    def __init__(self, spark: SparkSession, root: str, bucket_rows: int = 1_000_000):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.bucket_rows = bucket_rows
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _files(self, location: str):
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(location)
-        return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+    def _versions(self, table: str) -> Versions:
+        if table in S.PERIOD_PARTITIONED:
+            return Versions(self.spark, self.path(table), "period", T.StringType())
+        return Versions(self.spark, self.path(table), _BUCKET, T.IntegerType())
 
     def exists(self, table: str) -> bool:
-        files, path = self._files(self.path(table))
-        return files.exists(path)
+        if table in S.APPENDED:
+            return bool(Versions(self.spark, self.root, "", T.StringType())._names(table))
+        return self._versions(table).current()["number"] > 0
 
     def read(self, table: str) -> DataFrame:
-        """The stored table, or an empty one with its schema."""
+        """The stored table, or an empty one with its schema. A frame stays with the version
+        that was current when it was made."""
         schema = S.TABLES[table]
-        if not self.exists(table):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        if table in S.APPENDED:
+            return (self.spark.read.schema(schema).parquet(self.path(table)) if self.exists(table)
+                    else self.spark.createDataFrame([], schema))
+        versions = self._versions(table)
+        return versions.read(versions.current(), schema)
 
     def register_views(self) -> None:
-        """Every stored table as a temporary view under its own name."""
+        """Every stored table as a temporary view under its own name, and the stored views."""
         for table in S.TABLES:
             self.read(table).createOrReplaceTempView(table)
+        for name, build in views.VIEWS.items():
+            build(self.read).createOrReplaceTempView(name)
 
     def periods(self, table: str) -> list[str]:
-        """Periods a partitioned table holds, from its folder names."""
-        if not self.exists(table):
-            return []
-        files, path = self._files(self.path(table))
-        names = [status.getPath().getName() for status in files.listStatus(path)]
-        return sorted(n.split("=", 1)[1] for n in names if n.startswith("period="))
+        """Periods a table of periods holds."""
+        return sorted(self._versions(table).current()["parts"])
 
     def _conform(self, table: str, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TABLES[table]])
 
-    def replace(self, table: str, df: DataFrame) -> None:
-        """Write a whole table. The new one is written beside the old one and takes its place
-        when it is complete, so a failed write leaves the old table."""
-        fresh, old = f"{self.root}/_new/{table}-{uuid.uuid4().hex}", f"{self.root}/_old/{table}"
-        self._conform(table, df).write.parquet(fresh)
-        files, target = self._files(self.path(table))
-        _, source = self._files(fresh)
-        _, aside = self._files(f"{old}-{uuid.uuid4().hex}")
-        if files.exists(target):
-            files.mkdirs(aside.getParent())
-            files.rename(target, aside)
-        files.rename(source, target)
-        files.delete(aside, True)
+    # --- tables of periods
 
     def replace_periods(self, table: str, df: DataFrame, periods: Sequence[str]) -> None:
-        """Make `df` the content of the given periods; other periods stay. The periods'
-        rows are brought together first, so each period gets few, large files, and a large
-        period is split over several tasks."""
-        before = {period: self._data_files(table, period) for period in periods}
+        """Make `df` the content of the given periods in one step; other periods stay as they
+        are, and a period that `df` has no rows for is empty afterwards.
+
+        A period's rows are brought together first, so it gets few, large files, and a large
+        period is split over several tasks; tables with a customer are sorted by it and have
+        Bloom filters on it, so that a look for one customer skips most row groups."""
+        versions = self._versions(table)
+        before = versions.current()
         rows = self._conform(table, df).filter(F.col("period").isin(list(periods)))
-        (rows.hint("rebalance", F.col("period")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("period")
-         .parquet(self.path(table)))
-        # dynamic overwrite leaves a period alone that `df` has no rows for
-        for period, names in before.items():
-            if names & self._data_files(table, period):
-                self.drop_period(table, period)
-
-    def _data_files(self, table: str, period: str) -> set[str]:
-        files, folder = self._files(f"{self.path(table)}/period={period}")
-        return {s.getPath().getName() for s in files.listStatus(folder)} if files.exists(folder) else set()
-
-    def drop_period(self, table: str, period: str) -> None:
-        files, path = self._files(f"{self.path(table)}/period={period}")
-        files.delete(path, True)
+        options = {}
+        if "customer_id" in S.TABLES[table].names:
+            rows = (rows.repartitionByRange("period", "customer_id")
+                    .sortWithinPartitions("period", "customer_id"))
+            options["parquet.bloom.filter.enabled#customer_id"] = "true"
+        elif table == "month_invoices":
+            rows = rows.repartitionByRange("period", "invoice_no").sortWithinPartitions(
+                "period", "invoice_no")
+        else:
+            rows = rows.hint("rebalance", F.col("period"))
+        fresh = versions.write(rows, options)
+        kept = {p: f for p, f in before["parts"].items() if p not in set(periods)}
+        versions.publish(before, kept | fresh)
+
+    def drop_periods(self, table: str, periods: Iterable[str]) -> None:
+        versions = self._versions(table)
+        before, gone = versions.current(), set(periods)
+        if gone & set(before["parts"]):
+            versions.publish(before, {p: f for p, f in before["parts"].items() if p not in gone})
+
+    # --- tables with a key
+
+    def _bucketed(self, table: str, df: DataFrame, buckets: int) -> DataFrame:
+        key = [F.col(k).cast("string") for k in S.KEYS[table]]
+        return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+
+    def _written(self, table: str, df: DataFrame, buckets: int) -> dict[str, str]:
+        rows = self._bucketed(table, self._conform(table, df), buckets)
+        return self._versions(table).write(rows.hint("rebalance", F.col(_BUCKET)))
+
+    def _published(self, table: str, before: dict, parts: dict[str, str], **notes) -> None:
+        versions = self._versions(table)
+        rows = versions.read({"parts": parts}, S.TABLES[table]).count()  # from the files' footers
+        versions.publish(before, parts, rows=rows, **notes)
+
+    def replace(self, table: str, df: DataFrame, **notes) -> None:
+        """Write a whole table; the new one takes the old one's place when it is complete."""
+        before = self._versions(table).current()
+        buckets = before.get("buckets", BUCKETS)
+        self._published(table, before, self._written(table, df, buckets), buckets=buckets, **notes)
 
     def append(self, table: str, df: DataFrame) -> None:
         self._conform(table, df).write.mode("append").parquet(self.path(table))
@@ -142,12 +172,30 @@ class Warehouse:
         """Merge by the table's key and return the number of incoming rows."""
         return self._merge_written(table, stage(df, f"incoming-{table}"), update, defaults)
 
+    def _touched(self, table: str, incoming: DataFrame, before: dict) -> tuple[int, list[str]]:
+        """Number of buckets of the merged table, and those that the incoming rows touch."""
+        buckets = before.get("buckets", BUCKETS)
+        if before.get("rows", 0) > 2 * buckets * self.bucket_rows:
+            while before["rows"] > buckets * self.bucket_rows:
+                buckets *= 2
+            return buckets, [str(b) for b in range(buckets)]
+        found = self._bucketed(table, incoming, buckets).select(_BUCKET).distinct().collect()
+        return buckets, [str(r[0]) for r in found]  # at most one row a bucket
+
     def _merge_written(self, table: str, incoming: DataFrame, update: Sequence[str],
-                       defaults: dict[str, Column] | None) -> int:
-        """`upsert` of staged rows."""
+                       defaults: dict[str, Column] | None, **notes) -> int:
+        """`upsert` of staged rows: reads and rewrites the buckets they touch."""
         rows = incoming.count()
         if rows:
-            self.replace(table, merge(self.read(table), incoming, S.KEYS[table], update, defaults))
+            versions = self._versions(table)
+            before = versions.current()
+            buckets, touched = self._touched(table, incoming, before)
+            whole = buckets != before.get("buckets", buckets)
+            old = versions.read(before, S.TABLES[table], None if whole else touched)
+            fresh = self._written(
+                table, merge(old, incoming, S.KEYS[table], update, defaults), buckets)
+            kept = {} if whole else {b: f for b, f in before["parts"].items() if b not in touched}
+            self._published(table, before, kept | fresh, buckets=buckets, **notes)
         return rows
 
     def upsert_keyed(self, table: str, key: str, df: DataFrame, update: Sequence[str] = (),
@@ -155,18 +203,22 @@ class Warehouse:
         """`upsert` for a dimension with a surrogate key: known members keep theirs, new
         ones get the numbers after the largest, in order of the natural key."""
         natural = S.KEYS[table][0]
-        members = df.filter(F.col(natural).isNotNull())
-        if not self.exists(table):
-            return self._merge_written(
-                table, ordering.number_rows(members, natural, key), update, defaults)
-        stored = self.read(table)
-        top = stored.agg(F.coalesce(F.max(key), F.lit(0))).collect()[0][0]
-        known = stage(members.join(stored.select(natural, key), natural, "left"),
-                      f"members-{table}")
-        new = ordering.number_rows(
-            known.filter(F.col(key).isNull()).drop(key), natural, key, after=top)
-        return self._merge_written(
-            table, known.filter(F.col(key).isNotNull()).unionByName(new), update, defaults)
+        members = stage(df.filter(F.col(natural).isNotNull()), f"members-{table}")
+        versions = self._versions(table)
+        before = versions.current()
+        if not before["parts"]:
+            incoming, top = ordering.number_rows(members, natural, key), 0
+        else:
+            _, touched = self._touched(table, members, before)
+            stored = versions.read(before, S.TABLES[table], touched).select(natural, key)
+            known = stage(members.join(stored, natural, "left"), f"known-{table}")
+            top = before.get("top", 0)
+            new = ordering.number_rows(known.filter(F.col(key).isNull()).drop(key), natural, key,
+                                       after=top)
+            incoming = known.filter(F.col(key).isNotNull()).unionByName(new)
+        incoming = stage(incoming, f"incoming-{table}")
+        largest = incoming.agg(F.coalesce(F.max(key), F.lit(0))).collect()[0][0]
+        return self._merge_written(table, incoming, update, defaults, top=max(top, largest))
 
     def delete_sales_of_month(self, year: int, month: int) -> None:
         """Remove the facts dated in a calendar month. Sales of the last day may be stored
