@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from patronlens import schemas as S
 from patronlens.functions import dates, numbers
 
+WEIGHTED = "recency_weighted"
+BLOCK = 12  # periods whose sums stand side by side in a row
+
 
 def sales_with_segment(lines: DataFrame, segments: DataFrame, period: str,
                        inclusive_end: bool = False) -> DataFrame:
@@ -34,7 +38,26 @@ def _place(periods: Sequence[str]) -> Column:
     return (F.array_position(F.lit(list(periods)), F.col("period")) - 1).cast("int")
 
 
-def _running_totals(sold: DataFrame, members: DataFrame, periods: Sequence[str],
+def _runs(members: DataFrame, periods: Sequence[str]) -> DataFrame:
+    """Customers' stretches of periods in one segment: customer_id, segment, begin, end (places
+    in `periods`, end exclusive)."""
+    by_time = Window.partitionBy("customer_id").orderBy("at")
+    fresh = F.coalesce((F.lag("segment").over(by_time) != F.col("segment"))
+                       | (F.lag("at").over(by_time) != F.col("at") - 1), F.lit(True))
+    return (members.select("customer_id", "segment", _place(periods).alias("at"))
+            .withColumn("fresh", fresh.cast("int"))
+            .withColumn("run", F.sum("fresh").over(by_time))
+            .groupBy("customer_id", "run", "segment")
+            .agg(F.min("at").alias("begin"), (F.max("at") + 1).alias("end")))
+
+
+def _entry(periods: Sequence[str], inclusive_end: bool) -> Column:
+    """Place of the first period whose cutoff is not before the sale."""
+    return sum(((F.col("invoice_date") > limit).cast("int")
+                for limit in _limits(periods, inclusive_end)), F.lit(0))
+
+
+def _running_totals(sold: DataFrame, runs: DataFrame, periods: Sequence[str],
                     inclusive_end: bool) -> DataFrame:
     """Cents and units per (period, segment, product) of all sales up to each period by the
     customers who are then in the segment.
@@ -42,18 +65,9 @@ def _running_totals(sold: DataFrame, members: DataFrame, periods: Sequence[str],
     Sales are reduced to the period in which they enter, customers to their runs of periods
     in one segment. A sale adds to a segment's total where both begin and is taken off where
     the run ends, so a row is repeated once per run of its customer, not once per period."""
-    by_time = Window.partitionBy("customer_id").orderBy("at")
-    fresh = F.coalesce((F.lag("segment").over(by_time) != F.col("segment"))
-                       | (F.lag("at").over(by_time) != F.col("at") - 1), F.lit(True))
-    runs = (members.select("customer_id", "segment", _place(periods).alias("at"))
-            .withColumn("fresh", fresh.cast("int"))
-            .withColumn("run", F.sum("fresh").over(by_time))
-            .groupBy("customer_id", "run", "segment")
-            .agg(F.min("at").alias("begin"), (F.max("at") + 1).alias("end"))
-            .filter(_metric(F.col("segment")) != "recency_weighted"))
-    entry = sum(((F.col("invoice_date") > limit).cast("int")
-                 for limit in _limits(periods, inclusive_end)), F.lit(0))
-    entered = (sold.withColumn("entry", entry).groupBy("customer_id", "stock_code", "entry")
+    runs = runs.filter(_metric(F.col("segment")) != WEIGHTED)
+    entered = (sold.withColumn("entry", _entry(periods, inclusive_end))
+               .groupBy("customer_id", "stock_code", "entry")
                .agg(F.sum("amount_cents").alias("cents"), F.sum("quantity").alias("units"),
                     F.count(F.lit(1)).alias("lines")))
     values = ("cents", "units", "lines")
@@ -78,23 +92,86 @@ def _running_totals(sold: DataFrame, members: DataFrame, periods: Sequence[str],
                     F.lit(None).cast("double").alias("weight")))
 
 
-def _weighted_totals(sold: DataFrame, members: DataFrame, periods: Sequence[str],
-                     inclusive_end: bool) -> DataFrame:
-    """Sums of 1 / (1 + days before the segment's latest sale): the weights change with every
-    period, so the members of these segments meet their sales once for each."""
-    wanted = members.filter(_metric(F.col("segment")) == "recency_weighted")
-    # the segment's latest sale is the latest of its customers' latest sales;
-    # one row per period and segment, which also carries the period's cutoff
-    latest = (wanted.groupBy("period", "segment").agg(F.max("last_purchase").alias("latest"))
-              .withColumn("limit", F.get(F.array(*_limits(periods, inclusive_end)),
-                                         _place(periods))))
-    present = wanted.select("customer_id", "period", "segment").join(
-        F.broadcast(latest), ["period", "segment"])
-    age = dates.whole_days_between(F.col("latest"), F.col("invoice_date"))
-    return (sold.join(present, "customer_id").filter(F.col("invoice_date") <= F.col("limit"))
-            .groupBy("period", "segment", "stock_code")
-            .agg(F.sum(F.lit(1.0) / (1 + age)).alias("weight"))
-            .select("period", "segment", "stock_code",
+def _time_of_day(ts: Column) -> Column:
+    return ts - ts.cast("date").cast("timestamp_ntz")
+
+
+def weighted_intervals(sold: DataFrame, runs: DataFrame, periods: Sequence[str],
+                       times: Sequence[dt.timedelta], inclusive_end: bool) -> DataFrame:
+    """Numbers of sales per (segment, product, day, time class) and the periods [begin, end)
+    in which they count for the segment.
+
+    Sales are first reduced to day histograms per customer and product: the age of a sale in
+    whole days depends on its date and on which of the `times` of day (those of the
+    segments' latest sales) it comes after, its time class. Customers are reduced to their
+    runs, so the number of rows does not depend on the number of periods."""
+    ts = F.col("invoice_date")
+    after = F.size(F.filter(F.array(*[F.lit(t) for t in times]), lambda t: t < _time_of_day(ts)))
+    weighted = runs.filter(_metric(F.col("segment")) == WEIGHTED)
+    entered = (sold.select("customer_id", "stock_code", ts.cast("date").alias("day"),
+                           after.alias("time_class"),
+                           _entry(periods, inclusive_end).alias("entry"))
+               .groupBy("customer_id", "stock_code", "day", "time_class", "entry")
+               .agg(F.count(F.lit(1)).alias("sales")))
+    return (entered.join(weighted, "customer_id").filter(F.col("entry") < F.col("end"))
+            .groupBy("segment", "stock_code", "day", "time_class",
+                     F.greatest("begin", "entry").alias("begin"), "end")
+            .agg(F.sum("sales").alias("sales")))
+
+
+def _weighted_totals(sold: DataFrame, members: DataFrame, runs: DataFrame,
+                     periods: Sequence[str], inclusive_end: bool) -> DataFrame:
+    """Sums of 1 / (1 + days before the segment's latest sale) per (period, segment, product).
+
+    The periods of an interval are summed side by side, BLOCK of them in one row, in place of
+    a row for each."""
+    # the segment's latest sale is the latest of its customers' latest sales; at most two rows
+    # a period come to the driver
+    latest = {(r.segment, r.at): r.latest for r in members.filter(
+        _metric(F.col("segment")) == WEIGHTED).groupBy("segment", _place(periods).alias("at")).agg(
+        F.max("last_purchase").alias("latest")).collect()}
+    times = sorted({x - dt.datetime.combine(x.date(), dt.time.min) for x in latest.values()})
+    intervals = weighted_intervals(sold, runs, periods, times, inclusive_end)
+    if not latest:
+        return intervals.limit(0).select(
+            F.lit("").alias("period"), "segment", "stock_code",
+            F.lit(None).cast("bigint").alias("total"), F.lit(None).cast("double").alias("weight"))
+
+    blocks = -(-len(periods) // BLOCK)
+
+    def by_period(kind: str, value: Callable[[dt.datetime], object]) -> Column:
+        """The segment's values for all places, from its literal."""
+        found = None
+        for segment in sorted({s for s, _ in latest}):
+            known = [latest.get((segment, at)) for at in range(blocks * BLOCK)]
+            literal = F.array(*[F.lit(None if x is None else value(x)).cast(kind) for x in known])
+            found = (F.when(F.col("segment") == segment, literal) if found is None
+                     else found.when(F.col("segment") == segment, literal))
+        return found
+
+    def time_class(x: dt.datetime) -> int:
+        return times.index(x - dt.datetime.combine(x.date(), dt.time.min))
+
+    first, last = F.expr(f"`begin` div {BLOCK}"), F.expr(f"(`end` - 1) div {BLOCK}")
+    rows = intervals.select("*", F.explode(F.sequence(first, last)).alias("block"))
+    rows = rows.withColumn("days", F.slice(by_period("date", lambda x: x.date()),
+                                           F.col("block") * BLOCK + 1, BLOCK))
+    rows = rows.withColumn("classes", F.slice(by_period("int", time_class),
+                                              F.col("block") * BLOCK + 1, BLOCK))
+    sums = []
+    for i in range(min(BLOCK, len(periods))):
+        at = F.col("block") * BLOCK + i
+        age = (F.datediff(F.get("days", F.lit(i)), F.col("day"))
+               - (F.col("time_class") > F.get("classes", F.lit(i))).cast("int"))
+        sums.append(F.sum(F.when((F.col("begin") <= at) & (at < F.col("end")),
+                                 F.col("sales") / (1 + age))).alias(f"w{i}"))
+    summed = rows.groupBy("segment", "stock_code", "block").agg(*sums)
+    names = F.array(*[f"w{i}" for i in range(len(sums))])
+    return (summed.select("segment", "stock_code", "block",
+                          F.posexplode(names).alias("i", "weight"))
+            .filter(F.col("weight").isNotNull())
+            .select(F.get(F.lit(list(periods)), (F.col("block") * BLOCK + F.col("i")).cast("int"))
+                    .alias("period"), "segment", "stock_code",
                     F.lit(None).cast("bigint").alias("total"), "weight"))
 
 
@@ -114,8 +191,9 @@ def recommend(lines: DataFrame, segmented: DataFrame, periods: Sequence[str],
         "customer_id", "stock_code", "invoice_date", "amount_cents",
         F.col("quantity").cast("bigint").alias("quantity"))
     metric = F.col("metric")
-    totals = (_running_totals(sold, members, periods, inclusive_end)
-              .unionByName(_weighted_totals(sold, members, periods, inclusive_end))
+    runs = _runs(members, periods)
+    totals = (_running_totals(sold, runs, periods, inclusive_end)
+              .unionByName(_weighted_totals(sold, members, runs, periods, inclusive_end))
               .withColumn("metric", _metric(F.col("segment"))))
     best = totals.groupBy("period", "segment").agg(
         F.max("total").alias("best_total"), F.max("weight").alias("best_weight"))
@@ -129,7 +207,7 @@ def recommend(lines: DataFrame, segmented: DataFrame, periods: Sequence[str],
     revenue = F.round(F.col("total").cast("decimal(22,0)") * F.lit(100).cast("decimal(3,0)")
                       / F.col("best_total").cast("decimal(20,0)"), 2).cast("double")
     score = (F.when(metric == "revenue", revenue)
-             .when(metric == "recency_weighted", share("weight"))
+             .when(metric == WEIGHTED, share("weight"))
              .otherwise(share("total")))
     place = F.row_number().over(Window.partitionBy("period", "segment").orderBy(
         F.col("score").desc(), F.col("stock_code")))
