@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import csv
 import os
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from patronlens import schemas as S
+from patronlens.staging import stage
+
+HEADERS = 1000  # different header lines of one source
+RECORD_LINES = 10_000
 
 _BAD = "_malformed"
 _CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
@@ -21,63 +26,167 @@ def _text(value: Column, encoding: str) -> Column:
     return F.decode(value.cast("binary"), encoding)
 
 
-def _lines(spark: SparkSession, path: str, encoding: str) -> tuple[DataFrame, DataFrame]:
-    """Data lines (file, header, line), and one row per file with its header line.
+# What a line does to a reader that begins it outside or inside of a quoted field. A quote
+# opens a field only at its beginning; inside of one a doubled quote stands for itself.
+_FIELDS = r'(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|),)*+'
+_OPENS = rf'\A{_FIELDS}"(?:[^"]++|"")*+\z'  # begins outside, ends inside
+_CLOSES = r'\A(?:[^"]++|"")*+"(?!")[^,]*+(?:,|\z)'  # begins inside, leaves the field
+_REST = r'\A(?:[^"]++|"")*+"(?!")[^,]*+,?'
+
+
+def _effect(line: str) -> list[Column]:
+    """`set_to`: the state after the line where it does not depend on the one before (0 outside,
+    1 inside of a quoted field), and `turns`: 1 if the line exchanges the two."""
+    text = F.col(line)
+    from_outside = F.when(text.contains('"'), text.rlike(_OPENS).cast("int")).otherwise(0)
+    from_inside = (F.when(~text.contains('"'), 1).when(~text.rlike(_CLOSES), 1)
+                   .otherwise(F.regexp_replace(text, _REST, "").rlike(_OPENS).cast("int")))
+    return [F.when(from_outside == from_inside, from_outside).alias("set_to"),
+            (from_outside > from_inside).cast("int").alias("turns")]
+
+
+def _state_before(parts: Sequence[str], order: Sequence[str]) -> tuple[Column, Column]:
+    """Of all rows before this one in its part: the state they set, if they do, and whether
+    an odd number of them has exchanged the states since."""
+    so_far = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    turned = F.coalesce(F.sum("turns").over(so_far), F.lit(0))
+    last = F.last(F.when(F.col("set_to").isNotNull(), F.struct("set_to", "turned")), True).over(so_far)
+    return turned, last
+
+
+def _with_states(rows: DataFrame, parts: Sequence[str], order: Sequence[str],
+                 prefix: str) -> DataFrame:
+    """`rows` with `{prefix}set` and `{prefix}odd` of the rows before each."""
+    turned, _ = _state_before(parts, order)
+    rows = rows.withColumn("turned", turned)
+    _, last = _state_before(parts, order)
+    rows = rows.withColumn("_last", last)
+    return rows.withColumns({
+        f"{prefix}set": F.col("_last.set_to"),
+        f"{prefix}odd": (F.col("turned") - F.coalesce("_last.turned", F.lit(0))) % 2}).drop(
+        "turned", "_last")
+
+
+def _state(prefix: str, begin: Column) -> Column:
+    """The state before a row, 0 or 1, from that before its part."""
+    return F.coalesce(F.col(f"{prefix}set"), begin).bitwiseXOR(F.col(f"{prefix}odd").cast("int"))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """Records of files that have quoted line breaks: `lines` (file, block, at, line, and
+    columns of the file) with continued lines put together, and `unclosed` for a record that
+    its file does not end.
+
+    Every block of a file finds out what its lines do to the state they begin in; a scan over
+    the blocks, one row each, gives every block its state, so records across the border of
+    blocks are found without reading a file in one task."""
+    block = ("file", "block")
+    lines = stage(_with_states(lines.select("*", *_effect("line")), block, ["at"], "own_"), "csv-lines")
+    after = F.coalesce("set_to", F.coalesce("own_set", F.lit(None).cast("int"))
+                       .bitwiseXOR((F.col("own_odd") + F.col("turns")).cast("int") % 2))
+    ends = lines.groupBy(*block).agg(
+        F.max_by(F.struct(after.alias("set_to"),
+                          ((F.col("own_odd") + F.col("turns")) % 2).cast("int").alias("turns")),
+                 "at").alias("end")).select(*block, F.col("end.set_to").alias("set_to"),
+                                            F.when(F.col("end.set_to").isNull(), F.col("end.turns"))
+                                            .otherwise(0).alias("turns"))
+    begins = _with_states(ends, ["file"], ["block"], "file_").select(
+        *block, _state("file_", F.lit(0)).alias("begin"))
+    known = lines.join(begins, list(block)).withColumn("inside", _state("own_", F.col("begin")))
+    follows = F.when(F.col("set_to").isNotNull(), F.col("set_to")).otherwise(
+        F.col("inside").bitwiseXOR(F.col("turns")))
+    within = Window.partitionBy(*block).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    known = stage(known.withColumns({
+        "number": F.sum((F.col("inside") == 0).cast("int")).over(within), "open": follows}).drop(
+        "set_to", "turns", "own_set", "own_odd", "begin"), "csv-records")
+    single = known.filter("inside = 0 AND open = 0").withColumn("unclosed", F.lit(False))
+    # a block's first lines may belong to the last record begun in a block before it
+    last = known.groupBy(*block).agg(F.max("number").alias("starts"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.withColumn("carried", F.last(F.when(
+        F.col("starts") > 0, F.struct("block", F.col("starts").alias("number"))), True).over(before))
+    own = F.struct("block", "number")
+    parts = (known.filter("inside = 1 OR open = 1").join(carried, list(block))
+             .withColumn("record", F.when(F.col("number") > 0, own).otherwise(F.col("carried"))))
+    others = [c for c in lines.columns if c not in (
+        "file", "block", "at", "line", "set_to", "turns", "own_set", "own_odd")]
+    sizes = parts.groupBy("file", "record").agg(F.count(F.lit(1)).alias("lines"))
+    sized = parts.join(sizes, ["file", "record"])
+    several = (sized.filter(F.col("lines") <= RECORD_LINES).groupBy("file", "record").agg(
+        F.array_sort(F.collect_list(F.struct("block", "at", "line", "open"))).alias("of"),
+        *[F.first(c).alias(c) for c in others])
+        .select("file", *others, F.array_join(F.col("of.line"), "\n").alias("line"),
+                (F.element_at("of.open", -1) == 1).alias("unclosed")))
+    stray = sized.filter(F.col("lines") > RECORD_LINES).withColumn("unclosed", F.lit(True))
+    columns = ["file", *others, "line", "unclosed"]
+    return single.select(columns).unionByName(several.select(columns)).unionByName(
+        stray.select(columns))
+
+
+def _parsed(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Every record with its columns by name (null where its file has no such column), and in
+    `_malformed` the record itself if it has too few or too many fields or an open quote.
 
     "auto" takes a file as UTF-8 unless one of its lines is not valid UTF-8, then as latin-1.
-    The first line and the encoding of every file come from one aggregation over the lines;
-    the table of files stays on the cluster."""
+    A first scan finds each file's header line, encoding and whether any line leaves a quote
+    open; the second one reads the records, whatever the number of headers: a file's header
+    says at which place a name stands."""
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"),
         F.col("_metadata.file_block_start").alias("block"))
     files = raw.groupBy("file").agg(
         F.min_by("value", F.struct("block", "at")).alias("first"),
-        F.max(~F.is_valid_utf8("value")).alias("latin"))
+        F.max(~F.is_valid_utf8("value")).alias("latin"),
+        F.max(F.col("value").contains('"') & F.col("value").rlike(_OPENS)).alias("breaks"))
 
     def decoded(value: str) -> Column:
-        if encoding != "auto":
-            return _text(F.col(value), encoding)
-        return F.when(F.col("latin"), _text(F.col(value), "ISO-8859-1")).otherwise(F.col(value))
-
-    files = files.select("file", "latin", F.ltrim(decoded("first"), F.lit("\ufeff")).alias("header"))
-    lines = raw.select("file", "value").join(files, "file").select(
-        "file", "header", F.ltrim(decoded("value"), F.lit("\ufeff")).alias("line"))
-    return lines.filter((F.col("line") != F.col("header")) & (F.trim("line") != "")), files
-
-
-def _parsed(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """Every line with its columns by name (null where its file has no such column), and in
-    `_malformed` the line itself if it has too few or too many fields."""
-    lines, files = _lines(spark, path, encoding)
-    headers = sorted(r.header for r in files.select("header").distinct().collect())  # few
-    names: list[str] = []
-    rows = []
-    for header in headers:
-        own = [n.strip() for n in next(csv.reader([header]))]
+        found = (_text(F.col(value), encoding) if encoding != "auto" else
+                 F.when(F.col("latin"), _text(F.col(value), "ISO-8859-1")).otherwise(F.col(value)))
+        return F.ltrim(found, F.lit("\ufeff"))
+
+    files = stage(files.select("file", "latin", "breaks", decoded("first").alias("header")), "csv-files")
+    found = [r.header for r in files.select("header").distinct().limit(HEADERS + 1).collect()]
+    if len(found) > HEADERS:
+        raise ValueError(f"more than {HEADERS} different headers: do all files have one?")
+    headers = {h: [n.strip() for n in next(csv.reader([h]))] for h in sorted(found)}
+    for header, own in headers.items():
         if len(set(own)) != len(own):
             raise ValueError(f"repeated column in header: {header}")
-        names += [n for n in own if n not in names]
-        schema = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in [*own, _BAD])
-        # null for the header line, so that nothing ever reads it as data, whatever comes first
-        rows.append((header, F.when(F.col("line") != F.col("header"),
-                                    F.from_csv("line", schema, _CSV)), own))
-    parts = [lines.filter(F.col("header") == header).select("file", "line", row.alias("row"))
-             .select("file", "line", F.col(f"row.{_BAD}").alias(_BAD),
-                     *[(F.col(f"row.`{n}`") if n in own else F.lit(None).cast("string")).alias(n)
-                       for n in names])
-             for header, row, own in rows]
-    if not parts:
+    names = list(dict.fromkeys(n for own in headers.values() for n in own))
+    if not names:
         return spark.createDataFrame([], f"file string, line string, {_BAD} string")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    described = F.broadcast(spark.createDataFrame(  # at most HEADERS rows
+        list(headers.items()), "header string, names array<string>"))
+    lines = raw.join(files.join(described, "header"), "file").select(
+        "file", "header", "names", "breaks", "block", "at", decoded("value").alias("line"))
+    lines = lines.filter(F.col("line") != F.col("header"))
+    records = lines.filter(~F.col("breaks")).select(
+        "file", "header", "names", "line", F.lit(False).alias("unclosed"))
+    if not files.filter("breaks").isEmpty():
+        own = lines.filter("breaks").drop("breaks")
+        records = records.unionByName(_records(own).select(records.columns))
+    records = records.filter(F.trim("line") != "")
+    row = None
+    for width in sorted({len(own) for own in headers.values()}):  # one parse for each width
+        schema = ", ".join([*(f"c{i} STRING" for i in range(width)), f"{_BAD} STRING"])
+        fields = F.from_csv("line", schema, _CSV)
+        # null for the header line, so that nothing ever reads it as data, whatever comes first
+        fits = (F.size("names") == width) & (F.col("line") != F.col("header"))
+        both = F.when(fits, F.struct(
+            fields[_BAD].alias(_BAD), F.array(*[fields[f"c{i}"] for i in range(width)]).alias("fields")))
+        row = both if row is None else F.coalesce(row, both)
+    out = records.select("file", "line", "names", "unclosed", row.alias("row"))
+    return out.select("file", "line", F.when(F.col("unclosed"), F.col("line"))
+                      .otherwise(F.col(f"row.{_BAD}")).alias(_BAD),
+                      *[F.get("row.fields", F.array_position("names", n).cast("int") - 1).alias(n)
+                        for n in names])
 
 
 def extract_csv(spark: SparkSession, path: str, encoding: str = "auto") -> DataFrame:
     """The well-formed lines of all files, all columns as text and found by their names in
     each file's own header; missing markers are null. See `rejected_lines` for the others.
-    A line break inside quotes makes its line malformed."""
+    Quoted fields may hold line breaks; what stands between two quotes more than RECORD_LINES
+    lines apart is taken for the work of a stray quote and rejected line by line."""
     parsed = _parsed(spark, path, encoding)
     names = [c for c in parsed.columns if c not in ("file", "line", _BAD)]
     good = F.col(_BAD).isNull()
@@ -87,7 +196,8 @@ def extract_csv(spark: SparkSession, path: str, encoding: str = "auto") -> DataF
 
 
 def rejected_lines(spark: SparkSession, path: str, encoding: str = "auto") -> DataFrame:
-    """(file, line) of lines whose number of fields is not that of their file's header."""
+    """(file, line) of records whose number of fields is not that of their file's header, or
+    whose last quote is never closed."""
     return _parsed(spark, path, encoding).filter(F.col(_BAD).isNotNull()).select("file", "line")
 
 
