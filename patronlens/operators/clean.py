@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from patronlens import schemas as S
 from patronlens.functions import dates, numbers, text
 
+BAD_DATE, BAD_CUSTOMER = "unreadable date", "unreadable customer id"
+
 
 def _kind(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
@@ -23,26 +25,40 @@ def _customer_text(df: DataFrame) -> Column:
     return whole.cast("string")
 
 
-def _moment(df: DataFrame, on_bad: str) -> Column:
+def _moment(df: DataFrame) -> Column:
+    """The date; null for a text that is none."""
     value, kind = F.col(S.DATE), _kind(df, S.DATE)
-    if not isinstance(kind, T.StringType):
-        return value.cast("timestamp_ntz")
-    parsed = dates.parse_timestamp(value)
-    if on_bad == "null":
-        return parsed
-    return (F.when(value.isNull() | parsed.isNotNull(), parsed)
-            .otherwise(F.raise_error(F.concat(F.lit("unreadable date: "), value))
-                       .cast("timestamp_ntz")))
+    return dates.parse_timestamp(value) if isinstance(kind, T.StringType) else value.cast("timestamp_ntz")
+
+
+def judged(raw: DataFrame) -> DataFrame:
+    """`raw` with date and customer parsed (null where that fails) and `reason`, which says
+    what was unreadable; null for all other lines.
 
+    Both are parsed by a generator of one row, so that filters and projections above read
+    the results instead of repeating the parsing."""
+    parsed = F.inline(F.array(F.struct(_moment(raw).alias("_date"),
+                                       _customer_text(raw).alias("_customer"))))
+    reason = (F.when(F.col(S.DATE).isNotNull() & F.col("_date").isNull(), BAD_DATE)
+              .when(F.col(S.CUSTOMER).isNotNull() & F.col("_customer").isNull(), BAD_CUSTOMER))
+    found = raw.select("*", parsed).withColumn("reason", reason)
+    return found.withColumns({S.DATE: F.col("_date"), S.CUSTOMER: F.col("_customer")}).drop(
+        "_date", "_customer")
 
-def _customer(df: DataFrame, on_bad: str) -> Column:
-    parsed = _customer_text(df)
-    if on_bad == "null" or isinstance(_kind(df, S.CUSTOMER), T.IntegralType):
-        return parsed
-    return (F.when(parsed.isNotNull(), parsed)
-            .otherwise(F.raise_error(F.concat(F.lit("unreadable customer id: "),
-                                              F.col(S.CUSTOMER).cast("string")))
-                       .cast("string")))
+
+def _raise_if(bad: Column, said: str, value: Column) -> Column:
+    """A condition that is true and raises for a bad row: part of a filter, so it holds
+    whichever columns are asked for."""
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"{said}: "), value.cast("string")))
+                  .cast("boolean")).otherwise(True)
+
+
+def _readable(df: DataFrame, name: str, parsed: Column, said: str) -> DataFrame:
+    if not isinstance(_kind(df, name), T.StringType) and name == S.DATE:
+        return df
+    if isinstance(_kind(df, name), T.IntegralType):
+        return df
+    return df.filter(_raise_if(F.col(name).isNotNull() & parsed.isNull(), said, F.col(name)))
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -63,17 +79,21 @@ def keep_line(df: DataFrame) -> Column:
             & (_number(df, S.PRICE) > 0))
 
 
-def clean_sales(raw: DataFrame, on_bad: str = "raise") -> DataFrame:
-    """Keep priced, positive, uncancelled lines that name a customer.
-
-    Adds `amount_cents` (bigint) and `total_amount` (its decimal form). An unreadable
-    date or customer id raises; with on_bad="null" the date becomes null and the
-    line with the bad customer id is dropped."""
-    kept = raw.filter(keep_line(raw)).withColumns({
-        S.CUSTOMER: _customer(raw, on_bad),
-        S.DATE: _moment(raw, on_bad),
-        S.QUANTITY: _number(raw, S.QUANTITY),
-        S.PRICE: _number(raw, S.PRICE),
+def clean_sales(raw: DataFrame, on_bad: str = "raise", also: Column | None = None) -> DataFrame:
+    """Keep priced, positive, uncancelled lines that name a customer, and those for which
+    `also` holds.
+
+    Adds `amount_cents` (bigint) and `total_amount` (its decimal form). An unreadable date
+    or customer id of a kept line raises, whatever columns are used; with on_bad="null" the
+    date becomes null and the line with the bad customer id is dropped."""
+    keep = keep_line(raw)
+    kept = raw.filter(keep if also is None else keep | also)
+    if on_bad == "raise":
+        kept = _readable(kept, S.DATE, _moment(raw), BAD_DATE)
+        kept = _readable(kept, S.CUSTOMER, _customer_text(raw), BAD_CUSTOMER)
+    kept = kept.withColumns({
+        S.CUSTOMER: _customer_text(raw), S.DATE: _moment(raw),
+        S.QUANTITY: _number(raw, S.QUANTITY), S.PRICE: _number(raw, S.PRICE),
         S.INVOICE: _invoice()})
     if on_bad == "null":
         kept = kept.filter(F.col(S.CUSTOMER).isNotNull())
@@ -100,7 +120,9 @@ def filter_by_month(df: DataFrame, year: int, month: int, inclusive_end: bool =
                     on_bad: str = "raise") -> DataFrame:
     """All lines up to the end of the month (see `dates.cutoff` for the last day)."""
     limit = dates.cutoff(dates.period_name(year, month), inclusive_end)
-    return (df.withColumn(S.DATE, _moment(df, on_bad))
+    if on_bad == "raise":
+        df = _readable(df, S.DATE, _moment(df), BAD_DATE)
+    return (df.withColumn(S.DATE, _moment(df))
             .filter(F.col(S.DATE) <= dates.timestamp_literal(limit)))
 
 

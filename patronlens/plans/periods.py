@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from patronlens import schemas as S
 from patronlens.functions import dates
@@ -143,34 +143,59 @@ def _history(store: Warehouse, periods: Sequence[str], inclusive_end: bool) -> D
     return segmented
 
 
-def _lines_until(spark: SparkSession, source: str, period: str, inclusive_end: bool,
-                 encoding: str) -> DataFrame:
-    """Cleaned lines up to the end of a period, each with the period it enters."""
-    raw = files.extract_data(spark, source, encoding)
+NO_PRODUCT = "no product: counted for the customer, not a fact"
+
+
+def _new_lines(store: Warehouse, source: str, period: str, skip: Sequence[str],
+               inclusive_end: bool, encoding: str, on_bad: str) -> DataFrame:
+    """Cleaned lines up to the end of a period that do not enter one of the periods to skip,
+    staged with the period they enter.
+
+    One job writes good and unreadable lines and counts the latter. They are an error after
+    it has seen all of them, or, with on_bad="quarantine", rows of the quarantine table."""
+    raw = files.extract_data(store.spark, source, encoding)
     files.validate_schema(raw)
     year, month = (int(part) for part in period.split("-"))
-    until = clean.filter_by_month(raw, year, month, inclusive_end)
-    return clean.transactions(clean.clean_sales(until)).withColumn(
+    bad = F.col("reason").isNotNull()
+    lines = clean.judged(raw.withColumn("_raw", F.to_json(F.struct(*raw.columns))))
+    limit = dates.timestamp_literal(dates.cutoff(period, inclusive_end))
+    lines = lines.filter(bad | (F.col(S.DATE) <= limit)).withColumn("_raw", F.when(
+        bad | F.col(S.PRODUCT).isNull() if S.PRODUCT in raw.columns else bad, F.col("_raw")))
+    lines = clean.transactions(clean.clean_sales(lines, "keep", also=bad)).withColumn(
         "period", dates.entry_period(F.col("invoice_date"), inclusive_end))
+    if skip:
+        lines = lines.filter(bad | ~F.col("period").isin(*skip))
+    seen = Observation()
+    lines = stage(lines.observe(seen, *[
+        F.count_if(F.col("reason") == reason).alias(f"n{i}")
+        for i, reason in enumerate((clean.BAD_DATE, clean.BAD_CUSTOMER))]), "new-lines")
+    dates_, customers = seen.get["n0"], seen.get["n1"]
+    if dates_ + customers and on_bad == "raise":
+        example = lines.filter(bad).select("reason", "_raw").first()
+        raise ValueError(f"{dates_} lines with an unreadable date, {customers} with an unreadable "
+                         f"customer id, such as {example.reason}: {example._raw}")
+    if on_bad == "quarantine":
+        store.append("quarantine", lines.filter(F.col("_raw").isNotNull()).select(
+            F.lit(period).alias("run_period"),
+            F.coalesce("reason", F.lit(NO_PRODUCT)).alias("reason"), F.col("_raw").alias("line")))
+    return lines.filter(~bad).drop("reason", "_raw")
 
 
 def run_period(spark: SparkSession, source: str, root: str, year: int, month: int,
                inclusive_end: bool = False, reload_all: bool = False,
-               encoding: str = "auto") -> dict:
+               encoding: str = "auto", on_bad: str = "raise") -> dict:
     """Bring the warehouse to the end of a month and score that month.
 
     The month itself is loaded, and earlier months not stored yet; `reload_all` loads the
     earlier ones again too. Lines of other months are passed over when the source is read,
-    and their stored facts only when products are ranked. A rerun leaves the same tables."""
+    and their stored facts only when products are ranked. A rerun leaves the same tables. `on_bad`: see `_new_lines`."""
     store = Warehouse(spark, root)
     period, started, rows = dates.period_name(year, month), dt.datetime.now(), 0
     status, error = "failed", None
     try:
         with staging.scope(spark):
-            lines = _lines_until(spark, source, period, inclusive_end, encoding)
             stored = set() if reload_all else set(store.periods("fact_sales")) - {period}
-            new = lines.filter(~F.col("period").isin(*stored)) if stored else lines
-            new = stage(new, "new-lines")
+            new = _new_lines(store, source, period, sorted(stored), inclusive_end, encoding, on_bad)
             found = {r.period for r in new.select("period").distinct().collect()}  # a row a month
             rows = load_lines(store, new, sorted(found | {period}), period)
             _history(store, [period], inclusive_end)
@@ -184,7 +209,8 @@ def run_period(spark: SparkSession, source: str, root: str, year: int, month: in
 
 
 def run_backfill(spark: SparkSession, source: str, root: str, periods: Sequence[str],
-                 inclusive_end: bool = False, encoding: str = "auto") -> dict:
+                 inclusive_end: bool = False, encoding: str = "auto",
+                 on_bad: str = "raise") -> dict:
     """All periods in one pass over the source: the facts up to the last period are loaded
     once and every period is scored from them together."""
     store = Warehouse(spark, root)
@@ -193,7 +219,7 @@ def run_backfill(spark: SparkSession, source: str, root: str, periods: Sequence[
     started, rows, status, error = dt.datetime.now(), 0, "failed", None
     try:
         with staging.scope(spark):
-            lines = stage(_lines_until(spark, source, last, inclusive_end, encoding), "new-lines")
+            lines = _new_lines(store, source, last, (), inclusive_end, encoding, on_bad)
             found = {r.period for r in lines.select("period").distinct().collect()}  # a row a month
             rows = load_lines(store, lines, sorted(found | set(periods)), last)
             _history(store, periods, inclusive_end)

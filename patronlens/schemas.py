@@ -148,6 +148,7 @@ TABLES = {
     "state_product": _table(
         ("stock_code", _STR, False), ("description", _STR, True), ("first_use", _TS, True),
         ("period", _STR, False)),
+    "quarantine": _table(("run_period", _STR, False), ("reason", _STR, False), ("line", _STR, True)),
     "pipeline_log": _table(
         ("run_id", _STR, False), ("period", _STR, True), ("flow_name", _STR, True),
         ("status", _STR, True), ("rows_loaded", _LONG, True), ("started_at", _TS, True),
@@ -168,4 +169,4 @@ KEYS = {
 PERIOD_PARTITIONED = ("fact_sales", "rfm_snapshot", "product_recommendation", "month_invoices",
                       "month_countries", "month_products", "state_customer", "state_country",
                       "state_product")
-APPENDED = ("pipeline_log",)
+APPENDED = ("pipeline_log", "quarantine")

@@ -142,3 +142,31 @@ def test_a_customers_history_skips_row_groups(spark, tmp_path):
     one = store.read("rfm_snapshot").filter(F.col("customer_id") == "31234")
     read = rows_read(spark, lambda: one.select("period", "segment").collect())
     assert one.count() == 2 and 0 < read <= 60_000  # of 120,000
+
+
+HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+
+
+def test_unreadable_lines_are_counted_whatever_is_used(spark, tmp_path):
+    from patronlens.operators import clean
+    from patronlens.sources import files
+
+    source = tmp_path / "in.csv"
+    source.write_text(HEADER + "1,A,a,1,1/5/2011 8:00,2.0,7,UK\n2,A,a,1,someday,2.0,7,UK\n"
+                      "3,A,a,1,1/6/2011 8:00,2.0,who,UK\n4,,a,1,1/7/2011 8:00,2.0,8,UK\n"
+                      "C5,A,a,1,1/7/2011 8:00,2.0,8,UK\n")
+    raw = files.extract_data(spark, str(source))
+    with pytest.raises(Exception, match="unreadable date: someday"):
+        clean.clean_sales(raw.filter("InvoiceNo = '2'")).select("Quantity").collect()
+    with pytest.raises(Exception, match="unreadable customer id: who"):
+        clean.clean_sales(raw.filter("InvoiceNo = '3'")).select("Quantity").count()
+
+    store = Warehouse(spark, str(tmp_path / "w"))
+    with pytest.raises(ValueError, match="1 lines with an unreadable date, 1 with an unreadable customer"):
+        periods.run_period(spark, str(source), store.root, 2011, 1)
+    assert store.periods("fact_sales") == []
+    found = periods.run_period(spark, str(source), store.root, 2011, 1, on_bad="quarantine")
+    assert found["rows_loaded"] == 1
+    kept = {(r.reason.split(":")[0], r.line.split('"')[3]) for r in store.read("quarantine").collect()}
+    assert kept == {("unreadable date", "2"), ("unreadable customer id", "3"), ("no product", "4")}
+    assert {r.customer_id for r in store.read("dim_customer").collect()} == {"7", "8"}
