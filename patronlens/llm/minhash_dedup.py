@@ -12,7 +12,8 @@ confirmed on their full sets, and so is every candidate pair in which one set ha
 Groups are not expanded into pairs. Members of a band group are first compared with the
 group's centre: each document with the one it shares most bands with, then with the others
 it is not yet connected to; at last, inside groups that still hold several components, pairs across
-components, which the estimate thins out within the join. A pair that is skipped joins documents
+components, which the estimate and the sets' smallest 512 hashes thin out within the join, for
+sets of that size exactly. A pair that is skipped joins documents
 that are connected already, so components are the same as with all pairs. Components come
 from smallest labels with pointer jumping, as joins.
 
@@ -36,6 +37,7 @@ BANDS, ROWS = 48, 5
 BITS = 2
 PLANES = BITS * 4  # longs of a signature
 SLACK = 0.135  # of the estimate, four standard errors of 240 minima
+SKETCH, SKETCH_SLACK = 512, 0.077  # smallest hashes of a set; four standard errors of them
 FEW = 64  # with fewer shingles a pair is confirmed whatever its estimate
 
 _PLANES = ", ".join(f"s{i} long" for i in range(PLANES))
@@ -100,6 +102,19 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             **{f"s{i}": pa.array(planes[:, i].copy()) for i in range(PLANES)}})
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The smallest hashes of each set, shifted to be positive and in order."""
+    for batch in batches:
+        texts = (words.lower_ascii(t) for t in words.text_bytes(batch.column("text")))
+        found = [(shingles(h)[:SKETCH] >> np.uint64(1)).view(np.int64)
+                 for h in words.hashes_of(texts)]
+        offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        flat = np.concatenate(found) if found else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": batch.column("doc_id"),
+            "sketch": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))})
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [words.lower_ascii(t) for t in words.text_bytes(batch.column("text"))]
@@ -128,11 +143,25 @@ def _estimate(a: str, b: str):
 
 
 def _passes(a: str, b: str, estimate):
-    """Pairs to confirm: likely ones, and those with few shingles whose sizes allow the
-    threshold."""
+    """Pairs to confirm: those whose sizes allow the threshold, if they are likely or have few
+    shingles."""
     x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
-    few = ((F.least(x, y) < FEW) & (F.least(x, y) * 100 >= F.greatest(x, y) * THRESHOLD))
-    return few | (estimate >= THRESHOLD / 100 - SLACK)
+    allowed = F.least(x, y) * 100 >= F.greatest(x, y) * THRESHOLD
+    return allowed & ((F.least(x, y) < FEW) | (estimate >= THRESHOLD / 100 - SLACK))
+
+
+def _near(a: str, b: str):
+    """Whether two sketches allow a link. Sets of at most SKETCH shingles are whole in them,
+    and the test is exact; for larger ones the SKETCH smallest hashes of both sets together are
+    a sample of their union, and four standard errors are given away."""
+    x, y = F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
+    shared = F.size(F.array_intersect(x, y))
+    exact = shared * 100 >= (F.size(x) + F.size(y) - shared) * THRESHOLD
+    union = F.slice(F.array_sort(F.array_union(x, y)), 1, SKETCH)
+    common_part = F.size(F.array_intersect(union, F.array_intersect(x, y)))
+    sampled = common_part >= F.size(union) * (THRESHOLD / 100 - SKETCH_SLACK)
+    whole = (F.col(f"{a}.n") <= SKETCH) & (F.col(f"{b}.n") <= SKETCH)
+    return F.when(whole, exact).otherwise(sampled)
 
 
 def sum_or(columns):
@@ -224,7 +253,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     edges = _confirmed(common.staged(_likely(best, leaders), "pairs"), texts)
     found = components(edges)
     rest = _across(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), found)
-    for pairs in (lambda: _likely(rest, leaders), lambda: _inside(grouped, found, leaders)):
+    for pairs in (lambda: _likely(rest, leaders), lambda: _inside(grouped, found, leaders, texts)):
         more = common.staged(pairs(), "pairs")
         # for each document the likeliest partner first, then what is still not connected
         first = more.groupBy("b").agg(F.max_by("a", "likeness").alias("a")).select("a", "b").union(
@@ -250,18 +279,26 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
-def _inside(grouped: DataFrame, found: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Likely pairs across components inside band groups, other than the groups' stars."""
+def _inside(grouped: DataFrame, found: DataFrame, leaders: DataFrame,
+            texts: DataFrame) -> DataFrame:
+    """Likely pairs across components inside band groups, other than the groups' stars. The
+    join carries sketches of the sets, so that pairs without a link do not leave it."""
     rows = grouped.join(found, "doc_id", "left").select(
         "key", "a", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     mixed = (rows.where("doc_id <> a").groupBy("key")
              .agg(F.min("c").alias("low"), F.max("c").alias("high"))
              .where("low < high").select("key"))
     planes = [f"s{i}" for i in range(PLANES)]
-    members = common.staged(rows.where("doc_id <> a").join(mixed, "key").drop("a")
-                            .join(leaders.select("doc_id", "n", *planes), "doc_id"), "mixed")
+    inner = common.staged(rows.where("doc_id <> a").join(mixed, "key").drop("a"), "mixed-groups")
+    ids = inner.select("doc_id").distinct()
+    sketches = common.staged(
+        texts.join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        .mapInArrow(_sketches, "doc_id long, sketch array<long>"), "sketches")
+    members = common.staged(inner.join(
+        leaders.select("doc_id", "n", *planes).join(sketches, "doc_id"), "doc_id"), "mixed")
+    common.unstage(inner, sketches)
     x, y = members.alias("x"), members.alias("y")
-    likely = _passes("x", "y", _estimate("x", "y"))
+    likely = _passes("x", "y", _estimate("x", "y")) & _near("x", "y")
     return common.staged(
         x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") < F.col("y.doc_id"))
                & (F.col("x.c") != F.col("y.c")) & likely)
@@ -273,7 +310,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """`docs` without those that have an earlier near-duplicate; all columns as they are."""
     gone = (near_duplicates(docs.select("doc_id", "text")).where("NOT kept")
             .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
 
 
 def op7_minhash_dedup(spark, sf_dir):
