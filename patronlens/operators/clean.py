@@ -31,34 +31,34 @@ def _moment(df: DataFrame) -> Column:
     return dates.parse_timestamp(value) if isinstance(kind, T.StringType) else value.cast("timestamp_ntz")
 
 
+def _parsed(df: DataFrame, **columns: Column) -> DataFrame:
+    """`df` with more columns, made by a generator of one row: filters and projections above
+    read the results instead of repeating the parsing."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def judged(raw: DataFrame) -> DataFrame:
     """`raw` with date and customer parsed (null where that fails) and `reason`, which says
-    what was unreadable; null for all other lines.
-
-    Both are parsed by a generator of one row, so that filters and projections above read
-    the results instead of repeating the parsing."""
-    parsed = F.inline(F.array(F.struct(_moment(raw).alias("_date"),
-                                       _customer_text(raw).alias("_customer"))))
+    what was unreadable; null for all other lines."""
+    found = _parsed(raw, _date=_moment(raw), _customer=_customer_text(raw))
     reason = (F.when(F.col(S.DATE).isNotNull() & F.col("_date").isNull(), BAD_DATE)
               .when(F.col(S.CUSTOMER).isNotNull() & F.col("_customer").isNull(), BAD_CUSTOMER))
-    found = raw.select("*", parsed).withColumn("reason", reason)
-    return found.withColumns({S.DATE: F.col("_date"), S.CUSTOMER: F.col("_customer")}).drop(
-        "_date", "_customer")
-
+    return found.withColumn("reason", reason).withColumns(
+        {S.DATE: F.col("_date"), S.CUSTOMER: F.col("_customer")}).drop("_date", "_customer")
 
-def _raise_if(bad: Column, said: str, value: Column) -> Column:
-    """A condition that is true and raises for a bad row: part of a filter, so it holds
-    whichever columns are asked for."""
-    return F.when(bad, F.raise_error(F.concat(F.lit(f"{said}: "), value.cast("string")))
-                  .cast("boolean")).otherwise(True)
 
-
-def _readable(df: DataFrame, name: str, parsed: Column, said: str) -> DataFrame:
-    if not isinstance(_kind(df, name), T.StringType) and name == S.DATE:
-        return df
-    if isinstance(_kind(df, name), T.IntegralType):
-        return df
-    return df.filter(_raise_if(F.col(name).isNotNull() & parsed.isNull(), said, F.col(name)))
+def _readable(df: DataFrame, name: str, parsed: Column, said: str, on_bad: str) -> DataFrame:
+    """`df` with the column parsed; a value that is none raises (in a filter, so it does
+    whichever columns are asked for) or is null. Typed columns are only cast."""
+    kind = _kind(df, name)
+    if isinstance(kind, T.IntegralType) or (name == S.DATE and not isinstance(kind, T.StringType)):
+        return df.withColumn(name, parsed)
+    found = _parsed(df, _value=parsed)
+    if on_bad == "raise":
+        message = F.concat(F.lit(f"{said}: "), F.col(name).cast("string"))
+        found = found.filter(F.when(F.col(name).isNotNull() & F.col("_value").isNull(),
+                                    F.raise_error(message).cast("boolean")).otherwise(True))
+    return found.withColumn(name, F.col("_value")).drop("_value")
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -88,14 +88,11 @@ def clean_sales(raw: DataFrame, on_bad: str = "raise", also: Column | None = Non
     date becomes null and the line with the bad customer id is dropped."""
     keep = keep_line(raw)
     kept = raw.filter(keep if also is None else keep | also)
-    if on_bad == "raise":
-        kept = _readable(kept, S.DATE, _moment(raw), BAD_DATE)
-        kept = _readable(kept, S.CUSTOMER, _customer_text(raw), BAD_CUSTOMER)
-    kept = kept.withColumns({
-        S.CUSTOMER: _customer_text(raw), S.DATE: _moment(raw),
-        S.QUANTITY: _number(raw, S.QUANTITY), S.PRICE: _number(raw, S.PRICE),
-        S.INVOICE: _invoice()})
-    if on_bad == "null":
+    kept = _readable(kept, S.DATE, _moment(raw), BAD_DATE, on_bad)
+    kept = _readable(kept, S.CUSTOMER, _customer_text(raw), BAD_CUSTOMER, on_bad)
+    kept = kept.withColumns({S.QUANTITY: _number(raw, S.QUANTITY), S.PRICE: _number(raw, S.PRICE),
+                             S.INVOICE: _invoice()})
+    if on_bad != "raise" and also is None:
         kept = kept.filter(F.col(S.CUSTOMER).isNotNull())
     kept = kept.withColumn("amount_cents",
                            numbers.line_cents(F.col(S.QUANTITY), F.col(S.PRICE)))
@@ -120,10 +117,8 @@ def filter_by_month(df: DataFrame, year: int, month: int, inclusive_end: bool =
                     on_bad: str = "raise") -> DataFrame:
     """All lines up to the end of the month (see `dates.cutoff` for the last day)."""
     limit = dates.cutoff(dates.period_name(year, month), inclusive_end)
-    if on_bad == "raise":
-        df = _readable(df, S.DATE, _moment(df), BAD_DATE)
-    return (df.withColumn(S.DATE, _moment(df))
-            .filter(F.col(S.DATE) <= dates.timestamp_literal(limit)))
+    return _readable(df, S.DATE, _moment(df), BAD_DATE, on_bad).filter(
+        F.col(S.DATE) <= dates.timestamp_literal(limit))
 
 
 def transactions(clean: DataFrame) -> DataFrame:

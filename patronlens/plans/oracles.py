@@ -515,4 +515,15 @@ def oracle_sql() -> dict[str, str]:
         FROM reco WHERE rank <= {S.COMPARE_ROWS}""")
     for name in ("monthly_overview", "by_country", "rfm_base", "top_products"):
         sql[f"star_{name}"] = sql[name]
+    # the same results by other ways
+    for name, same in (("csv_sales", "clean_sales"), ("upsert_stored", "upsert_update"),
+                       ("rfm_carried", "rfm_base"), ("dim_customer_carried", "dim_customer"),
+                       ("dim_product_carried", "dim_product"),
+                       ("stored_segment_monthly", "segment_monthly"),
+                       ("stored_segment_migration", "segment_migration"),
+                       ("star_recommendations", "recommendations")):
+        sql[name] = sql[same]
+    sql["star_sales_with_segment"] = f"""
+        SELECT customer_id, segment, stock_code, quantity, total_amount, invoice_date
+        FROM ({sql["sales_with_segment"]})"""
     return sql

@@ -11,13 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from patronlens.functions import dates
-from patronlens.operators import (clean, dims, facts, ordering, quality, recommend, rfm, scoring)
+from patronlens.functions import dates, numbers
+from patronlens.operators import (clean, dims, facts, ordering, quality, recommend, rfm, scoring,
+                                  states)
 from patronlens.plans import business, history, segments
 from patronlens import schemas as S
 from patronlens.schemas import DETAIL_ROWS
-from patronlens.sources import testtables
-from patronlens.sources.warehouse import Warehouse, merge
+from patronlens.sources import files, testtables
+from patronlens.sources.warehouse import Warehouse, merge, read_sql
 from patronlens.staging import new_path, source_version, stage, stage_once
 
 PERIODS = dates.period_range("1999-01", "2000-01")
@@ -218,6 +219,89 @@ def upsert_ignore(spark, sf_dir):
                  ["customer_id"])
 
 
+@_query
+def upsert_stored(spark, sf_dir):
+    """`upsert_update` by way of a stored table, whose second merge rewrites the buckets it
+    touches."""
+    store = Warehouse(spark, new_path(spark, "warehouse"), bucket_rows=2000)
+    for condition in ("invoice_date <= timestamp_ntz'1999-06-30'",
+                      "invoice_date > timestamp_ntz'1999-06-30'"):
+        store.upsert_keyed("dim_customer", "customer_key", _customers_of(spark, sf_dir, condition),
+                           ("country", "last_order", "total_orders"))
+    return store.read("dim_customer").select(
+        "customer_id", "country", "first_order", "last_order", "total_orders")
+
+
+def _stored_history(spark, sf_dir):
+    store = Warehouse(spark, new_path(spark, "warehouse"))
+    store.replace_periods("rfm_snapshot", _snapshots(spark, sf_dir), PERIODS)
+    store.register_views()
+
+
+@_query
+def stored_segment_monthly(spark, sf_dir):
+    """The stored view of segments by month, asked in SQL with a parameter."""
+    _stored_history(spark, sf_dir)
+    return read_sql(spark, "SELECT * FROM vw_segment_monthly WHERE period >= :first",
+                    {"first": PERIODS[0]})
+
+
+@_query
+def stored_segment_migration(spark, sf_dir):
+    """The stored view of moves between segments, asked in SQL with a parameter."""
+    _stored_history(spark, sf_dir)
+    return read_sql(spark, "SELECT * FROM vw_segment_migration WHERE period_from >= :first",
+                    {"first": PERIODS[0]})
+
+
+# --- months folded into a running state ---------------------------------------------------
+
+def _months(spark, sf_dir, name, reduce):
+    lines = _once(spark, "month-lines", sf_dir, lambda: _sales(spark, sf_dir, country=True).withColumn(
+        "period", dates.entry_period(F.col("invoice_date"))))
+    return _once(spark, name, sf_dir, lambda: reduce(lines))
+
+
+def _folded(months, through, fold):
+    """The state of `through` in three steps, each with the months since the one before."""
+    state, done = None, ""
+    for border in (PERIODS[0], PERIODS[-2], through):
+        new = months.filter((F.col("period") > done) & (F.col("period") <= border))
+        state = stage(fold(new.limit(0) if state is None else state, new,
+                           months.filter(F.col("period") <= done)), "state")
+        done = border
+    return state
+
+
+def _carried_customers(spark, sf_dir, through):
+    def fold(state, new, earlier):
+        if "total_orders" not in state.columns:
+            state = spark.createDataFrame([], S.TABLES["state_customer"])
+        return states.fold_customers(state, new, earlier)
+
+    return _folded(_months(spark, sf_dir, "month_invoices", states.month_invoices), through, fold)
+
+
+@_query
+def rfm_carried(spark, sf_dir):
+    """`rfm_base` from the state of the period before and one month."""
+    return states.rfm_of(_carried_customers(spark, sf_dir, PERIOD), PERIOD)
+
+
+@_query
+def dim_customer_carried(spark, sf_dir):
+    countries = _folded(_months(spark, sf_dir, "month_countries", states.month_countries), "9999-12",
+                        lambda state, new, _: states.fold_countries(state, new))
+    return states.customers(_carried_customers(spark, sf_dir, "9999-12"), countries)
+
+
+@_query
+def dim_product_carried(spark, sf_dir):
+    return states.products(_folded(
+        _months(spark, sf_dir, "month_products", states.month_products), "9999-12",
+        lambda state, new, _: states.fold_products(state, new)))
+
+
 def _stored_facts(spark, sf_dir):
     """A warehouse in the shared folder that holds all facts, in the periods they enter."""
     store = Warehouse(spark, new_path(spark, "warehouse"))
@@ -272,6 +356,19 @@ def clean_text(spark, sf_dir):
     return clean.transactions(clean.clean_sales(as_text))
 
 
+@_query
+def csv_sales(spark, sf_dir):
+    """The lines written as CSV files with line breaks inside the descriptions, and read back."""
+    raw = _raw(spark, sf_dir, country=True)
+    path = new_path(spark, "sales") + ".csv"
+    raw.withColumns({
+        S.DATE: F.date_format(S.DATE, "M/d/yyyy H:mm"),
+        S.DESCRIPTION: F.replace(S.DESCRIPTION, F.lit(" "), F.lit("\n"))}).write.option(
+        "header", True).option("escape", '"').csv(path)
+    found = clean.transactions(clean.clean_sales(files.extract_csv(spark, path)))
+    return found.withColumn("description", F.replace("description", F.lit("\n"), F.lit(" ")))
+
+
 @_query
 def fact_periods(spark, sf_dir):
     """Lines and revenue per entry period, of retail lines and purchase events together."""
@@ -543,6 +640,26 @@ def sales_with_segment(spark, sf_dir):
         F.col("quantity").cast("bigint").alias("quantity"), "total_amount", "invoice_date")
 
 
+def _star_products(spark, sf_dir):
+    return facts.fact_lines(*_star(spark, sf_dir)[:3])
+
+
+@_query
+def star_sales_with_segment(spark, sf_dir):
+    """`sales_with_segment` from facts joined with their customers and products."""
+    lines = _star_products(spark, sf_dir)
+    return recommend.sales_with_segment(lines, _segmented(spark, sf_dir), PERIOD).select(
+        "customer_id", "segment", "stock_code", F.col("quantity").cast("bigint").alias("quantity"),
+        numbers.to_money(F.col("amount_cents")).alias("total_amount"), "invoice_date")
+
+
+@_query
+def star_recommendations(spark, sf_dir):
+    """`recommendations` from facts joined with their customers and products."""
+    ranked = recommend.recommend(_star_products(spark, sf_dir), _segmented(spark, sf_dir), [PERIOD])
+    return recommend.describe(ranked, _products(spark, sf_dir))
+
+
 @_query
 def recommendations(spark, sf_dir):
     return _recommended(spark, sf_dir)
