@@ -58,6 +58,19 @@ def unstage(*frames: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bundled(docs: DataFrame) -> DataFrame:
+    """doc_id, text and lang, and in `row` all columns but the text, so that no name of a
+    column of `docs` can meet one of an operator's own."""
+    return docs.select("doc_id", "text", *(["lang"] if "lang" in docs.columns else []), F.struct(
+        *(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"))
+
+
+def unbundled(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs` from what `bundled` made of them."""
+    return rows.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c)
+                         for c in docs.columns))
+
+
 def in_fold(doc_id: Column | str, folds: int) -> Column:
     """True for a document of the held-out fold; a document without an id is held out."""
     of = F.col(doc_id) if isinstance(doc_id, str) else doc_id

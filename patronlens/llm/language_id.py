@@ -44,7 +44,8 @@ def text_words(text: str) -> Iterator[list[str]]:
         end = at + SLICE
         while end < len(text) and text[end].isalpha():
             end += 1
-        yield _WORD.findall(text[at:end].lower())
+        # the pattern also takes signs for numbers, such as fractions, which are no letters
+        yield [w for w in _WORD.findall(text[at:end].lower()) if w.isalpha() or any(map(str.isalpha, w))]
         at = end
 
 
@@ -172,9 +173,8 @@ def in_known_language(docs: DataFrame) -> DataFrame:
     no letters, and letters that speak for no language more than for the others."""
     model = fit(training_rows(docs))
     even = 1.01 / len(model["langs"]) if len(model["langs"]) > 1 else 0.0
-    found = predict(docs, model, "__lang", "__score")
-    return (found.where((F.col("__lang") != "und") & (F.col("__score") >= even))
-            .drop("__lang", "__score"))
+    found = predict(common.bundled(docs), model, "__lang", "__score")
+    return common.unbundled(found.where((F.col("__lang") != "und") & (F.col("__score") >= even)), docs)
 
 
 def op10_language_id(spark, sf_dir):
