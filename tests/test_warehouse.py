@@ -140,6 +140,18 @@ def test_replaced_period_without_rows_is_emptied(spark, tmp_path):
     assert [r.stock_code for r in store.read("product_recommendation").collect()] == ["B"]
 
 
+def test_statements_with_parameters(spark):
+    warehouse.execute_sql(spark, "CREATE TABLE notes (id INT, said STRING) USING parquet")
+    try:
+        warehouse.execute_sql(spark, "INSERT INTO notes VALUES (:id, :said), (2, 'b')",
+                              {"id": 1, "said": "a"})
+        found = warehouse.read_sql(spark, "SELECT said FROM notes WHERE id = :id", {"id": 1})
+        assert [r.said for r in found.collect()] == ["a"]
+        assert spark.table("notes").count() == 2  # the statement ran once
+    finally:
+        warehouse.execute_sql(spark, "DROP TABLE notes")
+
+
 def staged_files(spark):
     folder = pathlib.Path(staging.shared_dir(spark)) / "patronlens"
     return {p for p in folder.rglob("*.parquet")} if folder.exists() else set()
