@@ -12,10 +12,14 @@ where s(h) is the share of h's occurrences that the entered pairs cover; the pro
 all words after h sum to one, and a context without pairs leaves the base probability.
 
 Every word and every pair of the training text enters, from count 1. Words and pairs are dealt
-by their hash to lanes, whose number grows with the distinct ones; a lane's filter has
-`BITS_PER_ENTRY` bits for each of its own entries. Nothing is broadcast: documents are taken
-together in groups of about `GROUP` tokens, a group asks each lane once for its distinct words
-and pairs, and the answers meet the group's tokens by a shuffle.
+by their hash to lanes, whose number grows with the text; a lane's filter has `BITS_PER_ENTRY`
+bits for each of its own entries. One pass counts both in chunks of about `CHUNK` tokens, so a
+hot word or pair sends one entry per chunk; a lane of pairs adds them up, becomes a filter at
+once and passes on what its pairs cover of each context. Inside a lane a pair is known by 32
+bits of its hash: among two million pairs a stranger meets one of them with a probability of
+0.0005, small beside the filter's own errors (about 0.01). Nothing is broadcast: documents are
+taken together in groups of about `GROUP` tokens, a group asks each lane once for its distinct
+words and pairs, and the answers meet the group's tokens by a shuffle.
 
 Defined cases: null text is empty and scores its end token alone; a document without doc_id
 counts as held out; without training documents N and V are 0 and every token has the base
@@ -32,16 +36,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from patronlens.llm import common, words
 
 FOLDS = 10
-LANES, LANE_KEYS = 512, 1 << 21  # lanes at least, distinct keys of a lane about at most
+LANES, LANE_BYTES = 512, 1 << 23  # lanes at least, training text for each beyond
+PARTITION_BYTES = 1 << 25  # of text, for each partition of a shuffle
 BITS_PER_ENTRY = 10
-FILTER_BITS = 1 << 27  # of a filter that no entries were counted for
 _SEGMENT_BITS = 1 << 12  # the probes of a key stay inside a segment
 PROBES = 4
 SHARE = 0.7  # M: weight of the pair counts
 END = np.uint64(0x2545F4914F6CDD1D)  # the hash of the end token
 CHUNK = 2_000_000
 GROUP = 1 << 19
-TOKENS, WORDS, PAIRS = 0, 1, 2  # kinds of rows
+TOKENS, WORDS, PAIRS, COVERED = 0, 1, 2, 3  # kinds of rows
 
 
 def tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -56,49 +60,80 @@ def pair_keys(h: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def lane_of(keys: np.ndarray, lanes: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) % np.uint64(lanes)).astype(np.int32)
+    """Ranges of the hash, so that sorted keys are sorted by lane as well."""
+    return ((keys >> np.uint64(32)) * np.uint64(lanes) >> np.uint64(32)).astype(np.int32)
 
 
-# --- counting ----------------------------------------------------------------------------
+def in_lane(keys: np.ndarray) -> np.ndarray:
+    """What a pair is called inside its lane."""
+    return keys.astype(np.uint32)
 
-def _counted(make):
-    """A mapper that counts the keys (and their contexts) `make` finds in each text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
-        for batch in batches:
-            for hashes in tokens(batch):
-                held.append(make(hashes))
-                size += len(hashes)
-                if size > CHUNK:
-                    yield _rows(held)
-                    held, size = [], 0
-        if held:
-            yield _rows(held)
+def _by_lane(keys: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lanes that sorted keys fall into, and where each begins and ends."""
+    found, first = np.unique(lane_of(keys, lanes), return_index=True)
+    return found, first, np.append(first[1:], len(keys))
 
-    return run
 
+# --- counting ----------------------------------------------------------------------------
+
+def _summed(keys: np.ndarray, n: np.ndarray | None, h: np.ndarray | None):
+    """Distinct keys in order, the sum of each one's counts (or how often it occurs) and its
+    context."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    if n is None:
+        total = np.diff(np.append(first, len(keys)))
+    else:
+        total = np.add.reduceat(n[order], first) if len(first) else n
+    return keys[first], total, None if h is None else h[order[first]]
 
-def _rows(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    keys, first, n = np.unique(np.concatenate([k for k, _ in held]),
-                               return_index=True, return_counts=True)
-    contexts = np.concatenate([h for _, h in held])[first]
-    return pa.RecordBatch.from_pydict({"key": words.long_array(keys),
-                                       "h": words.long_array(contexts), "n": pa.array(n)})
 
+_COUNTED = "kind int, lane int, keys binary, n binary, h binary"
 
-def _count(texts: DataFrame, make, label: str) -> DataFrame:
-    return common.staged(texts.mapInArrow(_counted(make), "key long, h long, n long")
-                         .groupBy("key", "h").agg(F.sum("n").alias("n")), label)
 
+def _counted(lanes: int):
+    """Counts of the words and pairs of each chunk of tokens, a row for each lane."""
 
-def _words(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return hashes, np.zeros(len(hashes), np.uint64)
+    def rows(kind: int, keys, n, h) -> pa.RecordBatch:
+        found, begin, end = _by_lane(keys, lanes)
+        names = keys if kind == WORDS else in_lane(keys)
+        n = n.astype(np.uint32)
+        parts = list(zip(begin.tolist(), end.tolist()))
+        return pa.RecordBatch.from_pydict({
+            "kind": pa.array([kind] * len(found), pa.int32()), "lane": pa.array(found),
+            "keys": pa.array([names[i:j].tobytes() for i, j in parts], pa.binary()),
+            "n": pa.array([n[i:j].tobytes() for i, j in parts], pa.binary()),
+            "h": pa.array([b"" if h is None else h[i:j].tobytes() for i, j in parts],
+                          pa.binary())})
+
+    def chunk(held: list[np.ndarray], overlaps: list[bool]) -> Iterator[pa.RecordBatch]:
+        flat = np.concatenate(held)
+        last = np.cumsum([len(x) for x in held]) - 1
+        yield rows(WORDS, *_summed(np.delete(flat, last[np.array(overlaps)]), None, None))
+        follows = np.ones(len(flat), bool)
+        follows[last] = False  # nothing follows the last token of a text
+        at = np.flatnonzero(follows)
+        if len(at):
+            h = flat[at]
+            yield rows(PAIRS, *_summed(pair_keys(h, flat[at + 1]), None, h))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, overlaps, size = [], [], 0
+        for batch in batches:
+            for hashes in tokens(batch):
+                for at in range(0, len(hashes), CHUNK):  # parts of a long text share a token
+                    held.append(hashes[at:at + CHUNK + 1])
+                    overlaps.append(at + CHUNK < len(hashes))
+                    size += len(held[-1])
+                    if size > CHUNK:
+                        yield from chunk(held, overlaps)
+                        held, overlaps, size = [], [], 0
+        if held:
+            yield from chunk(held, overlaps)
 
-def _pairs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return pair_keys(hashes[:-1], hashes[1:]), hashes[:-1]
+    return run
 
 
 # --- the filter --------------------------------------------------------------------------
@@ -113,7 +148,7 @@ def count_of(levels: np.ndarray) -> np.ndarray:
 
 
 def probes(keys: np.ndarray, levels: np.ndarray | int,
-           size: int = FILTER_BITS) -> tuple[np.ndarray, np.ndarray]:
+           size: int) -> tuple[np.ndarray, np.ndarray]:
     """Segment of each key in a filter of `size` bits, and the bits (one column per probe)
     inside it of one level."""
     h = words.mix(keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
@@ -132,6 +167,7 @@ def _bits_at(keys: np.ndarray, q: int, size: int) -> np.ndarray:
 def filter_of(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The filter of these pairs, sized by the levels they enter."""
     levels = level(n)
+    keys = keys.astype(np.uint64)
     segments = -(-int(levels.sum()) * BITS_PER_ENTRY // _SEGMENT_BITS)
     bits = np.zeros(segments * _SEGMENT_BITS, bool)
     for q in range(1, int(levels.max()) + 1):
@@ -153,57 +189,118 @@ def levels_of(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return out
 
 
-def _with_lane(lanes: int):
+_LANES = "kind int, lane int, batch long, data binary"
+
+
+def _lane_row(kind: int, lane: int, *arrays: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "kind": pa.array([kind], pa.int32()), "lane": pa.array([lane], pa.int32()),
+        "batch": pa.array([-1], pa.int64()),
+        "data": pa.array([b"".join(x.tobytes() for x in arrays)], pa.binary())})
+
+
+def _lanes(lanes: int):
+    """Chunks come by kind and lane. A lane of pairs gives its filter, a lane of words its
+    counts; what pairs cover of their contexts is added up for many lanes of the task."""
+
+    def closed(here: tuple[int, int], parts: list, covered: list) -> pa.RecordBatch:
+        keys, n, h = _together(here[0], parts)
+        if here[0] == WORDS:
+            return _lane_row(WORDS, here[1], keys, n)
+        covered.append((h, count_of(level(n))))
+        return _lane_row(PAIRS, here[1], filter_of(keys, n))
+
+    def cover(covered: list) -> Iterator[pa.RecordBatch]:
+        h, n, _ = _summed(*(np.concatenate(x) for x in zip(*covered)), None)
+        for lane, i, j in zip(*_by_lane(h, lanes)):
+            yield _lane_row(COVERED, lane, h[i:j], n[i:j])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, parts, size, covered = None, [], 0, []
         for batch in batches:
-            lane = lane_of(batch.column("key").to_numpy().view(np.uint64), lanes)
-            columns = dict(zip(batch.schema.names, batch.columns))
-            yield pa.RecordBatch.from_pydict({"lane": pa.array(lane)} | columns)
+            for kind, lane, *data in zip(*(c.to_pylist() for c in batch.columns)):
+                if (kind, lane) != here:
+                    if here:
+                        yield closed(here, parts, covered)
+                    if sum(len(h) for h, _ in covered) > CHUNK:
+                        yield from cover(covered)
+                        covered = []
+                    here, parts, size = (kind, lane), [], 0
+                of = np.uint64 if kind == WORDS else np.uint32
+                parts.append((np.frombuffer(data[0], of),
+                              np.frombuffer(data[1], np.uint32).astype(np.int64),
+                              np.frombuffer(data[2], np.uint64)))
+                size += len(parts[-1][0])
+                if size > CHUNK:
+                    parts = [_together(kind, parts)]
+                    size = len(parts[0][0]) // 2  # merged again once as much is new
+        if here:
+            yield closed(here, parts, covered)
+        if covered:
+            yield from cover(covered)
 
     return run
 
 
-def _lane_row(table: pa.Table, kind: int, data: bytes) -> pa.Table:
-    return pa.table({"kind": pa.array([kind], pa.int32()), "lane": table.column("lane")[:1],
-                     "batch": pa.array([-1], pa.int64()), "data": pa.array([data], pa.binary())})
+def _together(kind: int, parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    keys, n, h = (np.concatenate(x) for x in zip(*parts))
+    keys, n, h = _summed(keys, n, h if kind == PAIRS else None)
+    return keys, n, np.zeros(0, np.uint64) if h is None else h
 
 
-def _pair_lane(table: pa.Table) -> pa.Table:
-    return _lane_row(table, PAIRS, filter_of(table.column("key").to_numpy().view(np.uint64),
-                                             table.column("n").to_numpy()).tobytes())
+def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of words come by lane, their counts first: one row of keys, counts and covered
+    occurrences for each lane, with the sums over it."""
 
+    def closed(lane: int, keys, n, covered) -> pa.RecordBatch:
+        row = _lane_row(WORDS, lane, keys, n, covered)
+        return pa.RecordBatch.from_pydict({
+            **dict(zip(row.schema.names, row.columns)),
+            "total": pa.array([int(n.sum())]), "distinct": pa.array([len(keys)])})
 
-def _word_lane(table: pa.Table) -> pa.Table:
-    keys = table.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return _lane_row(table, WORDS, b"".join(x[order].tobytes() for x in (
-        keys, table.column("n").to_numpy(), table.column("covered").to_numpy())))
+    here = None
+    for batch in batches:
+        for kind, lane, data in zip(*(batch.column(c).to_pylist()
+                                      for c in ("kind", "lane", "data"))):
+            half = len(data) // 2
+            keys = np.frombuffer(data[:half], np.uint64)
+            if kind == WORDS:  # a lane's contexts are words of it, so they never come alone
+                if here:
+                    yield closed(*here)
+                here = lane, keys, np.frombuffer(data[half:], np.int64), np.zeros(len(keys))
+            else:
+                np.add.at(here[3], np.searchsorted(here[1], keys), np.frombuffer(data[half:]))
+    if here:
+        yield closed(*here)
 
 
-_LANES = "kind int, lane int, batch long, data binary"
+def _bytes(texts: DataFrame) -> int:
+    return int(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+
 
+def _dealt(rows: DataFrame, size: int, by: list[str], order: list[str]) -> DataFrame:
+    """Rows by these columns, in order; partitions grow with the `size` of the text."""
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = -(-size // PARTITION_BYTES)
+    dealt = rows.repartition(parts, *by) if parts > most else rows.repartition(*by)
+    return dealt.sortWithinPartitions(*order)
 
-def train(texts: DataFrame, lane_keys: int = LANE_KEYS) -> tuple[dict, DataFrame]:
+
+def train(texts: DataFrame, lane_bytes: int = LANE_BYTES) -> tuple[dict, DataFrame]:
     """The model's sizes, and its lanes of words and pairs as a staged table."""
-    counts = _count(texts, _words, "word-counts").drop("h")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("key")).first()
-    pairs = _count(texts, _pairs, "pair-counts")
-    lanes = {kind: max(LANES, -(-keys // lane_keys))
-             for kind, keys in ((WORDS, distinct), (PAIRS, pairs.count()))}
-    entries = F.length(F.bin("n"))
-    covered = pairs.groupBy(F.col("h").alias("key")).agg(
-        F.sum(F.when(entries == 1, F.lit(1.0)).otherwise(F.pow(F.lit(2.0), entries - 0.5)))
-        .alias("covered"))
-    known = counts.join(covered, "key", "left").select(
-        "key", "n", F.coalesce("covered", F.lit(0.0)).alias("covered"))
-    rows = (known.mapInArrow(_with_lane(lanes[WORDS]), "lane int, key long, n long, covered double")
-            .groupBy("lane").applyInArrow(_word_lane, _LANES)
-            .unionByName(pairs.select("key", "n")
-                         .mapInArrow(_with_lane(lanes[PAIRS]), "lane int, key long, n long")
-                         .groupBy("lane").applyInArrow(_pair_lane, _LANES)))
+    size = _bytes(texts)
+    lanes = max(LANES, -(-size // lane_bytes))
+    by = ["kind", "lane"]
+    parts = common.staged(_dealt(texts.select("text").mapInArrow(_counted(lanes), _COUNTED),
+                                 size, by, by).mapInArrow(_lanes(lanes), _LANES), "lane-parts")
+    known = _dealt(parts.where(F.col("kind") != PAIRS), size, ["lane"], ["lane", "kind"])
+    rows = (known.mapInArrow(_known, f"{_LANES}, total long, distinct long")
+            .unionByName(parts.where(F.col("kind") == PAIRS), allowMissingColumns=True))
     out = common.staged(rows, "lanes")
-    common.unstage(pairs)
-    return {"total": int(total), "distinct": int(distinct), "lanes": lanes}, out
+    common.unstage(parts)
+    total, distinct = out.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "distinct"))).first()
+    return ({"total": int(total), "distinct": int(distinct), "lanes": lanes},
+            out.drop("total", "distinct"))
 
 
 # --- scoring -------------------------------------------------------------------------------
@@ -212,49 +309,43 @@ _TOKENS = ("batch long, doc_ids array<long>, held array<boolean>, sizes array<in
            "words binary, at binary")
 
 
-def _grouped(lanes: dict):
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups of documents as their distinct words, by lane, and each token's place there."""
+    from pyspark import TaskContext
 
-    def row(number, ids, held, texts):
-        known, at = np.unique(np.concatenate(texts), return_inverse=True)
-        order = np.argsort(lane_of(known, lanes[WORDS]), kind="stable")
-        place = np.empty(len(order), np.uint32)
-        place[order] = np.arange(len(order))
-        return {"batch": number, "doc_ids": ids, "held": held, "sizes": [len(t) for t in texts],
-                "words": known[order].tobytes(), "at": place[at].tobytes()}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 32
-        schema = pa.schema([("batch", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-                            ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())),
-                            ("words", pa.binary()), ("at", pa.binary())])
-        for batch in batches:
-            ids, held = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
-            texts, size, first = [], 0, 0
-            for i, hashes in enumerate(tokens(batch)):
-                texts.append(hashes)
-                size += len(hashes)
-                if size > GROUP or i == len(ids) - 1:
-                    found = row(number, ids[first:i + 1], held[first:i + 1], texts)
-                    yield pa.RecordBatch.from_pylist([found], schema=schema)
-                    number += 1
-                    texts, size, first = [], 0, i + 1
-
-    return run
+    number = TaskContext.get().partitionId() << 32
+    schema = pa.schema([("batch", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+                        ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())),
+                        ("words", pa.binary()), ("at", pa.binary())])
 
+    def row(ids: list, held: list, texts: list[np.ndarray]) -> pa.RecordBatch:
+        known, at = np.unique(np.concatenate(texts), return_inverse=True)
+        return pa.RecordBatch.from_pylist([{
+            "batch": number, "doc_ids": ids, "held": held, "sizes": [len(t) for t in texts],
+            "words": known.tobytes(), "at": at.astype(np.uint32).tobytes()}], schema=schema)
 
-def _group_pairs(known: np.ndarray, at: np.ndarray, owner: np.ndarray, lanes: int):
+    ids, held, texts, size = [], [], [], 0
+    for batch in batches:
+        for doc_id, out, hashes in zip(batch.column("doc_id").to_pylist(),
+                                       batch.column("held_out").to_pylist(), tokens(batch)):
+            ids.append(doc_id)
+            held.append(out)
+            texts.append(hashes)
+            size += len(hashes)
+            if size > GROUP:
+                yield row(ids, held, texts)
+                number += 1
+                ids, held, texts, size = [], [], [], 0
+    if texts:
+        yield row(ids, held, texts)
+
+
+def _group_pairs(known: np.ndarray, at: np.ndarray, owner: np.ndarray):
     """Tokens with a context in the same text, the distinct pairs by lane, each token's pair."""
     after = np.flatnonzero(owner[1:] == owner[:-1]) + 1
-    pairs, which = np.unique(at[after - 1].astype(np.uint64) << np.uint64(32)
-                             | at[after].astype(np.uint64), return_inverse=True)
-    keys = pair_keys(known[pairs >> np.uint64(32)], known[pairs & np.uint64(0xFFFFFFFF)])
-    order = np.argsort(lane_of(keys, lanes), kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return after, keys[order], place[which]
+    keys, which = np.unique(pair_keys(known[at[after - 1]], known[at[after]]),
+                            return_inverse=True)
+    return after, keys, which
 
 
 def _open(words_data: bytes, at_data: bytes, sizes: list[int]):
@@ -262,17 +353,17 @@ def _open(words_data: bytes, at_data: bytes, sizes: list[int]):
     return known, at, np.repeat(np.arange(len(sizes)), sizes)
 
 
-def _asked(lanes: dict):
+def _asked(lanes: int):
     """What each group asks each lane: its distinct words and pairs there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.select(["batch", "sizes", "words", "at"]).to_pylist():
                 known, at, owner = _open(r["words"], r["at"], r["sizes"])
-                pairs = _group_pairs(known, at, owner, lanes[PAIRS])[1]
-                for kind, keys in ((WORDS, known), (PAIRS, pairs)):
-                    found, first = np.unique(lane_of(keys, lanes[kind]), return_index=True)
-                    data = [part.tobytes() for part in np.split(keys, first[1:])] if len(keys) else []
+                pairs = _group_pairs(known, at, owner)[1]
+                for kind, keys, names in ((WORDS, known, known), (PAIRS, pairs, in_lane(pairs))):
+                    found, begin, end = _by_lane(keys, lanes)
+                    data = [names[i:j].tobytes() for i, j in zip(begin.tolist(), end.tolist())]
                     yield pa.RecordBatch.from_pydict({
                         "kind": pa.array([kind] * len(found), pa.int32()), "lane": pa.array(found),
                         "batch": pa.array([r["batch"]] * len(found), pa.int64()),
@@ -298,9 +389,10 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             while end < len(rows) and (rows[end]["kind"], rows[end]["lane"]) == here:
                 end += 1
             asked = [r["data"] for r in rows[i:end]]
-            found = _found(here[0], np.frombuffer(b"".join(asked), np.uint64),
+            of = np.uint64 if here[0] == WORDS else np.uint32
+            found = _found(here[0], np.frombuffer(b"".join(asked), of),
                            store if lane == here else None)
-            cuts = np.cumsum([len(a) // 8 for a in asked])[:-1]
+            cuts = np.cumsum([len(a) // of().itemsize for a in asked])[:-1]
             out += [part.tobytes() for part in np.split(found, cuts)]
             keep += range(i, end)
             i = end
@@ -322,7 +414,8 @@ def _store(kind: int, data: bytes):
 def _found(kind: int, keys: np.ndarray, store) -> np.ndarray:
     """Levels of pairs; counts and covered occurrences of words. Zeros from a lane without keys."""
     if kind == PAIRS:
-        return (levels_of(keys, store) if store is not None else np.zeros(len(keys))).astype(np.uint8)
+        return (levels_of(keys.astype(np.uint64), store) if store is not None
+                else np.zeros(len(keys))).astype(np.uint8)
     out = np.zeros((len(keys), 2))
     if store is not None:
         known, n, covered = store
@@ -336,7 +429,7 @@ _SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_sco
            "score double")
 
 
-def _score(total: int, distinct: int, lanes: dict):
+def _score(total: int, distinct: int):
     """Rows come by group: its tokens, then the answers of the lanes in their order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,7 +447,7 @@ def _score(total: int, distinct: int, lanes: dict):
 
     def done(group, answers) -> pa.RecordBatch:
         known, at, owner = _open(group["words"], group["at"], group["sizes"])
-        after, _, which = _group_pairs(known, at, owner, lanes[PAIRS])
+        after, _, which = _group_pairs(known, at, owner)
         n, covered = np.frombuffer(b"".join(answers[WORDS]), float).reshape(-1, 2).T
         levels = np.frombuffer(b"".join(answers[PAIRS]), np.uint8)
         seen, base, score = measure(at, after, levels[which].astype(np.int64), n, covered,
@@ -393,17 +486,16 @@ def measure(at: np.ndarray, after: np.ndarray, levels: np.ndarray, n: np.ndarray
 
 def score(docs: DataFrame, model: dict, stored: DataFrame) -> DataFrame:
     """Scores of `docs` (doc_id, text, held_out), a row each."""
-    lanes = model["lanes"]
+    size = _bytes(docs)
     groups = common.staged(docs.select("doc_id", "text", "held_out")
-                           .mapInArrow(_grouped(lanes), _TOKENS), "tokens")
-    answers = common.staged(
-        stored.unionByName(groups.mapInArrow(_asked(lanes), _LANES))
-        .repartition("kind", "lane").sortWithinPartitions("kind", "lane", "batch")
-        .mapInArrow(_answers, _LANES), "answers")
-    rows = (groups.withColumns({"kind": F.lit(TOKENS), "lane": F.lit(0)})
-            .unionByName(answers, allowMissingColumns=True)
-            .repartition("batch").sortWithinPartitions("batch", "kind", "lane"))
-    scored = rows.mapInArrow(_score(model["total"], model["distinct"], lanes), _SCORES)
+                           .mapInArrow(_grouped, _TOKENS), "tokens")
+    asked = stored.unionByName(groups.mapInArrow(_asked(model["lanes"]), _LANES))
+    answers = common.staged(_dealt(asked, size, ["kind", "lane"], ["kind", "lane", "batch"])
+                            .mapInArrow(_answers, _LANES), "answers")
+    rows = _dealt(groups.withColumns({"kind": F.lit(TOKENS), "lane": F.lit(0)})
+                  .unionByName(answers, allowMissingColumns=True),
+                  size, ["batch"], ["batch", "kind", "lane"])
+    scored = rows.mapInArrow(_score(model["total"], model["distinct"]), _SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known",
                          F.lit(model["total"]).cast("long").alias("train_tokens"),
                          "base_score", "score")

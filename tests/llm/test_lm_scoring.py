@@ -56,3 +56,19 @@ def test_no_training_text_and_missing_ids(spark):
     model, stored = lm.train(spark.createDataFrame([], "text string"))
     assert {(r.doc_id, r.n_tokens, r.n_known, r.score) for r in lm.score(docs, model, stored).collect()} == {
         (None, 3, 0, 0.0), (1, 1, 0, 0.0)}
+
+
+def test_chunks_and_long_texts_count_once(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK", 3)  # in this process; a task's parts come from it
+    run = lm._counted(4)
+    words, pairs = Counter(), Counter()
+    text = "a b c a b c a b d a b"
+    batch = lm.pa.RecordBatch.from_pydict({"text": [text, "", "a b"]})
+    for part in run(iter([batch])):
+        for kind, keys, n in zip(*(part.column(c).to_pylist() for c in ("kind", "keys", "n"))):
+            of = np.uint64 if kind == lm.WORDS else np.uint32
+            (words if kind == lm.WORDS else pairs).update(dict(zip(
+                np.frombuffer(keys, of).tolist(), np.frombuffer(n, np.uint32).tolist())))
+    assert sorted(words.values()) == sorted(Counter(text.split() + ["a", "b"] + [None] * 3).values())
+    told = [t.split() + [None] for t in (text, "", "a b")]
+    assert sorted(pairs.values()) == sorted(Counter(p for t in told for p in zip(t, t[1:])).values())

@@ -43,12 +43,12 @@ def test_unseen_words_fall_back():
     assert language_id._backoff("qq", index) == []
 
 
-@pytest.mark.parametrize("listed", [4, 1 << 18])
-def test_lm_counts_are_exact(spark, listed):
+@pytest.mark.parametrize("lane_bytes", [8, 1 << 23])
+def test_lm_counts_are_exact(spark, lane_bytes):
     rows = corpus.rows()
     docs = corpus.documents(spark).select(
         "doc_id", "text", common.in_fold("doc_id", 10).alias("held_out"))
-    model, counts = lm_scoring.train(docs.where("NOT held_out").select("text"), listed)
+    model, counts = lm_scoring.train(docs.where("NOT held_out").select("text"), lane_bytes)
     found = sorted(((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
                     for r in lm_scoring.score(docs, model, counts).collect()))
 
@@ -73,10 +73,10 @@ def test_lm_counts_are_exact(spark, listed):
 def test_filter_holds_levels():
     keys = np.arange(1, 500, dtype=np.uint64) * np.uint64(7919)
     n = np.arange(1, 500)
-    bits = np.zeros(lm_scoring.FILTER_BITS, bool)
+    bits = np.zeros(1 << 20, bool)
     levels = lm_scoring.level(n)
     for q in range(1, levels.max() + 1):
-        segment, at = lm_scoring.probes(keys[levels >= q], q)
+        segment, at = lm_scoring.probes(keys[levels >= q], q, len(bits))
         bits[(segment[:, None] * lm_scoring._SEGMENT_BITS + at).ravel()] = True
     found = lm_scoring.levels_of(keys, np.packbits(bits))
     assert (found >= levels).all() and (found == levels).mean() > 0.99
