@@ -98,20 +98,81 @@ def test_kneser_ney_sums_to_one(spark):
     docs = corpus.documents(spark).where("text IS NOT NULL AND doc_id < 60")
     model = quality.fit(docs)
     grams = model["orders"][4][0]
-    symbols = np.arange(0, 256)
-    for context in np.unique(grams >> 8)[:20].tolist():
-        p = np.exp(quality.log_probabilities((context << 8) | symbols, model))
-        known = [s for s in symbols.tolist() if s < model["table"].max() + 1]
-        assert p[known].sum() == pytest.approx(1, abs=0.02)
+    symbols = np.arange(model["table"].max() + 1)
+    for context in np.unique(grams >> quality.BITS)[:20].tolist():
+        p = np.exp(quality.log_probabilities((context << quality.BITS) | symbols, model))
+        assert p.sum() == pytest.approx(1, abs=0.02)
+
+
+def kneser_ney(texts, order):
+    """Probabilities of symbols after their contexts, from plain counts of tuples."""
+    seen = [Counter() for _ in range(order + 1)]
+    for symbols in texts:
+        padded = [0] * (order - 1) + symbols
+        seen[order].update(tuple(padded[i:i + order]) for i in range(len(symbols)))
+    for k in range(order - 1, 0, -1):  # how many different symbols stand before
+        seen[k] = Counter(g[1:] for g in seen[k + 1])
+    size = len({s for t in texts for s in t} - {1, 3}) + 4
+
+    def p(gram):
+        k = len(gram)
+        if not k:
+            return 1 / size
+        of = Counter(seen[k].values())
+        if of[1] and of[2]:
+            y = of[1] / (of[1] + 2 * of[2])
+            cuts = [1 - 2 * y * of[2] / of[1], 2 - 3 * y * of[3] / of[2],
+                    3 - 4 * y * of[4] / of[3] if of[3] else 1.5]
+            cuts = [min(max(c, 0.05), i + 0.95) for i, c in enumerate(cuts)]
+        else:
+            cuts = [0.5, 0.75, 0.9]
+        after = [n for g, n in seen[k].items() if g[:-1] == gram[:-1]]
+        if not after:
+            return p(gram[1:])
+        held = sum(cuts[min(n, 3) - 1] for n in after) / sum(after)
+        n = seen[k][gram]
+        own = max(n - cuts[min(n, 3) - 1], 0) / sum(after) if n else 0
+        return own + held * p(gram[1:])
+
+    return p
+
+
+def test_kneser_ney_by_brute_force(spark):
+    texts = ["abra cadabra abra", "cab  bad abracad", "dab a cab", "a", "bad dab abra \u4e2d\u6587 cad"]
+    model = quality.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    told = [quality.symbols(t, model["table"]).tolist() for t in texts]
+    assert len({s for t in told for s in t}) == 9  # no two characters are one symbol
+    p = kneser_ney(told, quality.ORDER)
+    for text in texts + ["dada cab zz", "\u6587\u4e2d a"]:
+        symbols = quality.symbols(text, model["table"])
+        padded = [0] * (quality.ORDER - 1) + symbols.tolist()
+        wanted = [math.log(p(tuple(padded[i:i + quality.ORDER]))) for i in range(len(symbols))]
+        found = quality.log_probabilities(quality.keys(symbols, quality.ORDER), model)
+        assert found.tolist() == pytest.approx(wanted)
+
+
+def test_windows_forget():
+    grams = np.array([7, 8, 7, 7] + [9] * quality.WINDOW + [7, 7, 8], np.int64)
+    owner = np.array([0] * (len(grams) - 2) + [1, 1])
+    place = np.append(np.arange(len(grams) - 2), [0, 1])
+    found = np.flatnonzero(quality.first_in_window(grams, owner, place)).tolist()
+    met, wanted = set(), []
+    for i, key in enumerate(zip(grams.tolist(), owner.tolist(), (place // quality.WINDOW).tolist())):
+        if key not in met:
+            wanted.append(i)
+        met.add(key)
+    assert found == wanted
 
 
 def test_quality(spark):
     docs = corpus.documents(spark)
     bad = [(500, "|#| @@ !! ~~ ^^ {} <> |#| @@ !! ~~ ^^ {} <> |#| @@ !! ~~", "en", "x", 1)]
+    bad.append((501, "The " * 400, "en", "x", 1))
     docs = corpus.documents(spark, corpus.rows() + bad)
     known = labels(spark, [(i, 1, 0) for i in range(60)] + [(None, 1, 0), (3, 1, 1), (500, 0, 0)])
     found = {r.doc_id: r for r in quality.judge(docs, known).collect()}
     assert all(found[i]["__kept"] for i in range(60))
+    assert not found[501]["__kept"]
     assert not found[500]["__kept"] and not found[400]["__kept"] and not found[402]["__kept"]
     kept = quality.good_documents(docs, known)
     assert kept.columns == docs.columns
@@ -129,6 +190,32 @@ def test_ordinal_regression_recovers_order():
     assert weights[0] > weights[1] > weights[2] > abs(weights[3:]).max() and limits[0] < limits[1]
 
 
+def penalised(present, grades, weights, limits, penalty):
+    """Mean of -log P(own grade) by the definition of the model, and the L1 penalty."""
+    lost = 0.0
+    for row, grade in zip(present.tolist(), grades.tolist()):
+        eta = sum(w for w, there in zip(weights, row) if there)
+        above = [1.0, *(1 / (1 + math.exp(limit - eta)) for limit in limits), 0.0]
+        lost -= math.log(above[grade] - above[grade + 1])
+    return lost / len(grades) + penalty * sum(map(abs, weights))
+
+
+def test_ordinal_regression_by_brute_force():
+    rng = np.random.default_rng(5)
+    present = rng.random((300, 3)) < 0.4
+    eta = present @ np.array([2.0, -1.0, 0.0])
+    grades = (eta + rng.logistic(size=300) > 1).astype(int) + (eta + rng.logistic(size=300) > 3)
+    rows, columns = np.nonzero(present)
+    weights, limits = toxicity.regress(rows, columns, grades, 3, 0.01, 800)
+    best = penalised(present, grades, weights.tolist(), limits.tolist(), 0.01)
+    at = np.concatenate((weights, limits))
+    for size in (0.5, 0.1, 0.02):  # the loss is convex: a minimum around is the minimum
+        for step in np.vstack((np.eye(5), -np.eye(5), rng.normal(size=(10, 5)))) * size:
+            w, cut = np.split(at + step, [3])
+            if cut[0] < cut[1]:
+                assert penalised(present, grades, w.tolist(), cut.tolist(), 0.01) > best - 2e-5
+
+
 def test_toxicity(spark):
     rows = [(1000 + i, "plain words here %d kind house" % i + (" nasty awful" if i % 4 == 0 else ""),
              "en", "x", 1) for i in range(400)]
