@@ -151,6 +151,54 @@ def test_kneser_ney_by_brute_force(spark):
         assert found.tolist() == pytest.approx(wanted)
 
 
+def letter_text(i):
+    """Text number `i`, with an n-gram that no other one has."""
+    return "abra cadabra " + "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+
+
+def test_quality_learns_from_all_trusted_documents(spark):
+    texts = [letter_text(i) for i in range(21_000)]
+    model = quality.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    wanted = {g for t in texts for g in quality.keys(
+        quality.symbols(t, model["table"]), quality.ORDER).tolist()}
+    assert set(model["orders"][quality.ORDER][0].tolist()) == wanted
+
+
+@pytest.mark.parametrize("held", [0, 40, 300])
+def test_quality_beyond_memory_is_the_same(spark, held):
+    docs = corpus.documents(spark)
+    trusted = docs.where("text IS NOT NULL AND doc_id < 40")
+    whole, cut = quality.fit(trusted), quality.fit(trusted, held=held)
+    assert "rest" not in whole and len(cut["orders"][quality.ORDER][0]) <= held
+    columns = ["doc_id", "text", "__n", "__mean", "__spread", "__fresh", "__fresh_spread"]
+
+    def rows(model):
+        return sorted((tuple(-1 if v is None else v for v in (r.doc_id, r.text or "", *r[2:]))
+                       for r in quality.score(docs, model).select(columns).collect()))
+
+    wanted, found = rows(whole), rows(cut)
+    assert len(wanted) == docs.count() and [r[:3] for r in found] == [r[:3] for r in wanted]
+    for ours, theirs in zip(found, wanted):
+        assert ours[3:] == pytest.approx(theirs[3:], abs=1e-6)
+    known = labels(spark, [(i, 1, 0) for i in range(40)])
+    held_back = {(r.doc_id, r.text): r["__kept"] for r in quality.judge(docs, known, held=held).collect()}
+    assert held_back == {(r.doc_id, r.text): r["__kept"] for r in quality.judge(docs, known).collect()}
+
+
+def test_quartiles_are_exact(spark):
+    rng = np.random.default_rng(4)
+    rows = [(lang, kind, float(x)) for lang, size in (("en", 20_000), ("fr", 7), (None, 1))
+            for kind in ("above", "below") for x in rng.gamma(2, 0.2, size)]
+    rows += [("de", "above", 1.5)] * 9 + [("de", "above", 1.50001)] * 3
+    wanted = {}
+    for lang, kind, x in rows:
+        wanted.setdefault((lang, kind), []).append(x)
+    frame = spark.createDataFrame(rows, "lang string, kind string, x double")
+    found = {(r.lang, r.kind): (r.q1, r.q3) for r in quality.quartiles(frame).collect()}
+    assert found == {g: tuple(sorted(x)[math.ceil(len(x) * q / 4) - 1] for q in (1, 3))
+                     for g, x in wanted.items()}
+
+
 def test_windows_forget():
     grams = np.array([7, 8, 7, 7] + [9] * quality.WINDOW + [7, 7, 8], np.int64)
     owner = np.array([0] * (len(grams) - 2) + [1, 1])
