@@ -26,11 +26,14 @@ def fetched(df: DataFrame) -> pd.DataFrame:
 
 
 @contextlib.contextmanager
-def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+def tidy_shuffles(spark: SparkSession, rows: int | None = None) -> Iterator[None]:
     """Shuffle files of a job inside are deleted when it ends, so that a chain of staged
-    steps needs the disk of its largest step, not of all of them."""
-    before = {key: spark.conf.get(key, None) for key in STAGING}
-    for key, value in STAGING.items():
+    steps needs the disk of its largest step, not of all of them. `rows`: of an Arrow batch,
+    where rows are long."""
+    now = STAGING if rows is None else STAGING | {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}
+    before = {key: spark.conf.get(key, None) for key in now}
+    for key, value in now.items():
         spark.conf.set(key, value)
     try:
         yield
@@ -39,11 +42,11 @@ def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder and go on from the written table."""
+def staged(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Write `df` to the shared folder and go on from the written table; `rows` as above."""
     spark = df.sparkSession
     path = new_path(spark, f"llm-{label}")
-    with tidy_shuffles(spark):
+    with tidy_shuffles(spark, rows):
         df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path

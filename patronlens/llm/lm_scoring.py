@@ -43,8 +43,10 @@ _SEGMENT_BITS = 1 << 12  # the probes of a key stay inside a segment
 PROBES = 4
 SHARE = 0.7  # M: weight of the pair counts
 END = np.uint64(0x2545F4914F6CDD1D)  # the hash of the end token
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 GROUP = 1 << 19
+BLOCK = 1 << 17  # keys that are hashed or probed at once
+ROWS, ASKED_ROWS = 128, 512  # of an Arrow batch: of texts and chunks, of what lanes are asked
 TOKENS, WORDS, PAIRS, COVERED = 0, 1, 2, 3  # kinds of rows
 
 
@@ -77,12 +79,21 @@ def _by_lane(keys: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 # --- counting ----------------------------------------------------------------------------
 
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each distinct one of sorted keys begins."""
+    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+
+
 def _summed(keys: np.ndarray, n: np.ndarray | None, h: np.ndarray | None):
     """Distinct keys in order, the sum of each one's counts (or how often it occurs) and its
     context."""
+    if n is None and h is None:
+        keys = np.sort(keys)
+        first = _firsts(keys)
+        return keys[first], np.diff(np.append(first, len(keys))), None
     order = np.argsort(keys)
     keys = keys[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    first = _firsts(keys)
     if n is None:
         total = np.diff(np.append(first, len(keys)))
     else:
@@ -90,6 +101,13 @@ def _summed(keys: np.ndarray, n: np.ndarray | None, h: np.ndarray | None):
     return keys[first], total, None if h is None else h[order[first]]
 
 
+def _cut(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes of adjoining parts of an array, not copied."""
+    cuts = (np.append(begin[:1], end) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(end),
+                                 [None, pa.py_buffer(cuts), pa.py_buffer(values)])
+
+
 _COUNTED = "kind int, lane int, keys binary, n binary, h binary"
 
 
@@ -98,26 +116,27 @@ def _counted(lanes: int):
 
     def rows(kind: int, keys, n, h) -> pa.RecordBatch:
         found, begin, end = _by_lane(keys, lanes)
-        names = keys if kind == WORDS else in_lane(keys)
-        n = n.astype(np.uint32)
-        parts = list(zip(begin.tolist(), end.tolist()))
         return pa.RecordBatch.from_pydict({
             "kind": pa.array([kind] * len(found), pa.int32()), "lane": pa.array(found),
-            "keys": pa.array([names[i:j].tobytes() for i, j in parts], pa.binary()),
-            "n": pa.array([n[i:j].tobytes() for i, j in parts], pa.binary()),
-            "h": pa.array([b"" if h is None else h[i:j].tobytes() for i, j in parts],
-                          pa.binary())})
+            "keys": _cut(keys if kind == WORDS else in_lane(keys), begin, end),
+            "n": _cut(n.astype(np.uint32), begin, end),
+            "h": pa.array([b""] * len(found), pa.binary()) if h is None else _cut(h, begin, end)})
 
     def chunk(held: list[np.ndarray], overlaps: list[bool]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(held)
         last = np.cumsum([len(x) for x in held]) - 1
+        held.clear()
         yield rows(WORDS, *_summed(np.delete(flat, last[np.array(overlaps)]), None, None))
         follows = np.ones(len(flat), bool)
         follows[last] = False  # nothing follows the last token of a text
-        at = np.flatnonzero(follows)
-        if len(at):
-            h = flat[at]
-            yield rows(PAIRS, *_summed(pair_keys(h, flat[at + 1]), None, h))
+        h = flat[follows]
+        if len(h):
+            follows = np.roll(follows, 1)  # the tokens that have one before them
+            w = flat[follows]
+            del flat, follows
+            for at in range(0, len(h), BLOCK):  # a pair's key takes the place of its token
+                w[at:at + BLOCK] = pair_keys(h[at:at + BLOCK], w[at:at + BLOCK])
+            yield rows(PAIRS, *_summed(w, None, h))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, overlaps, size = [], [], 0
@@ -171,12 +190,17 @@ def filter_of(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
     segments = -(-int(levels.sum()) * BITS_PER_ENTRY // _SEGMENT_BITS)
     bits = np.zeros(segments * _SEGMENT_BITS, bool)
     for q in range(1, int(levels.max()) + 1):
-        bits[_bits_at(keys[levels >= q], q, len(bits)).ravel()] = True
+        entered = keys[levels >= q]
+        for at in range(0, len(entered), BLOCK):
+            bits[_bits_at(entered[at:at + BLOCK], q, len(bits)).ravel()] = True
     return np.packbits(bits)
 
 
 def levels_of(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """The level found for each key by probing level after level."""
+    if len(keys) > BLOCK:
+        return np.concatenate([levels_of(keys[at:at + BLOCK], bits)
+                               for at in range(0, len(keys), BLOCK)])
     out = np.zeros(len(keys), np.int64)
     alive = np.arange(len(keys))
     q = 1
@@ -210,8 +234,7 @@ def _lanes(lanes: int):
         covered.append((h, count_of(level(n))))
         return _lane_row(PAIRS, here[1], filter_of(keys, n))
 
-    def cover(covered: list) -> Iterator[pa.RecordBatch]:
-        h, n, _ = _summed(*(np.concatenate(x) for x in zip(*covered)), None)
+    def cover(h: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         for lane, i, j in zip(*_by_lane(h, lanes)):
             yield _lane_row(COVERED, lane, h[i:j], n[i:j])
 
@@ -223,8 +246,9 @@ def _lanes(lanes: int):
                     if here:
                         yield closed(here, parts, covered)
                     if sum(len(h) for h, _ in covered) > CHUNK:
-                        yield from cover(covered)
-                        covered = []
+                        covered = [_added(covered)]
+                        if len(covered[0][0]) > CHUNK // 2:
+                            yield from cover(*covered.pop())
                     here, parts, size = (kind, lane), [], 0
                 of = np.uint64 if kind == WORDS else np.uint32
                 parts.append((np.frombuffer(data[0], of),
@@ -237,11 +261,15 @@ def _lanes(lanes: int):
         if here:
             yield closed(here, parts, covered)
         if covered:
-            yield from cover(covered)
+            yield from cover(*_added(covered))
 
     return run
 
 
+def _added(covered: list) -> tuple[np.ndarray, np.ndarray]:
+    return _summed(*(np.concatenate(x) for x in zip(*covered)), None)[:2]
+
+
 def _together(kind: int, parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keys, n, h = (np.concatenate(x) for x in zip(*parts))
     keys, n, h = _summed(keys, n, h if kind == PAIRS else None)
@@ -292,11 +320,11 @@ def train(texts: DataFrame, lane_bytes: int = LANE_BYTES) -> tuple[dict, DataFra
     lanes = max(LANES, -(-size // lane_bytes))
     by = ["kind", "lane"]
     parts = common.staged(_dealt(texts.select("text").mapInArrow(_counted(lanes), _COUNTED),
-                                 size, by, by).mapInArrow(_lanes(lanes), _LANES), "lane-parts")
+                                 size, by, by).mapInArrow(_lanes(lanes), _LANES), "lane-parts", ROWS)
     known = _dealt(parts.where(F.col("kind") != PAIRS), size, ["lane"], ["lane", "kind"])
     rows = (known.mapInArrow(_known, f"{_LANES}, total long, distinct long")
             .unionByName(parts.where(F.col("kind") == PAIRS), allowMissingColumns=True))
-    out = common.staged(rows, "lanes")
+    out = common.staged(rows, "lanes", ASKED_ROWS)
     common.unstage(parts)
     total, distinct = out.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "distinct"))).first()
     return ({"total": int(total), "distinct": int(distinct), "lanes": lanes},
@@ -340,6 +368,12 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row(ids, held, texts)
 
 
+def _rows(batch: pa.RecordBatch, some: int) -> Iterator[dict]:
+    """The rows of a batch, of which only some are Python objects at a time."""
+    for at in range(0, batch.num_rows, some):
+        yield from batch.slice(at, some).to_pylist()
+
+
 def _group_pairs(known: np.ndarray, at: np.ndarray, owner: np.ndarray):
     """Tokens with a context in the same text, the distinct pairs by lane, each token's pair."""
     after = np.flatnonzero(owner[1:] == owner[:-1]) + 1
@@ -358,7 +392,7 @@ def _asked(lanes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.select(["batch", "sizes", "words", "at"]).to_pylist():
+            for r in _rows(batch.select(["batch", "sizes", "words", "at"]), 1):
                 known, at, owner = _open(r["words"], r["at"], r["sizes"])
                 pairs = _group_pairs(known, at, owner)[1]
                 for kind, keys, names in ((WORDS, known, known), (PAIRS, pairs, in_lane(pairs))):
@@ -435,7 +469,7 @@ def _score(total: int, distinct: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, answers = None, None
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _rows(batch, ROWS):
                 if r["kind"] == TOKENS:
                     if group:
                         yield done(group, answers)
@@ -488,10 +522,10 @@ def score(docs: DataFrame, model: dict, stored: DataFrame) -> DataFrame:
     """Scores of `docs` (doc_id, text, held_out), a row each."""
     size = _bytes(docs)
     groups = common.staged(docs.select("doc_id", "text", "held_out")
-                           .mapInArrow(_grouped, _TOKENS), "tokens")
+                           .mapInArrow(_grouped, _TOKENS), "tokens", ROWS)
     asked = stored.unionByName(groups.mapInArrow(_asked(model["lanes"]), _LANES))
     answers = common.staged(_dealt(asked, size, ["kind", "lane"], ["kind", "lane", "batch"])
-                            .mapInArrow(_answers, _LANES), "answers")
+                            .mapInArrow(_answers, _LANES), "answers", ASKED_ROWS)
     rows = _dealt(groups.withColumns({"kind": F.lit(TOKENS), "lane": F.lit(0)})
                   .unionByName(answers, allowMissingColumns=True),
                   size, ["batch"], ["batch", "kind", "lane"])

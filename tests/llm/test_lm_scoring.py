@@ -1,6 +1,7 @@
 """Language-model scores against the formula on exact counts."""
 
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -72,3 +73,37 @@ def test_chunks_and_long_texts_count_once(spark, monkeypatch):
     assert sorted(words.values()) == sorted(Counter(text.split() + ["a", "b"] + [None] * 3).values())
     told = [t.split() + [None] for t in (text, "", "a b")]
     assert sorted(pairs.values()) == sorted(Counter(p for t in told for p in zip(t, t[1:])).values())
+
+
+def test_workers_stay_small_beside_rich_text():
+    """What a task holds follows the chunk and the batch, not the text: of 6 million tokens
+    (nearly all pairs distinct) less than 24 bytes each while they are counted, and less than
+    100 for each pair of a lane while it becomes a filter."""
+    rng = np.random.default_rng(1)
+    names = [f"w{i}" for i in range(60_000)]
+    texts = [" ".join(names[i] for i in rng.integers(0, len(names), 50_000)) for _ in range(120)]
+    batches = [lm.pa.RecordBatch.from_pydict({"text": texts[i:i + 2]}) for i in range(0, 120, 2)]
+    tracemalloc.start()
+    try:
+        pairs = sum(sum(len(n) // 4 for n in part.column("n").to_pylist())
+                    for part in lm._counted(64)(iter(batches))
+                    if part.column("kind")[0].as_py() == lm.PAIRS)
+        counting = tracemalloc.get_traced_memory()[1]
+        keys = lm.words.mix(np.arange(1_000_000, dtype=np.uint64)).astype(np.uint32)
+        tracemalloc.reset_peak()
+        bits = lm.filter_of(keys, np.ones(len(keys), np.int64))
+        found = lm.levels_of(keys.astype(np.uint64), bits)
+        filtering = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert pairs > 5_900_000 and (found >= 1).all()
+    assert counting < 24 * 6_000_000
+    assert filtering < 100 * 1_000_000
+
+
+def test_long_rows_meet_python_a_few_at_a_time(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sizes = lm.common.staged(spark.range(0, 1000, 1, 1).mapInArrow(lambda batches: (
+        lm.pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long"), "t", lm.ROWS)
+    assert max(r.n for r in sizes.collect()) <= 128
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
