@@ -1,11 +1,14 @@
 """Quoted line breaks, wherever blocks of a file begin, against the pandas reader."""
 
 import io
+import itertools
 import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from patronlens.operators import clean
 from patronlens.sources import files
 
 
@@ -84,3 +87,37 @@ def test_too_many_headers(spark, tmp_path, monkeypatch):
         (tmp_path / f"f{i}.csv").write_text(f"{i},a\n{i},b\n")
     with pytest.raises(ValueError, match="different headers"):
         files.extract_csv(spark, str(tmp_path / "*.csv"))
+
+
+def test_records_are_parsed_once(spark, tmp_path):
+    """Whatever reads the fields, each record is parsed by one expression."""
+    (tmp_path / "a.csv").write_text(
+        "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+        '1,A,"two\nlines",1,12/1/2010 8:26,2,7,UK\n')
+    found = clean.transactions(clean.clean_sales(files.extract_csv(spark, str(tmp_path / "a.csv"))))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_csv") == 1
+    assert [(r.description, r.amount_cents) for r in found.collect()] == [("TWO\nLINES", 200)]
+
+
+def test_lines_with_one_quote_do_what_the_patterns_say(spark):
+    lines = ["".join(x) for n in range(7) for x in itertools.product('a,"', repeat=n)]
+    text = F.col("line")
+    outside = text.rlike(files._OPENS).cast("int")
+    inside = F.when(~text.rlike(files._CLOSES), 1).otherwise(
+        F.regexp_replace(text, files._REST, "").rlike(files._OPENS).cast("int"))
+    rows = spark.createDataFrame([(x,) for x in lines], "line string").select(
+        "line", *files._effect("line"), outside.alias("outside"), inside.alias("inside")).collect()
+    assert len(rows) == len(lines)
+    for r in rows:
+        assert r.set_to == (r.outside if r.outside == r.inside else None), r.line
+        assert r.turns == (r.outside > r.inside), r.line
+
+
+def test_many_short_records_beside_a_long_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "RECORD_LINES", 6)
+    body = "".join(f'{i},"x\ny{i}"\n' for i in range(700))
+    (tmp_path / "a.csv").write_text("A,B\n" + body + '700,"' + "\n" * 7 + 'z"\n' + body)
+    found = read(spark, tmp_path / "a.csv")
+    assert found == sorted([(f"{i}", f"x\ny{i}") for i in range(700)] * 2)
+    assert files.rejected_lines(spark, str(tmp_path / "a.csv")).count() == 2  # the blank ones go
